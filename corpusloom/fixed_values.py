@@ -12,10 +12,15 @@ WHITESPACE = (
 )
 
 # One word, that is a run of anything but white space (same set as above).
-WORD = r"[^\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+# The nested classes make the regex engine decide ASCII with its first test.
+WORD_CHAR = (
+    r"[!-~[\x{a1}-\x{167f}[\x00-\x08\x0e-\x1b\x7f-\x{84}\x{86}-\x{9f}\x{1681}-\x{1fff}\x{200b}-\x{2027}"
+    r"\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}]]]"
+)
+WORD = WORD_CHAR + "+"
 
-# Line ends other than the plain newline also count when text is split into lines.
-ANY_LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+# Characters other than the plain newline that also end a line.
+OTHER_LINE_END = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85[  ]]"
 
 # Tokens are words * 13 / 10, rounded down.
 TOKENS_PER_10_WORDS = 13
@@ -107,37 +112,39 @@ HEADING_START_WIDE = (
 )
 # First heading line of a chunk, with its underline.
 MAIN_HEADING = (
-    r"(?m)(?d)^(?:[^\S\n]*#{1,6}[^\S\n][^\n]*|[^\n]*\S[^\n]*\n[^\S\n]*[-=]{3,}[^\S\n]*)$"
+    r"(?m)(?d)^(?:[^\S\n]*#{1,6}[^\S\n][^\n]*|[^\S\n]*\S[^\n]*\n[^\S\n]*[-=]{3,}[^\S\n]*)$"
 )
 DEFAULT_HEADING = "## Content Section"
 DEFAULT_CONTEXT = "Guide Section"
 SENTENCE_END = r"(?<=[.!?])\s+"
 
-# Markdown to plain text, rewrites in the order they are applied.
+# Markdown to plain text, rewrites in the order they are applied. The third
+# value is text without which the pattern cannot match, so that the pass can be skipped.
 PLAIN_INLINE = (
-    (r"(?s)```.*?```", ""),
-    (r"`([^`]*)`", "$1"),
-    (r"!\[([^\]]*)\]\([^\)]*\)", "$1"),
-    (r"\[([^\]]+)\]\([^\)]+\)", "$1"),
-    (r"(?s)\*\*(.*?)\*\*", "$1"),
-    (r"(?s)__(.*?)__", "$1"),
-    (r"(?s)\*(.*?)\*", "$1"),
-    (r"(?s)_(.*?)_", "$1"),
-    (r"(?m)(?d)^\s{0,3}#{1,6}\s+", ""),
-    (r"(?m)(?d)^([A-Za-z].*?)\n[-=]{3,}\s*$", "$1"),
-    (r"(?m)(?d)^\s*[-*+]\s+", "- "),
-    (r"(?m)(?d)^\s*\d+\.\s+", "- "),
+    (r"(?s)```.*?```", "", "```"),
+    (r"`([^`]*)`", "$1", "`"),
+    (r"!\[([^\]]*)\]\([^\)]*\)", "$1", "!["),
+    (r"\[([^\]]+)\]\([^\)]+\)", "$1", "]("),
+    (r"(?s)\*\*(.*?)\*\*", "$1", "**"),
+    (r"(?s)__(.*?)__", "$1", "__"),
+    (r"(?s)\*(.*?)\*", "$1", "*"),
+    (r"(?s)_(.*?)_", "$1", "_"),
+    (r"(?m)(?d)^\s{0,3}#{1,6}\s+", "", "#"),
+    (r"(?m)(?d)^([A-Za-z][^\n]*)\n[-=]{3,}\s*$", "$1", "\n"),
+    (r"(?m)(?d)^\s*[-*+]\s+", "- ", ""),
+    (r"(?m)(?d)^\s*\d+\.\s+", "- ", "."),
 )
 PLAIN_TABLE_RULE = r"^\|?\s*-+\s*(?:\|\s*-+\s*)++\|?$"
 PLAIN_CLEANUP = (
-    (r"\\([\\`*_{}\[\]()#+\-\.!\"'])", "$1"),
-    (r"(?m)(?d)^\s*[*]{3,}\s*$", ""),
-    (r"(?m)(?d)^\s*[-]{3,}\s*$", ""),
-    (r"(?m)(?d)^\s*=_+\s*$", ""),
-    (r"(?m)(?d)^\s*Image\s+\d+\s*$", ""),
-    (r"(?m)(?d)^\s*Request Edit\s*$", ""),
-    (r"[ \t]+", " "),
-    (r"\n{3,}", "\n\n"),
+    (r"\\([\\`*_{}\[\]()#+\-\.!\"'])", "$1", "\\"),
+    (r"(?m)(?d)^\s*[*]{3,}\s*$", "", "***"),
+    (r"(?m)(?d)^\s*[-]{3,}\s*$", "", "---"),
+    (r"(?m)(?d)^\s*=_+\s*$", "", "=_"),
+    (r"(?m)(?d)^\s*Image\s+\d+\s*$", "", "Image"),
+    (r"(?m)(?d)^\s*Request Edit\s*$", "", "Request Edit"),
+    (r"\t", " ", "\t"),
+    (r" {2,}", " ", "  "),
+    (r"\n{3,}", "\n\n", "\n\n\n"),
 )
 
 # List and table line forms.

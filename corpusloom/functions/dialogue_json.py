@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
-from corpusloom.functions.text import drop_blank, let, non_empty, strip, tokens
+from corpusloom.functions.text import all_lines, drop_blank, let, non_empty, strip, tokens
 
 TURNS = "array<struct<role:string,content:string>>"
 
@@ -78,7 +78,7 @@ def dialogue_items(text: Column) -> Column:
     def entries(t: Column) -> Column:
         as_list = F.from_json(t, "array<string>")
         as_lines = F.filter(
-            drop_blank(F.split(t, fv.ANY_LINE_END)),
+            drop_blank(all_lines(t)),
             lambda line: line.startswith("{") & line.endswith("}"),
         )
         return (

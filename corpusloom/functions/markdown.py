@@ -6,7 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
-from corpusloom.functions.text import first_match, let, lines_of, non_empty, strip
+from corpusloom.functions.text import (
+    all_lines,
+    first_match,
+    let,
+    lines_of,
+    non_empty,
+    rewrite,
+    strip,
+)
 
 
 def guide_title(title: Column, content: Column) -> Column:
@@ -29,15 +37,15 @@ def _plain_line(line: Column) -> Column:
 
 def plain_text(content: Column) -> Column:
     """Markdown to plain text."""
-    text = content
-    for pattern, replacement in fv.PLAIN_INLINE:
-        text = F.regexp_replace(text, pattern, replacement)
-    lines = F.transform(F.split(text, fv.ANY_LINE_END), lambda line: strip(line))
-    kept = F.filter(lines, lambda line: ~F.rlike(line, F.lit(fv.PLAIN_TABLE_RULE)))
-    text = F.array_join(F.transform(kept, _plain_line), "\n")
-    for pattern, replacement in fv.PLAIN_CLEANUP:
-        text = F.regexp_replace(text, pattern, replacement)
-    return strip(text)
+
+    def without_pipes(text: Column) -> Column:
+        lines = F.transform(all_lines(text), lambda line: strip(line))
+        kept = F.filter(lines, lambda line: ~F.rlike(line, F.lit(fv.PLAIN_TABLE_RULE)))
+        collapsed = F.when(F.contains(text, F.lit("|")), F.transform(kept, _plain_line)).otherwise(lines)
+        return F.array_join(collapsed, "\n")
+
+    inline = rewrite(content, fv.PLAIN_INLINE)
+    return strip(rewrite(let(inline, without_pipes), fv.PLAIN_CLEANUP))
 
 
 def starts_with_heading(chunk: Column) -> Column:

@@ -36,6 +36,30 @@ def tokens(text: Column) -> Column:
     return tokens_of_words(words(text).cast("bigint"))
 
 
+def at_least_words(text: Column, n: int) -> Column:
+    """True if the text has `n` or more words; reads no further than the n-th."""
+    return F.rlike(text, F.lit(rf"\A(?:(?>[^!-~]*?{fv.WORD}+)){{{n}}}"))
+
+
+def rewrite(text: Column, steps) -> Column:
+    """Regex rewrites (pattern, replacement, needed), each skipped where `needed` does not occur."""
+    for pattern, replacement, needed in steps:
+        text = let(
+            text,
+            lambda t, p=pattern, r=replacement, n=needed: F.when(
+                F.contains(t, F.lit(n)), F.regexp_replace(t, p, r)
+            ).otherwise(t)
+            if n
+            else F.regexp_replace(t, p, r),
+        )
+    return text
+
+
+def all_lines(text: Column) -> Column:
+    """Lines by any line end, not only the newline."""
+    return F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), fv.OTHER_LINE_END)
+
+
 def non_empty(text: Column) -> Column:
     """NULL instead of an empty string, for use in coalesce."""
     return F.nullif(text, F.lit(""))

@@ -16,7 +16,7 @@ SAME_LINE_BLANK = r"[^\S\n]"
 
 
 def _cut(text: Column, *forms: str) -> Column:
-    return drop_blank(F.split(text, r"(?m)(?d)(?=" + "|".join(f"^{f}" for f in forms) + ")"))
+    return drop_blank(F.split(text, r"(?m)(?d)^(?=" + "|".join(forms) + ")"))
 
 
 def _underlined(mark: str, at_least: int) -> str:

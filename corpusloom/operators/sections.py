@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
 from corpusloom.functions.markdown import starts_with_heading
-from corpusloom.functions.text import join_slice, let, lines_of, non_empty, runs, strip, tokens, tokens_of_words, words
+from corpusloom.functions.text import (
+    at_least_words,
+    let,
+    lines_of,
+    non_empty,
+    runs,
+    strip,
+    tokens,
+    tokens_of_words,
+    words,
+)
 from corpusloom.options import ChunkOptions
 
 
@@ -74,7 +84,7 @@ def merge_orphans(chunks: Column, options: ChunkOptions = ChunkOptions()) -> Col
         short = F.transform(
             bound,
             lambda c: F.when(
-                starts_with_heading(c) & (words(c) < options.orphan_words), F.lit("s")
+                starts_with_heading(c) & ~at_least_words(c, options.orphan_words), F.lit("s")
             ).otherwise(F.lit("c")),
         )
         taken = F.split(F.regexp_replace(F.array_join(short, ""), "s.", "s-"), "")
@@ -214,6 +224,12 @@ def pack_blocks(blocks: Column, limit: Column) -> Column:
     return let(units, packed)
 
 
+def fits(chunk: Column, max_tokens: int) -> Column:
+    """The chunk has at most `max_tokens`. A short one cannot have more, so it is not counted."""
+    most_words = (F.length(chunk) + 1) / 2
+    return (tokens_of_words(most_words) <= max_tokens) | (tokens(chunk) <= max_tokens)
+
+
 def split_oversized(chunk: Column, options: ChunkOptions = ChunkOptions()) -> Column:
     """One chunk to ARRAY<STRING>: itself, or parts under the limit with its heading repeated.
 
@@ -238,7 +254,7 @@ def split_oversized(chunk: Column, options: ChunkOptions = ChunkOptions()) -> Co
 
     return let(
         chunk,
-        lambda c: F.when(tokens(c) <= options.max_tokens, F.array(c)).otherwise(
+        lambda c: F.when(fits(c, options.max_tokens), F.array(c)).otherwise(
             let(split_heading(c), lambda h: parts(h, c))
         ),
     )
