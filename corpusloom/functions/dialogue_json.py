@@ -30,7 +30,14 @@ def sanitize_escapes(text: Column) -> Column:
 
 
 def _parses(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """The whole text is one JSON value.
+
+    The JSON readers stop after the first value, so the text is read inside a list and
+    inside an object: anything after the value breaks at least one of them.
+    """
+    in_list = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.coalesce(in_list == 1, F.lit(False)) & in_object.isNotNull()
 
 
 def readable_json(text: Column) -> Column:
