@@ -56,15 +56,16 @@ def invalid_responses(responses: DataFrame, options: RecordOptions = RecordOptio
 def first_success(responses: DataFrame) -> DataFrame:
     """Per request the earliest attempt that holds a valid dialogue.
 
-    Attempts are reduced to (request, attempt) before the shuffle; the text joins back by key.
+    Answers without one go before the shuffle; a request has at most `retry_limit` attempts.
     """
-    valid = (
+    others = [c for c in responses.columns if c not in ("request_id", "attempt")]
+    return (
         parsed_responses(responses)
         .where(F.size("items") > 0)
         .groupBy("request_id")
-        .agg(F.min("attempt").alias("attempt"))
+        .agg(F.min(F.struct("attempt", *others)).alias("first"))
+        .select("request_id", "first.*")
     )
-    return responses.join(valid, ["request_id", "attempt"], "left_semi")
 
 
 def pending_requests(prompts: DataFrame, responses: DataFrame) -> DataFrame:
@@ -76,10 +77,15 @@ def pending_requests(prompts: DataFrame, responses: DataFrame) -> DataFrame:
 def records(
     dialogue_rows: DataFrame, sources: DataFrame, options: RecordOptions = RecordOptions()
 ) -> DataFrame:
-    """Join dialogues with sources(request_id, url, date) and add the record's metadata."""
+    """Join dialogues with sources(request_id, url, date) and add the record's metadata.
+
+    The turns are read from the object after the join, so the text is shuffled once.
+    """
     keyed = sources.select("request_id", "url", "date")
     return (
-        dialogue_rows.join(keyed, "request_id")
+        dialogue_rows.drop("conversations")
+        .join(keyed, "request_id")
+        .withColumn("conversations", turns_of(F.col("item")))
         .withColumn("lang", F.lit(options.lang))
         .withColumn("answer_tokens", answer_tokens(F.col("conversations")))
         .withColumn(

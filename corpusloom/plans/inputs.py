@@ -21,13 +21,25 @@ SITES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# A table of one row group is one task however many cores there are. Below this many bytes
+# per core moving the rows costs little next to the text work; above it, scans are never moved.
+SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A given table; a small one is spread over the cores by `spread_by`."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and cores > 1:
+        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size < cores * SPREAD_BYTES_PER_CORE:
+            return rows.repartition(cores, spread_by)
+    return rows
 
 
 def _documents(spark: SparkSession, sf_dir: str, content: str, *, url: bool = False) -> DataFrame:
     columns = ["doc_id"] + ([f"{SITES} AS url"] if url else []) + [f"{content} AS content"]
-    return table(spark, sf_dir, "documents").selectExpr(*columns)
+    return table(spark, sf_dir, "documents", "doc_id").selectExpr(*columns)
 
 
 _SENTENCES = (
@@ -158,7 +170,7 @@ def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page HTML as stored fetch responses of four shapes."""
     quoted = "replace(replace(replace(replace(html, '\\\\', '\\\\\\\\'), '\"', '\\\\\"'), '\\n', '\\\\n'), '\\t', '\\\\t')"
     inner = f"concat('{{\"title\":\"T', page_id, '\",\"url\":\"', url, '?r\",\"content\":\"', {quoted}, '\"}}')"
-    return table(spark, sf_dir, "pages").selectExpr(
+    return table(spark, sf_dir, "pages", "page_id").selectExpr(
         "page_id",
         "url",
         "CASE page_id % 4 WHEN 0 THEN 'text' WHEN 3 THEN 'converter' ELSE 'reader' END AS kind",

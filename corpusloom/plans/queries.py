@@ -69,11 +69,11 @@ def _untitled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _documents_text(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    return inputs.table(spark, sf, "documents", "doc_id").select("doc_id", F.col("text").alias("content"))
 
 
 def html_to_markdown(spark: SparkSession, sf: str) -> DataFrame:
-    return fetched.documents_from_html(inputs.table(spark, sf, "pages"))
+    return fetched.documents_from_html(inputs.table(spark, sf, "pages", "page_id"))
 
 
 def unwrap_response(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,7 +84,7 @@ def unwrap_response(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def docs_nonempty(spark: SparkSession, sf: str) -> DataFrame:
-    docs = inputs.table(spark, sf, "documents").selectExpr(
+    docs = inputs.table(spark, sf, "documents", "doc_id").selectExpr(
         "doc_id", "CASE doc_id % 9 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE text END AS content"
     )
     return fetched.drop_empty(docs)
@@ -109,7 +109,7 @@ def cpt_blocks(spark: SparkSession, sf: str) -> DataFrame:
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     text = F.col("text")
     return _wide(
-        inputs.table(spark, sf, "documents").select(
+        inputs.table(spark, sf, "documents", "doc_id").select(
             "doc_id", words(text).alias("words"), tokens(text).alias("tokens")
         )
     )
@@ -117,7 +117,7 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_counts_plugged(spark: SparkSession, sf: str) -> DataFrame:
     count = plugged_tokens(lambda: (lambda text: len(text.encode("utf-8")) // 4))
-    return inputs.table(spark, sf, "documents").select("doc_id", count(F.col("text")).alias("tokens"))
+    return inputs.table(spark, sf, "documents", "doc_id").select("doc_id", count(F.col("text")).alias("tokens"))
 
 
 def route_domain(spark: SparkSession, sf: str) -> DataFrame:
