@@ -326,15 +326,20 @@ def split_structures(
 
 
 def explode_parts(df: DataFrame, parts: Column) -> DataFrame:
-    """One row per part: adds part_no, n_parts, kind and text."""
-    return (
-        df.withColumn("_parts", parts)
-        .select(*df.columns, F.size("_parts").alias("n_parts"), F.posexplode("_parts").alias("_no", "_part"))
-        .select(
-            *df.columns,
-            (F.col("_no") + 1).alias("part_no"),
-            "n_parts",
-            F.col("_part.kind").alias("kind"),
-            F.col("_part.text").alias("text"),
-        )
+    """One row per part: adds part_no, n_parts, kind and text.
+
+    The generator takes the expression itself. Over a named column Spark would add a filter on
+    its size and, pushing that down, compute the parts once more for it.
+    """
+    counted = let(
+        parts,
+        lambda p: F.transform(
+            p,
+            lambda part: F.struct(
+                F.size(p).alias("n_parts"), part["kind"].alias("kind"), part["text"].alias("text")
+            ),
+        ),
+    )
+    return df.select(*df.columns, F.posexplode(counted).alias("_no", "_part")).select(
+        *df.columns, (F.col("_no") + 1).alias("part_no"), "_part.*"
     )
