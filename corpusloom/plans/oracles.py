@@ -6,6 +6,8 @@ recursive CTE. Patterns keep to what a regex engine without look-around can do.
 
 from __future__ import annotations
 
+import re
+
 from corpusloom import fixed_values as fv
 
 WS = "'" + fv.WHITESPACE + "'"
@@ -568,6 +570,52 @@ def pieces(ctes: str, src: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{ctes} SELECT doc_id, piece_no, text FROM {src}"
 
 
+def renamed(sql: str, names: dict[str, str]) -> str:
+    """The same CTEs under other names, so that one query can hold them twice."""
+    for old, new in names.items():
+        sql = re.sub(rf"\b{old}\b", new, sql)
+    return sql
+
+
+# From site pages to prompts: each step keyed by one number, documents by doc_id * 1000000 and
+# their chunks by what is added to it.
+_SITE = "contains(url, 'playblackdesert.com')", "contains(url, 'blackdesertfoundry.com')", "contains(url, 'garmoth.com')"
+SITE_CHUNKS = f"""{SITES}, {CLEANED},
+  wiki_d AS (SELECT * FROM cleaned WHERE {_SITE[0]}), blog_d AS (SELECT * FROM cleaned WHERE {_SITE[1]}),
+  tool_d AS (SELECT * FROM cleaned WHERE {_SITE[2]}),
+  {lines_cte('wiki_d', 'wiki_l')}, {sections_cte(H3, 'wiki_c', 'wiki_l')},
+  {lines_cte('blog_d', 'blog_l')}, {sections_cte(H2_H4, 'blog_c', 'blog_l')}, {preamble_cte(119, 'blog_c', 'blog_m')},
+  {lines_cte('tool_d', 'lines')}, {RULED}, {sections_cte(GENERIC, 'tool_c', 'ruled')}, {preamble_cte(160, 'tool_c', 'tool_m')},
+  merged AS (SELECT doc_id, piece_no, text FROM wiki_c UNION ALL SELECT doc_id, piece_no, text FROM blog_m
+    UNION ALL SELECT doc_id, piece_no, text FROM tool_m),
+  {renamed(RECOMBINED, {'walk': 'walk_r'})},
+  joined AS (SELECT walk_r.doc_id, walk_r.g::BIGINT AS piece_no, string_agg(text, E'\\n\\n' ORDER BY piece_no) AS text
+    FROM walk_r JOIN measured USING (doc_id, piece_no) GROUP BY walk_r.doc_id, walk_r.g),
+  {renamed(ORPHANS, {'merged': 'joined'})},
+  orphaned AS (SELECT doc_id, g, string_agg(text, E'\\n\\n' ORDER BY piece_no) AS content FROM (
+    SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY piece_no) AS g FROM opened) GROUP BY doc_id, g),
+  wholes AS (SELECT doc_id * 1000000 + g::BIGINT AS doc_id, content FROM orphaned),
+  {lines_cte('wholes', 'whole_l')}, {renamed(OVERSIZE, {'lines': 'whole_l', 'guides': 'wholes'})},
+  sized AS (SELECT doc_id, g, {marked('heading', 'body', 'g', 'n')} AS text FROM bodies JOIN large USING (doc_id)
+    UNION ALL SELECT doc_id, 1, content FROM wholes WHERE doc_id NOT IN (SELECT doc_id FROM large)),
+  numbered AS (SELECT doc_id // 1000000 AS doc_id, row_number() OVER (PARTITION BY doc_id // 1000000 ORDER BY doc_id, g) AS chunk_no, text FROM sized
+    UNION ALL SELECT doc_id, 1, content FROM cleaned WHERE NOT ({' OR '.join(_SITE)})),
+  src AS (SELECT doc_id * 1000000 + chunk_no AS doc_id, text AS content FROM numbered)"""
+DISPATCHED = f"""src_t AS (SELECT src.* FROM src JOIN kinds USING (doc_id) WHERE kind = 'table'),
+  src_l AS (SELECT src.* FROM src JOIN kinds USING (doc_id) WHERE kind = 'list'),
+  src_n AS (SELECT src.* FROM src JOIN kinds USING (doc_id) WHERE kind = 'nested'),
+  {table_ctes('src_t')}, {list_ctes('src_l')}, {nested_ctes('src_n')},
+  parts AS (SELECT {PART_COLUMNS} FROM t_parts UNION ALL SELECT {PART_COLUMNS} FROM l_parts UNION ALL SELECT {PART_COLUMNS} FROM n_parts
+    UNION ALL SELECT doc_id, 1, 1, 'plain', content FROM src JOIN kinds USING (doc_id) WHERE kind = 'plain')"""
+SITE_PROMPTS = rf"""WITH RECURSIVE {SITE_CHUNKS}, {PROFILE}, {DISPATCHED},
+  keyed AS (SELECT doc_id, part_no AS piece_no, text FROM parts), {renamed(context_ctes('keyed'), {'looked': 'looked_c'})}
+  SELECT sha256(concat_ws(chr(31), c.url, p.doc_id % 1000000, p.part_no, p.text)) AS request_id, c.doc_id, c.date, c.guide_title,
+    p.doc_id % 1000000 AS chunk_no, p.part_no, p.n_parts, p.kind,
+    concat(E'Write questions and answers about the guide below.\nUse only what it says.\n\n', 'Guide Title: ', c.guide_title,
+      E'\n\nSection Hierarchy:\n', x.context, E'\n\nSource:\n', p.text) AS prompt
+  FROM parts p JOIN contexts x ON x.doc_id = p.doc_id AND x.chunk_no = p.part_no JOIN cleaned c ON c.doc_id = p.doc_id // 1000000"""
+
+
 ORACLES: dict[str, str] = {
     "html_to_markdown": f"""SELECT page_id, url, {strip(entities("regexp_extract(html, '(?is)<title" + chr(92) + "b[^>]*>(.*?)</title" + chr(92) + "s*>', 1)"))} AS title,
       {markdown_of('html')} AS content FROM pages""",
@@ -624,14 +672,11 @@ ORACLES: dict[str, str] = {
     "split_table": f"WITH {md('src', TABLE_MD)}, {table_ctes('src')} SELECT {PART_COLUMNS} FROM t_parts",
     "split_list": f"WITH {md('src', LIST_MD)}, {list_ctes('src')} SELECT {PART_COLUMNS} FROM l_parts",
     "split_nested": f"WITH {md('src', NESTED_MD)}, {nested_ctes('src')} SELECT {PART_COLUMNS} FROM n_parts",
-    "structure_dispatch": f"""WITH {md('src', STRUCTURES_MD)}, {PROFILE},
-      src_t AS (SELECT src.* FROM src JOIN kinds USING (doc_id) WHERE kind = 'table'), src_l AS (SELECT src.* FROM src JOIN kinds USING (doc_id) WHERE kind = 'list'),
-      src_n AS (SELECT src.* FROM src JOIN kinds USING (doc_id) WHERE kind = 'nested'), {table_ctes('src_t')}, {list_ctes('src_l')}, {nested_ctes('src_n')}
-      SELECT {PART_COLUMNS} FROM t_parts UNION ALL SELECT {PART_COLUMNS} FROM l_parts UNION ALL SELECT {PART_COLUMNS} FROM n_parts
-      UNION ALL SELECT doc_id, 1, 1, 'plain', content FROM src JOIN kinds USING (doc_id) WHERE kind = 'plain'""",
+    "structure_dispatch": f"WITH {md('src', STRUCTURES_MD)}, {PROFILE}, {DISPATCHED} SELECT {PART_COLUMNS} FROM parts",
     "prompts": rf"""WITH {H3_CTES}, {context_ctes('chunks')}, c AS (SELECT *, concat('Guide Title: Guide ', doc_id, E'\n\nSection Hierarchy:\n', context) AS ctx FROM contexts)
       SELECT sha256(concat_ws(chr(31), {URL}, chunk_no, 1, text)) AS request_id, doc_id, chunk_no,
         concat(E'About:\n', ctx, E'\n\nAgain: ', ctx, E'\nSource:\n', text) AS prompt FROM c""",
+    "site_prompts": SITE_PROMPTS,
     "links_unique": f"{LINKS} SELECT url, file, pos FROM unique_links",
     "processed_links": f"WITH {STATE}, {PROCESSED} SELECT url FROM processed",
     "links_pending": f"{LINKS} SELECT url, file, pos FROM unique_links WHERE url NOT IN (SELECT url FROM processed)",
