@@ -28,15 +28,19 @@ def corpus_block(plain: Column, url: Column, date: Column, guide_title: Column)
     )
 
 
-def write_corpus_blocks(blocks: DataFrame, path: str, column: str = "block") -> None:
+def write_corpus_blocks(
+    blocks: DataFrame, path: str, column: str = "block", mode: str = "append"
+) -> None:
     """The blocks one after the other. The writer ends each row with a line break, so the
     last one of the padding is left to it."""
     body = F.substring(column, F.lit(1), F.length(column) - 1)
-    blocks.select(body.alias(column)).write.mode("append").text(path)
+    blocks.select(body.alias(column)).write.mode(mode).text(path)
 
 
-def write_jsonl(record_rows: DataFrame, path: str, column: str = "record") -> None:
-    record_rows.select(column).write.mode("append").text(path)
+def write_jsonl(
+    record_rows: DataFrame, path: str, column: str = "record", mode: str = "append"
+) -> None:
+    record_rows.select(column).write.mode(mode).text(path)
 
 
 def quarantine_entry(
@@ -71,5 +75,7 @@ def quarantine_entry(
     )
 
 
-def write_quarantine(entries: DataFrame, path: str, column: str = "entry") -> None:
-    entries.select(column).write.mode("append").text(path)
+def write_quarantine(
+    entries: DataFrame, path: str, column: str = "entry", mode: str = "append"
+) -> None:
+    entries.select(column).write.mode(mode).text(path)

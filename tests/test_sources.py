@@ -126,3 +126,12 @@ def test_work_folder_is_under_the_configured_one(tmp_path):
 @pytest.mark.parametrize("text,want", [("a b", 3), ("", 0), (None, 0)])
 def test_plugged_tokenizer(each, text, want):
     assert each(plugged_tokens(lambda: len), text) == [want]
+
+
+def test_template(spark, tmp_path):
+    from corpusloom.sources.templates import read_template
+
+    (tmp_path / "t.txt").write_text("Own {context}\n\nend")
+    assert read_template(spark, str(tmp_path / "t.txt")) == "Own {context}\n\nend"
+    assert "{context}" in read_template(spark, str(tmp_path / "none.txt"))
+    assert "{context}" in read_template(spark, None)
