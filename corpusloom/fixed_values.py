@@ -118,8 +118,8 @@ DEFAULT_HEADING = "## Content Section"
 DEFAULT_CONTEXT = "Guide Section"
 SENTENCE_END = r"(?<=[.!?])\s+"
 
-# Markdown to plain text, rewrites in the order they are applied. The third
-# value is text without which the pattern cannot match, so that the pass can be skipped.
+# Markdown to plain text, rewrites in the order they are applied. After
+# pattern and replacement come texts; where none of them occurs the pattern cannot match.
 PLAIN_INLINE = (
     (r"(?s)```.*?```", "", "```"),
     (r"`([^`]*)`", "$1", "`"),
@@ -130,8 +130,8 @@ PLAIN_INLINE = (
     (r"(?s)\*(.*?)\*", "$1", "*"),
     (r"(?s)_(.*?)_", "$1", "_"),
     (r"(?m)(?d)^\s{0,3}#{1,6}\s+", "", "#"),
-    (r"(?m)(?d)^([A-Za-z][^\n]*)\n[-=]{3,}\s*$", "$1", "\n"),
-    (r"(?m)(?d)^\s*[-*+]\s+", "- ", ""),
+    (r"(?m)(?d)^([A-Za-z][^\n]*)\n[-=]{3,}\s*$", "$1", "\n-", "\n="),
+    (r"(?m)(?d)^\s*[-*+]\s+", "- ", "-", "*", "+"),
     (r"(?m)(?d)^\s*\d+\.\s+", "- ", "."),
 )
 PLAIN_TABLE_RULE = r"^\|?\s*-+\s*(?:\|\s*-+\s*)++\|?$"

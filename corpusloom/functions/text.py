@@ -41,17 +41,30 @@ def at_least_words(text: Column, n: int) -> Column:
     return F.rlike(text, F.lit(rf"\A(?:(?>[^!-~]*?{fv.WORD}+)){{{n}}}"))
 
 
+def rewrite_if(text: Column, pattern: str, replacement: str, needed) -> Column:
+    """One regex rewrite, skipped where the condition `needed(text)` does not hold."""
+    return let(
+        text, lambda t: F.when(needed(t), F.regexp_replace(t, pattern, replacement)).otherwise(t)
+    )
+
+
 def rewrite(text: Column, steps) -> Column:
-    """Regex rewrites (pattern, replacement, needed), each skipped where `needed` does not occur."""
-    for pattern, replacement, needed in steps:
-        text = let(
-            text,
-            lambda t, p=pattern, r=replacement, n=needed: F.when(
-                F.contains(t, F.lit(n)), F.regexp_replace(t, p, r)
-            ).otherwise(t)
-            if n
-            else F.regexp_replace(t, p, r),
-        )
+    """Regex rewrites (pattern, replacement, needed texts), skipped where no needed text occurs."""
+
+    def occurs(needed):
+        def any_of(t: Column) -> Column:
+            found = F.contains(t, F.lit(needed[0]))
+            for other in needed[1:]:
+                found = found | F.contains(t, F.lit(other))
+            return found
+
+        return any_of
+
+    for pattern, replacement, *needed in steps:
+        if needed:
+            text = rewrite_if(text, pattern, replacement, occurs(needed))
+        else:
+            text = F.regexp_replace(text, pattern, replacement)
     return text
 
 

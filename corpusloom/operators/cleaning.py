@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom import fixed_values as fv
 from corpusloom.functions.text import cut_before, first_match, let, strip
 
-REST = r"[\s\S]*"
+REST = "(?s:.*)"
 
 
 def _cut_at_line(text: Column, line_pattern: str) -> Column:
