@@ -54,7 +54,7 @@ WIKI_FOOTER_LINES = (
     r"^Close Request to Update\b",
     r"^Send Request to Update\b",
 )
-WIKI_SOCIAL_LINE = r"^\s*(?:Share|Copy URL|Facebook|Instagram|Twitch|Twitter|Youtube|Discord|TikTok)"
+WIKI_SOCIAL_LINE = r"^[^\S\n]*(?:Share|Copy URL|Facebook|Instagram|Twitch|Twitter|Youtube|Discord|TikTok)"
 WIKI_RATING_LINE = r"^\[!\[Image"
 
 # Blog page title lines, opening, boilerplate and closing markers.
@@ -71,11 +71,12 @@ BLOG_HEADER_LINES = (
 BLOG_BREADCRUMB = r"(?ims)(?d)^(?:\*\*Last Updated:\*\*|You are here:).*?(?=^#|^Introduction|\z)"
 BLOG_DISCLAIMER = "The content of the game guide may differ from the actual game content"
 BLOG_QUICK_LINKS = (
-    r"(?ims)(?d)^\s*(?:####\s*Quick\s+Links|\*\*Navigation\*\*\s*Hide)\s*$"
-    r".+?(?=^\s*(?:##|\[By|Introduction|\z)|(?<=\n)\z)"
+    r"(?ims)(?d)^\s*+(?:####\s*Quick\s+Links|\*\*Navigation\*\*\s*Hide)\s*$"
+    r".+?(?=^\s*+(?:##|\[By|Introduction|\z)|(?<=\n)\z)"
 )
+BLOG_QUICK_MARK = r"(?i)Quick\s+Links|\*\*Navigation\*\*"
 BLOG_CLOSING = (
-    r"(?im)(?d)^\s*(?:\[By\s+[^\]]+\]\(.*?\)|###\s+Check\s+these\s+out\s+before\s+you\s+go!\s*$)"
+    r"(?im)(?d)^[^\S\n]*(?:\[By\s+[^\]]+\]\(.*?\)|###\s+Check\s+these\s+out\s+before\s+you\s+go!\s*$)"
 )
 INTRODUCTION = (
     r"(?im)(?d)^Introduction\s*[\r\n]+[-=]{3,}",
@@ -120,6 +121,8 @@ SENTENCE_END = r"(?<=[.!?])\s+"
 
 # Markdown to plain text, rewrites in the order they are applied. After
 # pattern and replacement come texts; where none of them occurs the pattern cannot match.
+# LINE_START skips line starts after an empty line: the start of that line gave the same answer.
+LINE_START = r"(?m)(?d)^(?:\G|(?<!\n\n))"
 PLAIN_INLINE = (
     (r"(?s)```.*?```", "", "```"),
     (r"`([^`]*)`", "$1", "`"),
@@ -131,17 +134,17 @@ PLAIN_INLINE = (
     (r"(?s)_(.*?)_", "$1", "_"),
     (r"(?m)(?d)^\s{0,3}#{1,6}\s+", "", "#"),
     (r"(?m)(?d)^([A-Za-z][^\n]*)\n[-=]{3,}\s*$", "$1", "\n-", "\n="),
-    (r"(?m)(?d)^\s*[-*+]\s+", "- ", "-", "*", "+"),
-    (r"(?m)(?d)^\s*\d+\.\s+", "- ", "."),
+    (LINE_START + r"\s*+[-*+]\s+", "- ", "-", "*", "+"),
+    (LINE_START + r"\s*+\d+\.\s+", "- ", "."),
 )
 PLAIN_TABLE_RULE = r"^\|?\s*-+\s*(?:\|\s*-+\s*)++\|?$"
 PLAIN_CLEANUP = (
     (r"\\([\\`*_{}\[\]()#+\-\.!\"'])", "$1", "\\"),
-    (r"(?m)(?d)^\s*[*]{3,}\s*$", "", "***"),
-    (r"(?m)(?d)^\s*[-]{3,}\s*$", "", "---"),
-    (r"(?m)(?d)^\s*=_+\s*$", "", "=_"),
-    (r"(?m)(?d)^\s*Image\s+\d+\s*$", "", "Image"),
-    (r"(?m)(?d)^\s*Request Edit\s*$", "", "Request Edit"),
+    (LINE_START + r"\s*+[*]{3,}\s*$", "", "***"),
+    (LINE_START + r"\s*+[-]{3,}\s*$", "", "---"),
+    (LINE_START + r"\s*+=_+\s*$", "", "=_"),
+    (LINE_START + r"\s*+Image\s+\d+\s*$", "", "Image"),
+    (LINE_START + r"\s*+Request Edit\s*$", "", "Request Edit"),
     (r"\t", " ", "\t"),
     (r" {2,}", " ", "  "),
     (r"\n{3,}", "\n\n", "\n\n\n"),

@@ -14,26 +14,26 @@ from corpusloom.functions.text import let, strip
 # Elements whose whole content is dropped.
 DROPPED = ("script", "style", "noscript", "title", "nav", "footer")
 
-# Tag rewrites, applied in this order.
+# Tag rewrites, applied in this order; a third value is the closing tag.
 TAG_REWRITES = (
-    (r'(?i)<img\b[^>]*?\balt="([^"]*)"[^>]*?\bsrc="([^"]*)"[^>]*>', "![$1]($2)"),
-    (r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*?\balt="([^"]*)"[^>]*>', "![$2]($1)"),
-    (r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>', "![]($1)"),
-    (r"(?is)<(?:b|strong)\b[^>]*>(.*?)</(?:b|strong)\s*>", "**$1**"),
-    (r"(?is)<(?:i|em)\b[^>]*>(.*?)</(?:i|em)\s*>", "_$1_"),
-    (r"(?is)<code\b[^>]*>(.*?)</code\s*>", "`$1`"),
-    (r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a\s*>', "[$2]($1)"),
-    (r"(?i)<h1\b[^>]*>", "\n\n# "),
-    (r"(?i)<h2\b[^>]*>", "\n\n## "),
-    (r"(?i)<h3\b[^>]*>", "\n\n### "),
-    (r"(?i)<h4\b[^>]*>", "\n\n#### "),
-    (r"(?i)<h5\b[^>]*>", "\n\n##### "),
-    (r"(?i)<h6\b[^>]*>", "\n\n###### "),
-    (r"(?i)<li\b[^>]*>", "\n* "),
-    (r"(?i)<br\b[^>]*>", "\n"),
-    (r"(?i)<hr\b[^>]*>", "\n\n***\n\n"),
-    (r"(?i)</?(?:h[1-6]|p|div|section|article|main|header|aside|blockquote|ul|ol|table)\b[^>]*>", "\n\n"),
-    (r"<[^>]+>", ""),
+    (r'(?i)<img\b[^<>]*?\balt="([^"<>]*)"[^<>]*?\bsrc="([^"<>]*)"[^<>]*>', "![$1]($2)"),
+    (r'(?i)<img\b[^<>]*?\bsrc="([^"<>]*)"[^<>]*?\balt="([^"<>]*)"[^<>]*>', "![$2]($1)"),
+    (r'(?i)<img\b[^<>]*?\bsrc="([^"<>]*)"[^<>]*>', "![]($1)"),
+    (r"(?is)<(?:b|strong)\b[^<>]*>(.*?)</(?:b|strong)\s*>", "**$1**", r"</(?:b|strong)\s*>"),
+    (r"(?is)<(?:i|em)\b[^<>]*>(.*?)</(?:i|em)\s*>", "_$1_", r"</(?:i|em)\s*>"),
+    (r"(?is)<code\b[^<>]*>(.*?)</code\s*>", "`$1`", r"</code\s*>"),
+    (r'(?is)<a\b[^<>]*?\bhref="([^"<>]*)"[^<>]*>(.*?)</a\s*>', "[$2]($1)", r"</a\s*>"),
+    (r"(?i)<h1\b[^<>]*>", "\n\n# "),
+    (r"(?i)<h2\b[^<>]*>", "\n\n## "),
+    (r"(?i)<h3\b[^<>]*>", "\n\n### "),
+    (r"(?i)<h4\b[^<>]*>", "\n\n#### "),
+    (r"(?i)<h5\b[^<>]*>", "\n\n##### "),
+    (r"(?i)<h6\b[^<>]*>", "\n\n###### "),
+    (r"(?i)<li\b[^<>]*>", "\n* "),
+    (r"(?i)<br\b[^<>]*>", "\n"),
+    (r"(?i)<hr\b[^<>]*>", "\n\n***\n\n"),
+    (r"(?i)</?(?:h[1-6]|p|div|section|article|main|header|aside|blockquote|ul|ol|table)\b[^<>]*>", "\n\n"),
+    (r"<[^<>]+>", ""),
 )
 
 # Named entities; the ampersand comes last.
@@ -79,15 +79,36 @@ def unescape(text: Column) -> Column:
     return decoded
 
 
+def rewrite_closed(text: Column, pattern: str, replacement: str, closing: str) -> Column:
+    """Rewrite elements from opening to closing mark, up to the last closing mark.
+
+    Behind that no element can end, so that an opening mark there would be looked for in vain
+    through the whole rest of the text, each time anew.
+    """
+
+    def rewritten(t: Column) -> Column:
+        return let(
+            F.regexp_extract(t, rf"(?is)\A.*{closing}", 0),
+            lambda head: F.when(
+                head != "",
+                F.concat(
+                    F.regexp_replace(head, pattern, replacement),
+                    F.substring(t, F.length(head) + 1, F.length(t)),
+                ),
+            ).otherwise(t),
+        )
+
+    return let(text, rewritten)
+
+
 def table_rows(text: Column) -> Column:
     """Table rows to pipe rows, with a rule under each header row."""
 
     def row(inner: Column) -> Column:
+        pieces = F.split(inner, r"(?i)<t[hd]\b[^<>]*>")
         cells = F.transform(
-            F.regexp_extract_all(
-                inner, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"), F.lit(1)
-            ),
-            lambda cell: strip(cell),
+            F.slice(pieces, F.lit(2), F.size(pieces)),
+            lambda cell: strip(F.regexp_replace(cell, r"(?i)</t[hd]\s*>", "")),
         )
         rule = F.when(F.rlike(inner, F.lit(r"(?i)<th\b")), F.lit(" --- |")).otherwise(F.lit(""))
         return let(
@@ -106,7 +127,7 @@ def table_rows(text: Column) -> Column:
             ).otherwise(F.lit(" ")),
         )
 
-    pieces = F.split(text, r"(?i)</?tr\b[^>]*>")
+    pieces = F.split(text, r"(?i)</?tr\b[^<>]*>")
     return F.array_join(
         F.transform(pieces, lambda p, i: F.when(i % 2 == 1, row(p)).otherwise(p)), ""
     )
@@ -115,8 +136,11 @@ def table_rows(text: Column) -> Column:
 def flow(html: Column) -> Column:
     """Everything outside preformatted blocks."""
     text = let(F.regexp_replace(html, r"\s+", " "), table_rows)
-    for pattern, replacement in TAG_REWRITES:
-        text = F.regexp_replace(text, pattern, replacement)
+    for pattern, replacement, *closing in TAG_REWRITES:
+        if closing:
+            text = rewrite_closed(text, pattern, replacement, closing[0])
+        else:
+            text = F.regexp_replace(text, pattern, replacement)
     text = unescape(text)
     text = F.regexp_replace(text, r"[ \t]+", " ")
     text = F.regexp_replace(text, r" ?\n ?", "\n")
@@ -125,7 +149,7 @@ def flow(html: Column) -> Column:
 
 def fence(html: Column) -> Column:
     """A preformatted block: tags dropped, line breaks and indentation kept."""
-    code = F.btrim(unescape(F.regexp_replace(html, r"<[^>]+>", "")), F.lit("\n"))
+    code = F.btrim(unescape(F.regexp_replace(html, r"<[^<>]+>", "")), F.lit("\n"))
     return let(
         code,
         lambda c: F.when(
@@ -135,13 +159,14 @@ def fence(html: Column) -> Column:
 
 
 def html_to_markdown(html: Column) -> Column:
-    body = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    body = rewrite_closed(html, r"(?s)<!--.*?-->", "", "-->")
     for tag in DROPPED:
-        body = F.regexp_replace(body, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    pieces = F.split(body, r"(?i)</?pre\b[^>]*>")
+        closing = rf"</{tag}\s*>"
+        body = rewrite_closed(body, rf"(?is)<{tag}\b[^<>]*>.*?{closing}", "", closing)
+    pieces = F.split(body, r"(?i)</?pre\b[^<>]*>")
     blocks = F.transform(pieces, lambda p, i: F.when(i % 2 == 1, fence(p)).otherwise(flow(p)))
     return F.array_join(F.filter(blocks, lambda b: b != ""), "\n\n")
 
 
 def html_title(html: Column) -> Column:
-    return strip(unescape(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)))
+    return strip(unescape(F.regexp_extract(html, r"(?i)<title\b[^<>]*>([^<]*)</title\s*>", 1)))

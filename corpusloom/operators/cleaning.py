@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
-from corpusloom.functions.text import cut_before, first_match, let, strip
+from corpusloom.functions.text import cut_before, first_match, let, rewrite, rewrite_if, strip
 
 REST = "(?s:.*)"
 
@@ -93,7 +93,9 @@ def clean_intro_anchor(content: Column) -> Column:
         )
         text = F.regexp_replace(text, fv.BLOG_BREADCRUMB, "")
         text = F.substring_index(text, fv.BLOG_DISCLAIMER, 1)
-        text = F.regexp_replace(text, fv.BLOG_QUICK_LINKS, "")
+        text = rewrite_if(
+            text, fv.BLOG_QUICK_LINKS, "", lambda t: F.rlike(t, F.lit(fv.BLOG_QUICK_MARK))
+        )
         text = F.regexp_replace(text, fv.BLOG_CLOSING + REST, "")
         return _titled(title, text)
 
@@ -130,7 +132,7 @@ def _titled(title: Column, text: Column) -> Column:
 
 def clean_default(content: Column) -> Column:
     """Any other page: drop inline links with their text, collapse line breaks."""
-    text = F.regexp_replace(content, fv.INLINE_LINK, "")
+    text = rewrite(content, [(fv.INLINE_LINK, "", "](")])
     return strip(F.regexp_replace(text, r"\n+", "\n"))
 
 

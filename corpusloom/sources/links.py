@@ -21,7 +21,10 @@ def read_markdown_files(spark: SparkSession, path: str) -> DataFrame:
 
 def links_of(files: DataFrame) -> DataFrame:
     """Every http link of files(file, text), in order; images are skipped."""
-    found = F.regexp_extract_all("text", F.lit(fv.LINK_TARGET), F.lit(1))
+    found = F.when(
+        F.contains(F.col("text"), F.lit("](http")),
+        F.regexp_extract_all("text", F.lit(fv.LINK_TARGET), F.lit(1)),
+    )
     return files.select("file", F.posexplode(found).alias("pos", "url"))
 
 
