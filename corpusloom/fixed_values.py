@@ -20,7 +20,7 @@ WORD_CHAR = (
 WORD = WORD_CHAR + "+"
 
 # Characters other than the plain newline that also end a line.
-OTHER_LINE_END = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85[  ]]"
+OTHER_LINE_END = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85[\x{2028}\x{2029}]]"
 
 # Tokens are words * 13 / 10, rounded down.
 TOKENS_PER_10_WORDS = 13

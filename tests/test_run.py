@@ -87,3 +87,20 @@ def test_document_plan_has_no_shuffle(spark, tmp_path, monkeypatch):
     )
     plan = document_prompts(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_hot_conversation_is_cut_into_segments(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    turns = spark.range(1000).select(
+        F.when(F.col("id") < 400, F.lit(7)).otherwise(F.col("id")).alias("conv_id"),
+        F.when(F.col("id") < 400, F.col("id")).otherwise(F.lit(0)).alias("turn"),
+        F.lit("user").alias("role"),
+        F.concat(F.lit("t"), F.col("id")).alias("text"),
+    )
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    found = inputs.dialogues_json(spark, str(tmp_path))
+    hot = [r["dialogue"] for r in found.where("conv_id = 7").orderBy("seg").collect()]
+    assert len(hot) == 7 and sum(d.count('"role"') for d in hot) == 400
+    assert json.loads(hot[0])["conversations"][10]["content"] == "t10"
+    assert found.count() == 607
