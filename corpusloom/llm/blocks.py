@@ -12,6 +12,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql.types import StructType
 
 BLOCK_BYTES = 2 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -151,3 +152,15 @@ def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray
     np.add.at(steps, starts, 1)
     np.add.at(steps, np.minimum(starts + lengths, n), -1)
     return np.cumsum(steps[:n]) > 0
+
+
+def append_columns(df, schema: str, make):
+    """`df` with columns added batch by batch: `make(batch)` gives one Arrow array per added column."""
+    added = StructType.fromDDL(schema)
+    names = [*df.columns, *added.fieldNames()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch)], names=names)
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))

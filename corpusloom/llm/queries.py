@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.rules import COUNTS, judged
 from corpusloom.llm.store import table
 from corpusloom.llm.substring import remove_repeats
+from corpusloom.llm.token_counts import token_counts
+from corpusloom.llm.winnowing import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +21,33 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    found = token_counts(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.selectExpr("doc_id", "_n_bytes n_bytes", "_n_tokens n_tokens", "_over_limit over_limit")
+
+
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return contamination(docs, table(spark, sf, "benchmark")).select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
+        (F.col("_n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = judged(docs, table(spark, sf, "labels"))
+    return found.select("doc_id", *[F.col(f"_{n}").alias(n) for n in (*COUNTS, "base_failed", "kept", "score")])
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_token_counts": op2_token_counts,
+    "op6_decontamination": op6_decontamination,
+    "op10_quality_rules": op10_quality_rules,
 }
 LLM_ORACLES: dict[str, str] = {}

@@ -25,3 +25,45 @@ def remove_repeats(rows, window=13):
         kept = " ".join(w for k, w in enumerate(words) if k not in gone)
         found.append((i, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return found
+
+
+def contamination(rows, items, window=10):
+    """(doc_id, n_words, n_hit, n_items, sha256 of the item ids, contaminated)."""
+
+    def lowered(text):
+        text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+    owners = {}
+    for item, text in items:
+        words = lowered(text)
+        size = min(window, len(words))
+        for k in range(len(words) - size + 1 if size else 0):
+            owners.setdefault(size, {}).setdefault(tuple(words[k : k + size]), set()).add(item)
+    found = []
+    for i, text in rows:
+        words, hit, names = lowered(text), set(), set()
+        for size, windows in owners.items():
+            for k in range(len(words) - size + 1):
+                if (gram := tuple(words[k : k + size])) in windows:
+                    hit.update(range(k, k + size))
+                    names |= windows[gram]
+        names = sorted(str(n) for n in names if n is not None)
+        digest = hashlib.sha256(",".join(names).encode()).hexdigest()
+        found.append((i, len(words), len(hit), len(names), digest, bool(hit)))
+    return found
+
+
+def base_counts(text, window=5):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    places = {}
+    for k in range(len(words) - window + 1):
+        places.setdefault(tuple(words[k : k + window]), []).append(k)
+    repeated = {k + j for at in places.values() if len(at) > 1 for k in at for j in range(window)}
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)), len(repeated),
+    )
