@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.rules import COUNTS, judged
 from corpusloom.llm.store import table
 from corpusloom.llm.substring import remove_repeats
@@ -26,6 +27,10 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return found.selectExpr("doc_id", "_n_bytes n_bytes", "_n_tokens n_tokens", "_over_limit over_limit")
 
 
+def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return contamination(docs, table(spark, sf, "benchmark")).select(
@@ -47,6 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_near_dedup": op3_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }

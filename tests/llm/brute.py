@@ -67,3 +67,30 @@ def base_counts(text, window=5):
         len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
         len(lines) - len(set(lines)), len(repeated),
     )
+
+
+def near_duplicates(rows, size=5, percent=85):
+    """(doc_id, n_shingles, component_id, kept); ids are distinct and not None."""
+    sets = {}
+    for i, text in rows:
+        words = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        n = min(size, len(words))
+        sets[i] = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if n else set()
+    holders, root = {}, {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(sets):
+        common = {}
+        for shingle in sets[i]:
+            for other in holders.setdefault(shingle, []):
+                common[other] = common.get(other, 0) + 1
+            holders[shingle].append(i)
+        for other, both in common.items():
+            if 100 * both >= percent * (len(sets[i]) + len(sets[other]) - both):
+                low, high = sorted((find(i), find(other)))
+                root[high] = low
+    return [(i, len(s), find(i), find(i) == i) for i, s in sets.items()]
