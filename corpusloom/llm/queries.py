@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.mixing import mixed, sized
 from corpusloom.llm.near_dedup import near_duplicates
+from corpusloom.llm.pseudonyms import KINDS, with_pseudonyms
 from corpusloom.llm.rules import COUNTS, judged
+from corpusloom.llm.secrets import with_secrets
+from corpusloom.llm.spans import listed
 from corpusloom.llm.store import table
 from corpusloom.llm.substring import remove_repeats
 from corpusloom.llm.token_counts import token_counts
@@ -17,6 +21,10 @@ from corpusloom.llm.winnowing import contamination
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _count_of(array: str, kind_of, kind: str):
+    return F.size(F.filter(array, lambda entry: kind_of(entry) == kind)).cast("bigint").alias(f"n_{kind}")
+
+
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = remove_repeats(table(spark, sf, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -43,6 +51,24 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixed(sized(table(spark, sf, "documents"), "doc_id", "text", "source"))
+
+
+def op8_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    found = with_pseudonyms(table(spark, sf, "documents").select("doc_id", "text"))
+    counts = [_count_of("_found", lambda k: k, kind) for kind, _ in KINDS]
+    return found.select("doc_id", *counts, "text")
+
+
+def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = with_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    counts = [_count_of("_base", lambda s: s["kind"], kind) for kind in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(F.col("_base")), 256).alias("base_sha256"), listed(F.col("_spans")).alias("spans")
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = judged(docs, table(spark, sf, "labels"))
@@ -54,6 +80,9 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op3_near_dedup": op3_near_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_mixing": op7_mixing,
+    "op8_pseudonyms": op8_pseudonyms,
+    "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
-LLM_ORACLES: dict[str, str] = {}
+

@@ -94,3 +94,17 @@ def near_duplicates(rows, size=5, percent=85):
                 low, high = sorted((find(i), find(other)))
                 root[high] = low
     return [(i, len(s), find(i), find(i) == i) for i, s in sets.items()]
+
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+
+
+def base_secrets(text):
+    """kind:start:end of the base patterns, ordered by start, then kind."""
+    text = text or ""
+    found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(found))
