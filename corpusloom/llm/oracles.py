@@ -26,15 +26,14 @@ MIX_TARGETS = r"""
       from_here AS (ORDER BY 2 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
   ),
   levels AS (
-    SELECT coalesce(
-      min((1.5::DOUBLE * (SELECT sum(source_size) FROM sources) - filled) / weights)
-        FILTER ((1.5::DOUBLE * (SELECT sum(source_size) FROM sources) - filled) / weights < 2.0::DOUBLE * source_size / weight),
-      0) AS level
+    SELECT *, ((SELECT 1.5::DOUBLE * sum(source_size) FROM sources) - filled) / weights AS level,
+      2.0::DOUBLE * source_size / weight AS full_at
     FROM filling
   ),
+  water AS (SELECT coalesce(arg_min(level, full_at) FILTER (level < full_at), 0) AS level FROM levels),
   goals AS (
-    SELECT source, source_size, mean, least(2.0::DOUBLE * source_size, level * weight) AS target
-    FROM sources, levels
+    SELECT source, source_size, mean, least(2.0::DOUBLE * source_size, water.level * weight) AS target
+    FROM sources, water
   )
 """
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.mixing import mixed, sized
 from corpusloom.llm.near_dedup import near_duplicates
+from corpusloom.llm.oracles import LLM_ORACLES as LLM_ORACLES
+from corpusloom.llm.ordinal import graded, train
+from corpusloom.llm.packing import packed
 from corpusloom.llm.pseudonyms import KINDS, with_pseudonyms
 from corpusloom.llm.rules import COUNTS, judged
 from corpusloom.llm.secrets import with_secrets
@@ -39,6 +42,18 @@ def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packed(table(spark, sf, "documents"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = graded(docs, train(docs, table(spark, sf, "labels")))
+    return found.selectExpr(
+        "doc_id", "_expected_grade expected_grade", "_p_ge_1 p_ge_1", "_p_ge_2 p_ge_2", "_kept kept"
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return contamination(docs, table(spark, sf, "benchmark")).select(
@@ -79,6 +94,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_near_dedup": op3_near_dedup,
+    "op4_packing": op4_packing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
     "op8_pseudonyms": op8_pseudonyms,
