@@ -1,14 +1,16 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
 Grades are 0 (toxic), 1 (not toxic, of low quality) and 2 (not toxic, of good quality). A text has the hashed set of its
-distinct lower-cased words (A-Z); one weight per cell is shared by all grades, and ordered thresholds cut the score:
-P(grade <= k) = logistic(threshold_k - score). That gives the expected grade and the tail probabilities.
+distinct lower-cased words (A-Z), its distinct runs of marks, and three cells for its shape: the tenth its share of
+marks, of capitals and of distinct words falls in. One weight per cell is shared by all grades, and ordered thresholds cut the
+score: P(grade <= k) = logistic(threshold_k - score). That gives the expected grade and the tail probabilities.
 
 The model is fitted on at most `max_rows` labelled documents, the first by a hash of their id, over their whole
-texts, in one task of bounded size (mini-batches, adaptive steps). Its table of 2^`bits` weights is broadcast and every
+texts, in one task of bounded size (mini-batches, adaptive steps, a lasso penalty; cells of fewer than `least_docs` of these
+documents stay 0, so that no document is learnt by its own rare words). Its table of 2^`bits` weights is broadcast and every
 document is scored in one pass, without a shuffle.
 
-Defined cases: NULL and empty texts have no words; they get the grade probabilities of the bare thresholds. Labels with a NULL are not used;
+Defined cases: NULL and empty texts have no cells; they get the grade probabilities of the bare thresholds. Labels with a NULL are not used;
 of several labels of one id the worst counts. Without labels the model is all zeros with thresholds -1 and 1. Other columns pass through unread.
 """
 
@@ -22,19 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.blocks import NOT_BLANK, append_columns, blocks
+from corpusloom.llm.blocks import (
+    LETTERS_AND_DIGITS, LOWER, NOT_BLANK, Words, append_columns, mix, row_ranges, stream, text_bytes, words_of,
+)
 
 GRADES = 3
+MARKS = NOT_BLANK & ~LETTERS_AND_DIGITS
 
 
 @dataclass(frozen=True)
 class OrdinalOptions:
     bits: int = 20
     max_rows: int = 12_000
-    epochs: int = 12
+    epochs: int = 30
     batch: int = 64
     step: float = 0.3
-    ridge: float = 1e-5
+    lasso: float = 2e-3
+    least_docs: int = 5
     seed: int = 0
     least_tail: float = 0.5
 
@@ -53,23 +59,38 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def _tenths(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return np.ceil(10 * part / np.maximum(whole, 1)).astype(np.uint64)
+
+
+def _block_cells(words: Words, marks: Words, raw: np.ndarray, bits: int) -> np.ndarray:
+    """Distinct (row, cell) of a block as row * 2^bits + cell. `words` are lower-cased letters and digits, `raw` is not."""
+    shift, row = np.uint64(64 - bits), np.uint64(bits)
+    keys = [np.unique(w.doc.astype(np.uint64) << row | w.hashes >> shift) for w in (words, marks)]
+    distinct = np.bincount((keys[0] >> row).astype(np.int64), minlength=words.rows)
+    n_words, n_bytes = np.diff(words.first), np.diff(words.at)
+    filled = np.flatnonzero(n_words + np.diff(marks.first))
+    capital = np.concatenate([[0], np.cumsum((raw >= 0x41) & (raw <= 0x5A))])[words.at]
+    mark_bytes = np.bincount(marks.doc, marks.end - marks.start, minlength=words.rows)
+    shapes = (_tenths(mark_bytes, n_bytes), _tenths(np.diff(capital), n_bytes), _tenths(distinct, n_words))
+    for salt, tenth in zip(stream(11, len(shapes)), shapes, strict=True):
+        keys.append(filled.astype(np.uint64) << row | mix(tenth[filled] + salt) >> shift)
+    return np.unique(np.concatenate(keys))
+
+
 def _cells(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the distinct words of each text, and the row of each, by row."""
+    """Cells of each text, and the row of each, by row."""
     cells, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for lo, _, words in blocks(column, NOT_BLANK, lower=True):
-        own = words.hashes >> np.uint64(64 - bits)
-        key = words.doc.astype(np.uint64) << np.uint64(bits) | own
-        key = np.unique(key)
-        cells.append((key & np.uint64((1 << bits) - 1)).astype(np.int64))
-        rows.append((key >> np.uint64(bits)).astype(np.int64) + lo)
+    data, at = text_bytes(column)
+    for lo, hi in row_ranges(at):
+        raw, inside = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+        words = words_of(raw, inside, LETTERS_AND_DIGITS, lower=True)
+        keys = _block_cells(words, words_of(LOWER[raw], inside, MARKS), raw, bits)
+        cells.append((keys & np.uint64((1 << bits) - 1)).astype(np.int64))
+        rows.append((keys >> np.uint64(bits)).astype(np.int64) + lo)
     return np.concatenate(cells), np.concatenate(rows)
 
 
-def _scale(rows: np.ndarray, n: int) -> np.ndarray:
-    """1 / sqrt(distinct words) of each row: scores of long and short texts have one scale."""
-    return 1 / np.sqrt(np.maximum(np.bincount(rows, minlength=n), 1))
-
-
 def fit(cells: np.ndarray, rows: np.ndarray, grades: np.ndarray, options: OrdinalOptions) -> OrdinalModel:
     """Fit on texts given as distinct cells by row (see `_cells`) and a grade per row."""
     weights = np.zeros(1 << options.bits)
@@ -78,15 +99,16 @@ def fit(cells: np.ndarray, rows: np.ndarray, grades: np.ndarray, options: Ordina
     free = np.array([-1.0] + [np.log(2.0)] * (GRADES - 2))
     free_squares = np.full(GRADES - 1, 1e-8)
     n = len(grades)
+    shared = np.bincount(cells, minlength=len(weights)) >= options.least_docs
+    cells, rows = cells[shared[cells]], rows[shared[cells]]
     at = np.searchsorted(rows, np.arange(n + 1))
-    scale = _scale(rows, n)
     order = np.random.default_rng(options.seed)
     for _ in range(options.epochs if n else 0):
         for batch in np.array_split(order.permutation(n), max(1, n // options.batch)):
             pick = np.concatenate([np.arange(at[r], at[r + 1]) for r in batch])
             which = np.repeat(np.arange(len(batch)), at[batch + 1] - at[batch])
-            cell, value = cells[pick], scale[batch][which]
-            score = np.bincount(which, weights[cell] * value, minlength=len(batch))
+            cell = cells[pick]
+            score = np.bincount(which, weights[cell], minlength=len(batch))
             gaps = np.exp(free[1:])
             thresholds = np.concatenate([free[:1], free[0] + np.cumsum(gaps)])
             bounds = np.concatenate([[-np.inf], thresholds, [np.inf]])
@@ -96,9 +118,11 @@ def fit(cells: np.ndarray, rows: np.ndarray, grades: np.ndarray, options: Ordina
             d_high, d_low = high * (1 - high) / share, low * (1 - low) / share
             slope = (d_high - d_low) / len(batch)  # of the loss, by score
             touched, back = np.unique(cell, return_inverse=True)
-            step = np.bincount(back, slope[which] * value) + options.ridge * weights[touched]
+            step = np.bincount(back, slope[which])
             squares[touched] += step**2
-            weights[touched] -= options.step * step / np.sqrt(squares[touched])
+            rate = options.step / np.sqrt(squares[touched])
+            moved = weights[touched] - rate * step
+            weights[touched] = np.sign(moved) * np.maximum(np.abs(moved) - rate * options.lasso, 0)
             by_threshold = np.zeros(GRADES + 1)
             np.add.at(by_threshold, grade + 1, -d_high / len(batch))
             np.add.at(by_threshold, grade, d_low / len(batch))
@@ -175,7 +199,7 @@ def graded(df: DataFrame, model: OrdinalModel, text: str = "text", options: Ordi
         weights, thresholds = sent.value
         cells, rows = _cells(batch[text], options.bits)
         n = batch.num_rows
-        score = np.bincount(rows, weights[cells], minlength=n) * _scale(rows, n)
+        score = np.bincount(rows, weights[cells], minlength=n)
         tails = OrdinalModel(weights, thresholds).tails(score)
         return [pa.array(tails.sum(axis=1)), *(pa.array(tails[:, k]) for k in range(GRADES - 1))]
 
