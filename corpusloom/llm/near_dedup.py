@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.blocks import GOLDEN, NOT_BLANK, Words, blocks, mix, stream
+from corpusloom.llm.blocks import GOLDEN, NOT_BLANK, Words, blocks, mix, row_ranges, stream, text_bytes, words_of
 from corpusloom.llm.components import components
 from corpusloom.llm.store import cut
 
@@ -154,24 +154,25 @@ def _near_enough(a: str, b: str, options: NearOptions) -> Column:
 
 
 def _common(left: pa.Array, right: pa.Array, options: NearOptions) -> np.ndarray:
-    """True where the full shingle sets of two texts are similar enough."""
-    sides = []
-    for column in (left, right):
+    """True where the full shingle sets of two texts are similar enough; some MB of text at a time."""
+    sides = [text_bytes(left), text_bytes(right)]
+    found = [np.zeros(0, bool)]
+    for lo, hi in row_ranges(sides[0][1] + sides[1][1]):
         hashes, rows = [], []
-        for lo, _, words in blocks(column, NOT_BLANK, lower=True):
+        for data, at in sides:
+            words = words_of(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], NOT_BLANK, lower=True)
             own, row = shingles(words, options.shingle)
-            hashes.append(own)
-            rows.append(row + lo)
-        hashes, rows = np.concatenate(hashes), np.concatenate(rows)
-        own = _distinct(hashes, rows)
-        sides.append((hashes[own], rows[own]))
-    (h_a, r_a), (h_b, r_b) = sides
-    keys = mix(np.concatenate([h_a, h_b]) + (np.concatenate([r_a, r_b]).astype(np.uint64) + np.uint64(1)) * GOLDEN)
-    rows, order = np.concatenate([r_a, r_b]), np.argsort(keys)
-    twice = order[1:][keys[order][1:] == keys[order][:-1]]
-    both = np.bincount(rows[twice], minlength=len(left))
-    union = np.bincount(rows, minlength=len(left)) - both
-    return 100 * both >= options.percent * union
+            once = _distinct(own, row)
+            hashes.append(own[once])
+            rows.append(row[once])
+        rows = np.concatenate(rows)
+        keys = mix(np.concatenate(hashes) + (rows.astype(np.uint64) + np.uint64(1)) * GOLDEN)
+        order = np.argsort(keys)
+        twice = order[1:][keys[order][1:] == keys[order][:-1]]
+        both = np.bincount(rows[twice], minlength=hi - lo)
+        union = np.bincount(rows, minlength=hi - lo) - both
+        found.append(100 * both >= options.percent * union)
+    return np.concatenate(found)
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, options: NearOptions) -> DataFrame:
