@@ -17,7 +17,7 @@ A document is the set of its distinct `shingle`-word shingles, lower-cased (A-Z)
 With 24 bands of 4 rows a pair at similarity 0.85 shares no band with probability 2e-8.
 
 Defined cases: NULL texts and texts without words have empty sets and are linked with nothing. Rows with a NULL id
-are linked with nothing, have a NULL component and are kept. Rows of one id count as one document.
+are linked with nothing, have a NULL component and are kept. Rows of one id that have words count as one document.
 Other columns pass through unread.
 """
 
@@ -248,6 +248,15 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, option
     )
 
 
+def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of rows that have one id and different sets."""
+    rows = signed.filter("n > 0 and doc_id is not null").select("doc_id", "set")
+    apart = rows.groupBy("doc_id").agg(F.min("set").alias("one"), F.max("set").alias("other")).filter("one != other")
+    held = rows.join(apart.select("doc_id"), "doc_id").distinct().join(classes.select("set", "rep"), "set")
+    least = held.groupBy("doc_id").agg(F.min("rep").alias("b"))
+    return held.join(least, "doc_id").select(F.col("rep").alias("a"), "b").filter("a != b")
+
+
 def near_duplicates(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", options: NearOptions = NearOptions()
 ) -> DataFrame:
@@ -269,6 +278,7 @@ def near_duplicates(
     rest = cut(_rest_pairs(members, classes, components(links), options).join(stars, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         links = links.unionByName(cut(_confirmed(rest, classes, docs, options), "confirmed"))
+    links = links.unionByName(_same_id(signed, classes))
     grouped = classes.select("set", "rep").join(components(links), F.col("rep") == F.col("node"), "left")
     grouped = grouped.select("set", F.coalesce("component", "rep").alias("found"))
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))

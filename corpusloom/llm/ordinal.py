@@ -186,6 +186,8 @@ def train(
         rated.repartition(1).sortWithinPartitions("id", "grade", "cells")
         .mapInArrow(one_task, "cells binary, weights binary, thresholds binary").first()
     )
+    if fitted is None:  # no labelled document
+        return fit(*[np.zeros(0, np.int64)] * 3, options)
     weights = np.zeros(1 << options.bits)
     weights[np.frombuffer(fitted["cells"], np.int64)] = np.frombuffer(fitted["weights"])
     return OrdinalModel(weights, np.frombuffer(fitted["thresholds"]))

@@ -222,8 +222,8 @@ def token_counts(df: DataFrame, text: str = "text", options: TokenOptions = Toke
     )
     long_rows = df.filter(long_text).withColumn("_key", F.sha2(given, 256))
     texts = long_rows.groupBy(F.col("_key").alias("key")).agg(F.first(given).alias("text"))
-    counts = _long_counts(texts, options).withColumnRenamed("n_tokens", "_n_tokens")
-    joined = long_rows.join(counts, F.col("_key") == F.col("key")).drop("_key", "key")
+    counts = _long_counts(texts, options).select(F.col("key").alias("_text_key"), F.col("n_tokens").alias("_n_tokens"))
+    joined = long_rows.join(counts, F.col("_key") == F.col("_text_key")).drop("_key", "_text_key")
     return (
         short.unionByName(joined)
         .withColumn("_n_bytes", F.coalesce(F.octet_length(given), F.lit(0)).cast("bigint"))

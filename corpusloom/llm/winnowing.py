@@ -187,9 +187,10 @@ def contamination(
             pa.array(found, pa.list_(pa.string())),
         ]
 
-    matched = df.withColumn("_key", key).join(grouped, F.col("_key") == F.col("key"), "left")
+    grouped = grouped.withColumnRenamed("key", "_hit_key")
+    matched = df.withColumn("_key", key).join(grouped, F.col("_key") == F.col("_hit_key"), "left")
     measured = append_columns(
-        matched.drop("_key", "key"), "_n_words bigint, _n_hit bigint, _items array<string>", make
+        matched.drop("_key", "_hit_key"), "_n_words bigint, _n_hit bigint, _items array<string>", make
     )
     return measured.drop("_hits")
 
