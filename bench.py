@@ -30,6 +30,7 @@ HEADLINE = (
     "structure_dispatch",
     "prompts",
     "site_prompts",
+    "page_prompts",
     "links_unique",
     "links_pending",
     "parse_dialogues",
@@ -52,6 +53,7 @@ def main() -> None:
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("corpusloom.spread.partitions", cpus)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

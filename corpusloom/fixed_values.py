@@ -98,8 +98,10 @@ TOOL_CLOSING = r"(?im)(?d)^[^\n]*Let\s+us\s+know!"
 UNKNOWN_TITLE = "Unknown"
 
 # Markdown forms.
-INLINE_LINK = r"(?d)\[.*?\]\(.*?\)"
-LINK_TARGET = r'(?<!!)\[[^\]]*\]\((https?://[^\s)]+)(?:\s+"[^"]*")?\)'
+# A bracket from which no link can be completed is matched together with what no later bracket could complete
+# either, and is put back or skipped; so no text is searched twice.
+INLINE_LINK = r"(?d)\[(?>.*?\]\()(?>.*?\))|(\[.*)"
+LINK_TARGET = r'(?<!!)\[[^\]]*+(?:\]\((https?://[^\s)]++)(?:\s+"[^"]*")?\))?+'
 TITLE_LINES = (
     r"(?m)(?d)^#[^\S\n]+(\S.*)$",
     r"(?m)(?d)^##[^\S\n]+(\S.*)$",
@@ -126,8 +128,8 @@ LINE_START = r"(?m)(?d)^(?:\G|(?<!\n\n))"
 PLAIN_INLINE = (
     (r"(?s)```.*?```", "", "```"),
     (r"`([^`]*)`", "$1", "`"),
-    (r"!\[([^\]]*)\]\([^\)]*\)", "$1", "!["),
-    (r"\[([^\]]+)\]\([^\)]+\)", "$1", "]("),
+    (r"!\[([^\]]*+)\]\([^\)]*+\)|(!\[[^\]]*+(?:\]\([^\)]*+\z)?+)", "$1$2", "!["),
+    (r"\[([^\]]++)\]\([^\)]++\)|(\[[^\]]*+(?:\]\([^\)]*+\z)?+)", "$1$2", "]("),
     (r"(?s)\*\*(.*?)\*\*", "$1", "**"),
     (r"(?s)__(.*?)__", "$1", "__"),
     (r"(?s)\*(.*?)\*", "$1", "*"),

@@ -132,7 +132,7 @@ def _titled(title: Column, text: Column) -> Column:
 
 def clean_default(content: Column) -> Column:
     """Any other page: drop inline links with their text, collapse line breaks."""
-    text = rewrite(content, [(fv.INLINE_LINK, "", "](")])
+    text = rewrite(content, [(fv.INLINE_LINK, "$1", "](")])
     return strip(F.regexp_replace(text, r"\n+", "\n"))
 
 

@@ -16,6 +16,7 @@ from corpusloom.functions.dialogue_json import (
     turns_of,
 )
 from corpusloom.functions.text import let
+from corpusloom.operators.prompts import unique_requests
 from corpusloom.options import RecordOptions
 
 
@@ -79,9 +80,11 @@ def records(
 ) -> DataFrame:
     """Join dialogues with sources(request_id, url, date) and add the record's metadata.
 
+    A request that is listed several times counts once.
+
     The turns are read from the object after the join, so the text is shuffled once.
     """
-    keyed = sources.select("request_id", "url", "date")
+    keyed = unique_requests(sources.select("request_id", "url", "date"))
     return (
         dialogue_rows.drop("conversations")
         .join(keyed, "request_id")

@@ -31,11 +31,21 @@ def request_id(*key: Column) -> Column:
 
 
 def prompts(parts: DataFrame, template: str = fv.DEFAULT_TEMPLATE) -> DataFrame:
-    """parts(url, guide_title, chunk_no, part_no, text, ...) to one prompt per non-empty part."""
+    """parts(url, guide_title, chunk_no, part_no, text, ...) to one prompt per non-empty part.
+
+    The id holds the whole prompt, so another template or text is another request.
+    """
     return (
         parts.where(F.col("text") != "")
         .withColumn(
             "prompt", prompt_text(F.lit(template), F.col("guide_title"), F.col("text"))
         )
-        .withColumn("request_id", request_id(F.col("url"), F.col("chunk_no"), F.col("part_no"), F.col("text")))
+        .withColumn("request_id", request_id(F.col("url"), F.col("chunk_no"), F.col("part_no"), F.col("prompt")))
     )
+
+
+def unique_requests(prompt_rows: DataFrame) -> DataFrame:
+    """Each request once; equal ids mean equal prompts, so any of the rows will do. Combined before the shuffle."""
+    others = [c for c in prompt_rows.columns if c != "request_id"]
+    found = prompt_rows.groupBy("request_id").agg(F.min(F.struct(*others)).alias("_row"))
+    return found.select("request_id", "_row.*").select(*prompt_rows.columns)

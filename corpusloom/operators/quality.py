@@ -37,6 +37,18 @@ def pairs(dialogue_rows: DataFrame) -> DataFrame:
     )
 
 
+def pairs_of_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
+    """turns(conv_id, turn, role, text) to one row per user turn and the assistant turn right after it.
+
+    A join on (conversation, turn), so a conversation of any length is spread like any other rows.
+    """
+    asked = turns.where(F.col("role") == "user").select(key, "turn", F.col("text").alias("question"))
+    answers = turns.where(F.col("role") == "assistant").select(
+        key, (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
+    )
+    return asked.join(answers, [key, "turn"]).select(key, "turn", "question", "answer")
+
+
 def with_quality(pair_rows: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
     """Word counts of question and answer, and whether both are within bounds."""
     return pair_rows.withColumns(

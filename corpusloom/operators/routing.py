@@ -24,18 +24,14 @@ def with_routes(df: DataFrame, url: str = "url", stages=fv.STAGE_ORDER) -> DataF
     )
 
 
-def route_by_rules(urls: DataFrame, rules: DataFrame, max_rules: int = 10_000) -> DataFrame:
-    """First match against a rule table (stage, priority, domain, strategy).
+def route_by_rules(urls: DataFrame, rules: Sequence[tuple[str, int, str, str]]) -> DataFrame:
+    """First match of rules (stage, priority, domain, strategy); equal priorities go by domain.
 
-    The rules are read once, at most `max_rules` of them, and become literal branches: the
-    urls are neither shuffled nor paired with every rule.
+    Rules are options of the caller and become literal branches: the urls are neither shuffled nor paired.
     """
-    found = rules.select("stage", "priority", "domain", "strategy").limit(max_rules + 1).collect()
-    if len(found) > max_rules:
-        raise ValueError(f"more than {max_rules} routing rules")
     routed = urls
-    for stage in sorted({r["stage"] for r in found}):
-        ordered = sorted((r for r in found if r["stage"] == stage), key=lambda r: r["priority"])
-        branches = [F.when(F.contains(F.col("url"), F.lit(r["domain"])), F.lit(r["strategy"])) for r in ordered]
+    for stage in sorted({rule[0] for rule in rules}):
+        ordered = sorted(rule[1:] for rule in rules if rule[0] == stage)
+        branches = [F.when(F.contains(F.col("url"), F.lit(d)), F.lit(strategy)) for _, d, strategy in ordered]
         routed = routed.withColumn(f"{stage}_strategy", F.coalesce(*branches, F.lit("default")))
     return routed

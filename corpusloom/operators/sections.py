@@ -24,23 +24,35 @@ from corpusloom.functions.text import (
 from corpusloom.options import ChunkOptions
 
 
+MARKS_PER_STRING = 1024
+
+
 def _marks(units: Column, state_type: str, zero: str, step) -> Column:
     """Walk the units once and return one '1' (opens a group) or '0' per unit, as an array.
 
-    `step(state, unit)` returns (opens, next_state).
+    `step(state, unit)` returns (opens, next_state). Marks are gathered in strings of MARKS_PER_STRING,
+    so that a unit copies no more than one of them and only every so many units copy the list.
     """
     start = F.struct(
-        F.expr(f"cast({zero} as {state_type})").alias("state"), F.lit("").alias("marks")
+        F.expr(f"cast({zero} as {state_type})").alias("state"),
+        F.lit("").alias("marks"),
+        F.expr("cast(array() as array<string>)").alias("full"),
     )
 
     def merge(acc: Column, unit: Column) -> Column:
         opens, after = step(acc["state"], unit)
+        mark = F.when(opens, F.lit("1")).otherwise(F.lit("0"))
+        is_full = F.length(acc["marks"]) >= MARKS_PER_STRING
         return F.struct(
             after.cast(state_type).alias("state"),
-            F.concat(acc["marks"], F.when(opens, F.lit("1")).otherwise(F.lit("0"))).alias("marks"),
+            F.when(is_full, mark).otherwise(F.concat(acc["marks"], mark)).alias("marks"),
+            F.when(is_full, F.concat(acc["full"], F.array(acc["marks"]))).otherwise(acc["full"]).alias("full"),
         )
 
-    return F.split(F.aggregate(units, start, merge, lambda acc: acc["marks"]), "")
+    joined = F.aggregate(
+        units, start, merge, lambda acc: F.concat(F.array_join(acc["full"], ""), acc["marks"])
+    )
+    return F.split(joined, "")
 
 
 def recombine(chunks: Column, options: ChunkOptions = ChunkOptions()) -> Column:

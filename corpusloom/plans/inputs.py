@@ -1,8 +1,7 @@
 """Inputs for the registered queries, derived row by row from the given tables.
 
 The given texts hold no markdown, so guides, tables, lists, nested bullets and site pages
-are written around the text of each document. Only `responses` groups rows: the turns of a
-conversation, in segments of at most 64 turns, so that no group grows with the data.
+are written around the text of each document, and model answers hold its sentences as turns. No input groups rows.
 """
 
 from __future__ import annotations
@@ -10,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SEGMENT_TURNS = 64
-
 SITES = (
     "CASE doc_id % 8 WHEN 1 THEN 'https://www.blackdesertfoundry.com/guide/' "
     "WHEN 5 THEN 'https://www.blackdesertfoundry.com/guide/' "
@@ -21,20 +18,16 @@ SITES = (
 )
 
 
-# A table of one row group is one task however many cores there are. Below this many bytes
-# per core moving the rows costs little next to the text work; above it, scans are never moved.
-SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
+# A table of one row group is one task however many cores there are. A session that reads such tables may set
+# this to a number of partitions, over which rows are then dealt; without it scans are never moved.
+SPREAD = "corpusloom.spread.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A given table; a small one is spread over the cores by `spread_by`."""
+    """A given table, dealt by `spread_by` if the session asks for it."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and cores > 1:
-        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size < cores * SPREAD_BYTES_PER_CORE:
-            return rows.repartition(cores, spread_by)
-    return rows
+    partitions = spark.conf.get(SPREAD, None)
+    return rows.repartition(int(partitions), spread_by) if spread_by and partitions else rows
 
 
 def _documents(spark: SparkSession, sf_dir: str, content: str, *, url: bool = False) -> DataFrame:
@@ -187,27 +180,24 @@ def _json_text(column: str) -> str:
 
 
 def dialogues_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as JSON objects, one per segment: conv_id, seg, dialogue."""
-    turns = table(spark, sf_dir, "conversations").selectExpr(
-        "conv_id",
-        f"cast(turn div {SEGMENT_TURNS} AS bigint) AS seg",
-        "turn",
-        f"concat('{{\"role\":\"', role, '\",\"content\":', {_json_text('text')}, '}}') AS entry",
-    )
-    grouped = turns.groupBy("conv_id", "seg").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "entry"))).alias("entries")
-    )
-    return grouped.selectExpr(
-        "conv_id",
-        "seg",
-        "concat('{\"conversations\":[', array_join(entries.entry, ','), '],\"topic\":', conv_id, '}') AS dialogue",
+    """Every document as a JSON dialogue, its sentences said in turn: doc_id, dialogue."""
+    entry = f"concat('{{\"role\":\"', IF(i % 2 = 0, 'user', 'assistant'), '\",\"content\":', {_json_text('s')}, '}}')"
+    return table(spark, sf_dir, "documents", "doc_id").selectExpr(
+        "doc_id",
+        f"concat('{{\"conversations\":[', array_join(transform({_SENTENCES}, (s, i) -> {entry}), ','), "
+        "'],\"topic\":', doc_id, '}') AS dialogue",
     )
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given conversations, one turn per row."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+
 def responses(spark: SparkSession, sf_dir: str, attempts: int = 1) -> DataFrame:
     """dialogues as model answers, well-formed or not; a second attempt is well-formed."""
     shaped = (
-        "CASE conv_id % 8 WHEN 0 THEN concat('[', dialogue, ']') "
+        "CASE doc_id % 8 WHEN 0 THEN concat('[', dialogue, ']') "
         "WHEN 1 THEN concat('```json\\n[', dialogue, ',', dialogue, ']\\n```') "
         "WHEN 2 THEN concat('```\\n[', dialogue, ']\\n```') "
         "WHEN 3 THEN concat(dialogue, '\\nnoise\\n', dialogue, '\\n{\"conversations\":[]}') "
@@ -218,7 +208,7 @@ def responses(spark: SparkSession, sf_dir: str, attempts: int = 1) -> DataFrame:
         "{\"conversations\":[{\"role\":\"user\",\"content\":\"x\"},{\"role\":\"assistant\"}]}]' END"
     )
     base = dialogues_json(spark, sf_dir)
-    request = "concat('r', conv_id, '-', seg) AS request_id"
+    request = "concat('r', doc_id) AS request_id"
     tries = [base.selectExpr(request, "1 AS attempt", f"{shaped} AS raw")]
     if attempts > 1:
         tries.append(base.selectExpr(request, "2 AS attempt", "concat('[', dialogue, ']') AS raw"))
@@ -226,16 +216,13 @@ def responses(spark: SparkSession, sf_dir: str, attempts: int = 1) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each request came from: request_id, url, date, guide_title, prompt."""
-    return (
-        table(spark, sf_dir, "conversations")
-        .selectExpr("conv_id", f"cast(turn div {SEGMENT_TURNS} AS bigint) AS seg")
-        .distinct()
-        .selectExpr(
-            "concat('r', conv_id, '-', seg) AS request_id",
-            "concat('https://guides.example.org/', conv_id % 40) AS url",
-            "CASE WHEN conv_id % 2 = 0 THEN 'Jan 5, 2024' ELSE '' END AS date",
-            "concat('Guide ', conv_id % 40) AS guide_title",
-            "concat('Ask about ', conv_id) AS prompt",
-        )
+    """Where each request came from: request_id, url, date, guide_title, prompt. Every third is listed twice."""
+    rows = table(spark, sf_dir, "documents", "doc_id").selectExpr(
+        "concat('r', doc_id) AS request_id",
+        "concat('https://guides.example.org/', doc_id % 40) AS url",
+        "CASE WHEN doc_id % 2 = 0 THEN 'Jan 5, 2024' ELSE '' END AS date",
+        "concat('Guide ', doc_id % 40) AS guide_title",
+        "concat('Ask about ', doc_id, '\\n', text) AS prompt",
+        "explode(sequence(0, IF(doc_id % 3 = 0, 1, 0))) AS again",
     )
+    return rows.drop("again")

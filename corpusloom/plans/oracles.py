@@ -106,10 +106,10 @@ def json_text(x: str) -> str:
     )
 
 
-DIALOGUES = rf"""base AS (SELECT conv_id, turn // 64 AS seg, concat('{{"conversations":[',
-  string_agg(concat('{{"role":"', role, '","content":', {json_text('text')}, '}}'), ',' ORDER BY turn),
-  '],"topic":', conv_id, '}}') AS dialogue FROM conversations GROUP BY conv_id, turn // 64)"""
-RESPONSES = DIALOGUES + r""", responses AS (SELECT concat('r', conv_id, '-', seg) AS request_id, 1::BIGINT AS attempt,
+DIALOGUES = rf"""base AS (SELECT doc_id AS conv_id, concat('{{"conversations":[',
+  array_to_string(list_transform({SENTENCES}, lambda s, k: concat('{{"role":"', CASE k % 2 WHEN 1 THEN 'user' ELSE 'assistant' END,
+    '","content":', {json_text('s')}, '}}')), ','), '],"topic":', doc_id, '}}') AS dialogue, len({SENTENCES}) AS n_turns FROM documents)"""
+RESPONSES = DIALOGUES + r""", responses AS (SELECT concat('r', conv_id) AS request_id, 1::BIGINT AS attempt,
   CASE conv_id % 8 WHEN 0 THEN concat('[', dialogue, ']')
     WHEN 1 THEN concat(E'```json\n[', dialogue, ',', dialogue, E']\n```')
     WHEN 2 THEN concat(E'```\n[', dialogue, E']\n```')
@@ -118,11 +118,11 @@ RESPONSES = DIALOGUES + r""", responses AS (SELECT concat('r', conv_id, '-', seg
     WHEN 5 THEN concat('[', replace(dialogue, '. ', '.\* '), ']')
     WHEN 6 THEN substring(concat('[', dialogue, ']'), 1, length(dialogue) - 10)
     ELSE '[{"conversations":[{"role":"user","content":"x"}]},{"conversations":[{"role":"user","content":"x"},{"role":"assistant"}]}]'
-  END AS raw, dialogue FROM base)"""
-REQUESTS = """requests AS (SELECT DISTINCT concat('r', conv_id, '-', turn // 64) AS request_id,
-  concat('https://guides.example.org/', conv_id % 40) AS url,
-  CASE WHEN conv_id % 2 = 0 THEN 'Jan 5, 2024' ELSE '' END AS date,
-  concat('Ask about ', conv_id) AS prompt FROM conversations)"""
+  END AS raw, dialogue, n_turns FROM base)"""
+REQUESTS = r"""requests AS (SELECT concat('r', doc_id) AS request_id,
+  concat('https://guides.example.org/', doc_id % 40) AS url,
+  CASE WHEN doc_id % 2 = 0 THEN 'Jan 5, 2024' ELSE '' END AS date,
+  concat('Ask about ', doc_id, E'\n', text) AS prompt FROM documents)"""
 
 # ---- HTML, titles, plain text ----------------------------------------------------------
 
@@ -609,11 +609,18 @@ DISPATCHED = f"""src_t AS (SELECT src.* FROM src JOIN kinds USING (doc_id) WHERE
     UNION ALL SELECT doc_id, 1, 1, 'plain', content FROM src JOIN kinds USING (doc_id) WHERE kind = 'plain')"""
 SITE_PROMPTS = rf"""WITH RECURSIVE {SITE_CHUNKS}, {PROFILE}, {DISPATCHED},
   keyed AS (SELECT doc_id, part_no AS piece_no, text FROM parts), {renamed(context_ctes('keyed'), {'looked': 'looked_c'})}
-  SELECT sha256(concat_ws(chr(31), c.url, p.doc_id % 1000000, p.part_no, p.text)) AS request_id, c.doc_id, c.date, c.guide_title,
-    p.doc_id % 1000000 AS chunk_no, p.part_no, p.n_parts, p.kind,
-    concat(E'Write questions and answers about the guide below.\nUse only what it says.\n\n', 'Guide Title: ', c.guide_title,
-      E'\n\nSection Hierarchy:\n', x.context, E'\n\nSource:\n', p.text) AS prompt
-  FROM parts p JOIN contexts x ON x.doc_id = p.doc_id AND x.chunk_no = p.part_no JOIN cleaned c ON c.doc_id = p.doc_id // 1000000"""
+  SELECT sha256(concat_ws(chr(31), url, chunk_no, part_no, prompt)) AS request_id, * EXCLUDE (url) FROM (
+    SELECT c.url, c.doc_id, c.date, c.guide_title, p.doc_id % 1000000 AS chunk_no, p.part_no, p.n_parts, p.kind,
+      concat(E'Write questions and answers about the guide below.\nUse only what it says.\n\n', 'Guide Title: ', c.guide_title,
+        E'\n\nSection Hierarchy:\n', x.context, E'\n\nSource:\n', p.text) AS prompt
+    FROM parts p JOIN contexts x ON x.doc_id = p.doc_id AND x.chunk_no = p.part_no JOIN cleaned c ON c.doc_id = p.doc_id // 1000000)"""
+# The same way from crawled pages: their markdown, and their own titles where they have one.
+PAGE_SITES = f"""sites AS (SELECT page_id AS doc_id, url, {markdown_of('html')} AS content FROM pages),
+  titles AS (SELECT page_id AS doc_id, {strip(entities("regexp_extract(html, '(?is)<title" + chr(92) + "b[^>]*>(.*?)</title" + chr(92) + "s*>', 1)"))} AS title FROM pages)"""
+PAGE_PROMPTS = SITE_PROMPTS.replace(SITES, PAGE_SITES).replace(
+    CLEANED, CLEANED.replace("cleaned AS", "untitled AS") + """,
+  cleaned AS (SELECT u.* REPLACE (coalesce(nullif(t.title, ''), u.guide_title) AS guide_title) FROM untitled u JOIN titles t USING (doc_id))"""
+)
 
 
 ORACLES: dict[str, str] = {
@@ -635,9 +642,12 @@ ORACLES: dict[str, str] = {
       WHEN contains(url, 'blog.') THEN 'blog' ELSE 'default' END AS clean_strategy,
       CASE WHEN contains(url, 'blog.') THEN 'reader' WHEN contains(url, 'example.com') THEN 'converter'
       WHEN contains(url, 'example.net') THEN 'text' ELSE 'default' END AS fetch_strategy FROM pages""",
-    "site_routes": f"""WITH s AS (SELECT doc_id, {URL} AS url FROM documents), r AS (SELECT *, CASE WHEN contains(url, 'playblackdesert.com') THEN 'playblackdesert.com'
-      WHEN contains(url, 'blackdesertfoundry.com') THEN 'blackdesertfoundry.com' WHEN contains(url, 'garmoth.com') THEN 'garmoth.com' ELSE 'default' END AS site FROM s)
-      SELECT doc_id, url, site AS fetch_route, site AS date_route, site AS clean_route, site AS chunk_route FROM r""",
+    "site_routes": f"""WITH s AS (SELECT doc_id, concat({URL}, '?ref=', CASE doc_id % 3 WHEN 0 THEN 'garmoth.com' WHEN 1 THEN 'blackdesertfoundry.com' ELSE 'none' END) AS url FROM documents),
+      r AS (SELECT *, contains(url, 'playblackdesert.com') AS wiki, contains(url, 'blackdesertfoundry.com') AS blog, contains(url, 'garmoth.com') AS tool FROM s)
+      SELECT doc_id, url, CASE WHEN blog THEN 'blackdesertfoundry.com' WHEN tool THEN 'garmoth.com' WHEN wiki THEN 'playblackdesert.com' ELSE 'default' END AS fetch_route,
+        CASE WHEN wiki THEN 'playblackdesert.com' WHEN blog THEN 'blackdesertfoundry.com' WHEN tool THEN 'garmoth.com' ELSE 'default' END AS date_route,
+        CASE WHEN tool THEN 'garmoth.com' WHEN wiki THEN 'playblackdesert.com' WHEN blog THEN 'blackdesertfoundry.com' ELSE 'default' END AS clean_route,
+        CASE WHEN wiki THEN 'playblackdesert.com' WHEN blog THEN 'blackdesertfoundry.com' WHEN tool THEN 'garmoth.com' ELSE 'default' END AS chunk_route FROM r""",
     "extract_date": f"WITH {SITES} SELECT doc_id, {DATE} AS date FROM sites",
     "clean_default": f"WITH {SITES} SELECT doc_id, {clean_default('content')} AS cleaned FROM sites",
     "clean_header_footer": f"WITH {SITES} SELECT doc_id, {clean_wiki('content')} AS cleaned FROM sites",
@@ -674,9 +684,14 @@ ORACLES: dict[str, str] = {
     "split_nested": f"WITH {md('src', NESTED_MD)}, {nested_ctes('src')} SELECT {PART_COLUMNS} FROM n_parts",
     "structure_dispatch": f"WITH {md('src', STRUCTURES_MD)}, {PROFILE}, {DISPATCHED} SELECT {PART_COLUMNS} FROM parts",
     "prompts": rf"""WITH {H3_CTES}, {context_ctes('chunks')}, c AS (SELECT *, concat('Guide Title: Guide ', doc_id, E'\n\nSection Hierarchy:\n', context) AS ctx FROM contexts)
-      SELECT sha256(concat_ws(chr(31), {URL}, chunk_no, 1, text)) AS request_id, doc_id, chunk_no,
-        concat(E'About:\n', ctx, E'\n\nAgain: ', ctx, E'\nSource:\n', text) AS prompt FROM c""",
+      SELECT sha256(concat_ws(chr(31), {URL}, chunk_no, 1, prompt)) AS request_id, doc_id, chunk_no, prompt
+      FROM (SELECT *, concat(E'About:\n', ctx, E'\n\nAgain: ', ctx, E'\nSource:\n', text) AS prompt FROM c)""",
     "site_prompts": SITE_PROMPTS,
+    "page_prompts": PAGE_PROMPTS,
+    "one_capture": "SELECT url, max(page_id) + 1000000 AS page_id FROM pages GROUP BY url",
+    "conversation_pairs": """SELECT conv_id, turn, text AS question, answer FROM (SELECT *, lead(turn) OVER w AS next_turn, lead(role) OVER w AS next_role,
+      lead(text) OVER w AS answer FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+      WHERE role = 'user' AND next_role = 'assistant' AND next_turn = turn + 1""",
     "links_unique": f"{LINKS} SELECT url, file, pos FROM unique_links",
     "processed_links": f"WITH {STATE}, {PROCESSED} SELECT url FROM processed",
     "links_pending": f"{LINKS} SELECT url, file, pos FROM unique_links WHERE url NOT IN (SELECT url FROM processed)",
@@ -692,11 +707,12 @@ ORACLES: dict[str, str] = {
     "invalid_responses": f"""WITH {ALL_PARSED}, {REQUESTS} SELECT request_id, attempt, substring(answer, 1, 2000) AS response_head, length(answer) AS total_len, url, prompt
       FROM valid JOIN requests USING (request_id) WHERE len(items) = 0""",
     "retry_rounds": f"""WITH {ALL_PARSED}, both_tries AS (SELECT request_id, attempt, raw, request_id IN (SELECT request_id FROM valid WHERE len(items) > 0) AS ok FROM responses
-      UNION ALL SELECT request_id, 2, concat('[', dialogue, ']'), request_id IN (SELECT concat('r', conv_id, '-', turn // 64) FROM conversations GROUP BY 1 HAVING count(*) >= 2) FROM responses)
+      UNION ALL SELECT request_id, 2, concat('[', dialogue, ']'), n_turns >= 2 FROM responses)
       SELECT request_id, attempt, raw FROM both_tries WHERE ok QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY attempt) = 1""",
     "jsonl_records": f"""WITH {ALL_PARSED}, {TURN_ROWS}, {SPOKEN}, {REQUESTS} SELECT f.request_id, f.seq, url, 'en' AS lang, nullif(date, '') AS date,
-      answer_tokens::VARCHAR AS answer_tokens, json_extract_string(item, '$.topic') AS topic, json_array_length(item, '$.conversations')::BIGINT AS n_turns,
-      json_extract_string(item, '$.conversations[1].content') AS second_turn FROM found f JOIN spoken USING (request_id, seq) JOIN requests USING (request_id)""",
+      answer_tokens::VARCHAR AS answer_tokens, json_extract_string(item, '$.topic') AS topic, n_turns, said
+      FROM found f JOIN (SELECT request_id, seq, count(*) AS n_turns, string_agg(concat(role, ':', content), chr(31) ORDER BY turn_no) AS said
+        FROM turn_rows GROUP BY ALL) USING (request_id, seq) JOIN spoken USING (request_id, seq) JOIN requests USING (request_id)""",
     "records_per_url": f"WITH {ALL_PARSED}, {REQUESTS} SELECT url, count(*) AS records FROM found JOIN requests USING (request_id) GROUP BY ROLLUP (url)",
     "processed_after_run": f"WITH {ALL_PARSED}, {REQUESTS} SELECT DISTINCT url FROM found JOIN requests USING (request_id)",
     "answer_tokens": f"WITH {ALL_PARSED}, {TURN_ROWS}, {SPOKEN} SELECT request_id, seq, answer_tokens FROM spoken",

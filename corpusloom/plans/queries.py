@@ -13,7 +13,7 @@ from corpusloom.functions.markdown import guide_title, heading_context, plain_te
 from corpusloom.functions.text import tokens, words
 from corpusloom.functions.tokenizers import plugged_tokens
 from corpusloom.operators import cleaning, dialogues, headings, quality, resume, routing, sections, structures
-from corpusloom.operators.prompts import prompts
+from corpusloom.operators.prompts import prompts, unique_requests
 from corpusloom.options import ChunkOptions, QualityOptions
 from corpusloom.plans import documents, inputs
 from corpusloom.sources import fetched, links
@@ -121,12 +121,14 @@ def token_counts_plugged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def route_domain(spark: SparkSession, sf: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "stage string, priority int, domain string, strategy string")
-    return routing.route_by_rules(inputs.table(spark, sf, "pages").select("page_id", "url"), rules)
+    return routing.route_by_rules(inputs.table(spark, sf, "pages").select("page_id", "url"), RULES)
 
 
 def site_routes(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.with_routes(inputs.site_pages(spark, sf).select("doc_id", "url"))
+    """URLs that hold two domains: each stage goes by its own order."""
+    other = F.expr("CASE doc_id % 3 WHEN 0 THEN 'garmoth.com' WHEN 1 THEN 'blackdesertfoundry.com' ELSE 'none' END")
+    urls = inputs.site_pages(spark, sf).select("doc_id", F.concat("url", F.lit("?ref="), other).alias("url"))
+    return routing.with_routes(urls)
 
 
 def extract_date(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,6 +200,27 @@ def site_prompts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole way from a crawled page's HTML to prompts."""
+    docs = fetched.documents_from_html(inputs.table(spark, sf, "pages", "page_id")).withColumnRenamed("page_id", "doc_id")
+    return _wide(
+        documents.document_prompts(docs, SMALL_CHUNKS).select(
+            "request_id", "doc_id", "date", "guide_title", "chunk_no", "part_no", "n_parts", "kind", "prompt"
+        )
+    )
+
+
+def one_capture(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages and a later capture of each: one per URL is left."""
+    pages = inputs.table(spark, sf, "pages").select("page_id", "url")
+    later = pages.withColumn("page_id", F.col("page_id") + 1_000_000)
+    return fetched.one_capture(pages.unionByName(later)).select("url", "page_id")
+
+
+def conversation_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.pairs_of_turns(inputs.conversations(spark, sf))
+
+
 def links_unique(spark: SparkSession, sf: str) -> DataFrame:
     return _wide(links.unique_links(links.links_of(inputs.link_files(spark, sf))))
 
@@ -260,7 +283,7 @@ def dialogues_valid(spark: SparkSession, sf: str) -> DataFrame:
 def invalid_responses(spark: SparkSession, sf: str) -> DataFrame:
     rows = dialogues.invalid_responses(inputs.responses(spark, sf))
     return _wide(
-        rows.join(inputs.requests(spark, sf).select("request_id", "url", "prompt"), "request_id")
+        rows.join(unique_requests(inputs.requests(spark, sf).select("request_id", "url", "prompt")), "request_id")
     )
 
 
@@ -274,14 +297,15 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
 
 def jsonl_records(spark: SparkSession, sf: str) -> DataFrame:
     record = F.col("record")
+    turns = F.from_json(F.get_json_object(record, "$.conversations"), "array<struct<role:string,content:string>>")
     own = {k: F.get_json_object(record, f"$.{k}") for k in ("url", "lang", "date", "answer_tokens", "topic")}
     return _wide(
         _records(spark, sf).select(
             "request_id",
             "seq",
             *[v.alias(k) for k, v in own.items()],
-            F.json_array_length(F.get_json_object(record, "$.conversations")).alias("n_turns"),
-            F.get_json_object(record, "$.conversations[1].content").alias("second_turn"),
+            F.size(turns).alias("n_turns"),
+            F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit(":"), t["content"])), "\x1f").alias("said"),
         )
     )
 
@@ -322,7 +346,7 @@ def meta_question_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def short_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    asked = inputs.requests(spark, sf).select("request_id", "url")
+    asked = unique_requests(inputs.requests(spark, sf).select("request_id", "url"))
     return _wide(quality.short_chunks(asked, _dialogues(spark, sf), SMALL_QUALITY))
 
 
@@ -330,7 +354,7 @@ def generate_with_callable(spark: SparkSession, sf: str) -> DataFrame:
     def echo(prompt: pd.Series) -> pd.Series:
         return '[{"conversations":[{"role":"user","content":"' + prompt + '"},{"role":"assistant","content":"Yes."}]}]'
 
-    return _wide(dialogues.generate(inputs.requests(spark, sf), echo))
+    return _wide(dialogues.generate(unique_requests(inputs.requests(spark, sf)), echo))
 
 
 QUERIES: dict[str, Query] = {
@@ -373,6 +397,9 @@ QUERIES: dict[str, Query] = {
     "structure_dispatch": _parts(inputs.structures_md, structures.split_structures),
     "prompts": prompt_rows,
     "site_prompts": site_prompts,
+    "page_prompts": page_prompts,
+    "one_capture": one_capture,
+    "conversation_pairs": conversation_pairs,
     "links_unique": links_unique,
     "processed_links": _processed,
     "links_pending": links_pending,

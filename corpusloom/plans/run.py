@@ -19,7 +19,8 @@ from corpusloom.operators import dialogues, resume
 from corpusloom.options import ChunkOptions, RecordOptions, StructureOptions
 from corpusloom.plans.documents import cleaned_documents, corpus_blocks, document_prompts
 from corpusloom.sources import links, sinks
-from corpusloom.sources.fetched import documents_from_html
+from corpusloom.operators.prompts import unique_requests
+from corpusloom.sources.fetched import documents_from_html, one_capture
 
 
 @dataclass(frozen=True)
@@ -51,18 +52,19 @@ def pending_documents(
         pending = _saved(
             resume.pending_links(found, links.read_processed_links(spark, state)), saved_at
         )
-    wanted = pages.join(pending.select("url"), "url", "left_semi")
+    keys = one_capture(pages.select("page_id", "url").join(pending.select("url"), "url", "left_semi"))
+    wanted = pages.join(keys.select("page_id"), "page_id", "left_semi").dropDuplicates(["page_id"])
     return pending, documents_from_html(wanted).withColumnRenamed("page_id", "doc_id")
 
 
 def run_corpus(
-    spark: SparkSession, link_files: DataFrame, pages: DataFrame, out: str, run_id: str, state: str
+    spark: SparkSession, link_files: DataFrame, pages: DataFrame, out: str, run_id: str, state: str, mark_empty: bool = False
 ) -> DataFrame:
-    """Pending pages to plain-text blocks; returns the finished URLs."""
+    """Pending pages to plain-text blocks; returns the finished URLs, with `mark_empty` also those without a block."""
     pending, docs = pending_documents(spark, link_files, pages, state, f"{out}/pending/run={run_id}")
     blocks = _saved(corpus_blocks(cleaned_documents(docs)).select("url", "block"), f"{out}/blocks/run={run_id}")
     sinks.write_corpus_blocks(blocks, f"{out}/corpus/run={run_id}", mode="overwrite")
-    finished = pending.join(blocks.select("url"), "url", "left_semi").select("url")
+    finished = resume.finished_urls(pending, blocks.select("url", F.lit(1).alias("records")), mark_empty)
     finished = _saved(finished, f"{out}/finished/run={run_id}")
     links.append_processed_links(finished, state)
     return finished
@@ -85,7 +87,7 @@ def run_records(
 
     pending, docs = pending_documents(spark, link_files, pages, state, path("pending"))
     prompts = _saved(
-        document_prompts(docs, options.chunks, options.structures, options.template), path("prompts")
+        unique_requests(document_prompts(docs, options.chunks, options.structures, options.template)), path("prompts")
     )
     rounds = dialogues.generate_with_retries(
         prompts,
@@ -93,11 +95,9 @@ def run_records(
         lambda responses, attempt: _saved(responses, f"{path('responses')}/attempt={attempt}"),
         options.records,
     )
-    if not rounds:
-        return dialogues.records_per_url(spark.createDataFrame([], "url string"))
-    responses = rounds[0]
-    for later in rounds[1:]:
-        responses = responses.unionByName(later)
+    responses = spark.createDataFrame([], "request_id string, attempt int, raw string")
+    for answered in rounds:
+        responses = responses.unionByName(answered)
 
     found = dialogues.dialogues(responses)
     records = _saved(

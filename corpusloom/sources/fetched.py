@@ -38,6 +38,15 @@ def documents_from_html(pages: DataFrame) -> DataFrame:
     )
 
 
+def one_capture(pages: DataFrame) -> DataFrame:
+    """Of several captures of a URL the one with the largest page_id; a NULL URL is one URL.
+
+    Chosen on keys alone, combined before the shuffle; texts only meet the chosen ids.
+    """
+    chosen = pages.groupBy("url").agg(F.max("page_id").alias("page_id")).select("page_id")
+    return pages.join(chosen.distinct(), "page_id", "left_semi").dropDuplicates(["page_id"])
+
+
 def drop_empty(docs: DataFrame, column: str = "content") -> DataFrame:
     """Rows whose text is not NULL and not empty.
 

@@ -23,7 +23,7 @@ def links_of(files: DataFrame) -> DataFrame:
     """Every http link of files(file, text), in order; images are skipped."""
     found = F.when(
         F.contains(F.col("text"), F.lit("](http")),
-        F.regexp_extract_all("text", F.lit(fv.LINK_TARGET), F.lit(1)),
+        F.filter(F.regexp_extract_all("text", F.lit(fv.LINK_TARGET), F.lit(1)), lambda url: url != ""),
     )
     return files.select("file", F.posexplode(found).alias("pos", "url"))
 

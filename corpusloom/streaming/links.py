@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,10 +15,13 @@ from pyspark.sql import functions as F
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for `name` under the folder the cluster shares for checkpoints.
 
-    Only where none is configured, as in tests, a temporary folder is used.
+    Only on a local master without one, as in tests, a temporary folder is used.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="corpusloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="corpusloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

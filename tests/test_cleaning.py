@@ -101,9 +101,6 @@ def test_routing(spark, each):
         "b.com", "a.com", "default",
     ]
     urls = spark.createDataFrame([("http://a.com/b.com",), ("x",)], "url string")
-    rules = spark.createDataFrame(
-        [("clean", 2, "a.com", "two"), ("clean", 1, "b.com", "one")],
-        "stage string, priority int, domain string, strategy string",
-    )
+    rules = [("clean", 2, "a.com", "two"), ("clean", 1, "b.com", "one"), ("clean", 1, "c.com", "none")]
     routed = route_by_rules(urls, rules).collect()
     assert sorted(r["clean_strategy"] for r in routed) == ["default", "one"]

@@ -65,16 +65,17 @@ def test_corpus_run(spark, tmp_path):
     assert text.count("=" * 80) == 2 and text.endswith("=" * 80 + "\n\n\n\n")
 
 
-def test_only_small_tables_are_spread(spark, tmp_path, monkeypatch):
+def test_tables_are_dealt_only_on_request(spark, tmp_path):
     pages(spark, 5).write.parquet(str(tmp_path / "pages.parquet"))
 
     def shuffles():
         table = inputs.table(spark, str(tmp_path), "pages", "page_id")
         return "Exchange" in table._jdf.queryExecution().executedPlan().toString()
 
-    assert shuffles()
-    monkeypatch.setattr(inputs, "SPREAD_BYTES_PER_CORE", 0)
     assert not shuffles()
+    spark.conf.set(inputs.SPREAD, "4")
+    assert shuffles()
+    spark.conf.unset(inputs.SPREAD)
 
 
 def test_document_plan_has_no_shuffle(spark, tmp_path, monkeypatch):
@@ -89,18 +90,28 @@ def test_document_plan_has_no_shuffle(spark, tmp_path, monkeypatch):
     assert "Exchange" not in plan and "Python" not in plan
 
 
-def test_a_hot_conversation_is_cut_into_segments(spark, tmp_path):
-    from pyspark.sql import functions as F
+def test_a_long_conversation_keeps_all_pairs(spark):
+    """A system turn and 65 pairs."""
+    from corpusloom.operators.quality import pairs_of_turns
 
-    turns = spark.range(1000).select(
-        F.when(F.col("id") < 400, F.lit(7)).otherwise(F.col("id")).alias("conv_id"),
-        F.when(F.col("id") < 400, F.col("id")).otherwise(F.lit(0)).alias("turn"),
-        F.lit("user").alias("role"),
-        F.concat(F.lit("t"), F.col("id")).alias("text"),
-    )
-    turns.write.parquet(str(tmp_path / "conversations.parquet"))
-    found = inputs.dialogues_json(spark, str(tmp_path))
-    hot = [r["dialogue"] for r in found.where("conv_id = 7").orderBy("seg").collect()]
-    assert len(hot) == 7 and sum(d.count('"role"') for d in hot) == 400
-    assert json.loads(hot[0])["conversations"][10]["content"] == "t10"
-    assert found.count() == 607
+    rows = [(7, 0, "system", "s")] + [
+        (7, 1 + k, "user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(130)
+    ]
+    found = pairs_of_turns(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
+    assert sorted((r.question, r.answer) for r in found) == sorted((f"t{k}", f"t{k + 1}") for k in range(0, 130, 2))
+
+
+def test_several_captures_are_one_record(spark, tmp_path):
+    captures = pages(spark, 3)
+    for extra in (100, 200):
+        captures = captures.unionByName(pages(spark, 3).withColumn("page_id", F.col("page_id") + extra))
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompts):
+        calls.add(len(prompts))
+        return prompts.map(lambda p: '[{"conversations":[{"role":"user","content":"q"},{"role":"assistant","content":"a"}]}]')
+
+    out = str(tmp_path / "out")
+    run_records(spark, link_files(spark, 3), captures, model, out, "a", str(tmp_path / "state"))
+    lines = spark.read.text(f"{out}/records/run=a").count()
+    assert calls.value == lines == 3
