@@ -1,11 +1,14 @@
 """HTML to markdown with built-in column functions.
 
-Style: ATX headings, `*` bullets, fenced code, `_` emphasis, `**` strong, inline
+Style: ATX headings, `*` bullets, `N.` for ordered lists, two blanks a level, fenced code, `_` emphasis, `**` strong, inline
 links, `***` rules; images are kept.
 """
 
 from __future__ import annotations
 
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,15 +17,18 @@ from corpusloom.functions.text import let, strip
 # Elements whose whole content is dropped.
 DROPPED = ("script", "style", "noscript", "title", "nav", "footer")
 
+# An attribute value in double quotes, single quotes or none; one of its three groups is set.
+_VALUE = r"""\s*=\s*(?:"([^"<>]*)"|'([^'<>]*)'|([^\s"'<>]++))"""
+
 # Tag rewrites, applied in this order; a third value is the closing tag.
 TAG_REWRITES = (
-    (r'(?i)<img\b[^<>]*?\balt="([^"<>]*)"[^<>]*?\bsrc="([^"<>]*)"[^<>]*>', "![$1]($2)"),
-    (r'(?i)<img\b[^<>]*?\bsrc="([^"<>]*)"[^<>]*?\balt="([^"<>]*)"[^<>]*>', "![$2]($1)"),
-    (r'(?i)<img\b[^<>]*?\bsrc="([^"<>]*)"[^<>]*>', "![]($1)"),
+    (rf"(?i)<img\b[^<>]*?\balt{_VALUE}[^<>]*?\bsrc{_VALUE}[^<>]*>", "![$1$2$3]($4$5$6)"),
+    (rf"(?i)<img\b[^<>]*?\bsrc{_VALUE}[^<>]*?\balt{_VALUE}[^<>]*>", "![$4$5$6]($1$2$3)"),
+    (rf"(?i)<img\b[^<>]*?\bsrc{_VALUE}[^<>]*>", "![]($1$2$3)"),
     (r"(?is)<(?:b|strong)\b[^<>]*>(.*?)</(?:b|strong)\s*>", "**$1**", r"</(?:b|strong)\s*>"),
     (r"(?is)<(?:i|em)\b[^<>]*>(.*?)</(?:i|em)\s*>", "_$1_", r"</(?:i|em)\s*>"),
     (r"(?is)<code\b[^<>]*>(.*?)</code\s*>", "`$1`", r"</code\s*>"),
-    (r'(?is)<a\b[^<>]*?\bhref="([^"<>]*)"[^<>]*>(.*?)</a\s*>', "[$2]($1)", r"</a\s*>"),
+    (rf"(?is)<a\b[^<>]*?\bhref{_VALUE}[^<>]*>(.*?)</a\s*>", "[$4]($1$2$3)", r"</a\s*>"),
     (r"(?i)<h1\b[^<>]*>", "\n\n# "),
     (r"(?i)<h2\b[^<>]*>", "\n\n## "),
     (r"(?i)<h3\b[^<>]*>", "\n\n### "),
@@ -36,47 +42,101 @@ TAG_REWRITES = (
     (r"<[^<>]+>", ""),
 )
 
-# Named entities; the ampersand comes last.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-    ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"), ("&ndash;", "–"),
-    ("&mdash;", "—"), ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&bull;", "•"), ("&laquo;", "«"),
-    ("&raquo;", "»"), ("&amp;", "&"),
-)
+# A character reference after its ampersand: decimal, hexadecimal or named.
+REFERENCE = r"\A#0*+(\d{1,7});|\A#[xX]0*+([0-9a-fA-F]{1,6});|\A([A-Za-z][A-Za-z0-9]*+);"
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+@cache
+def _names_by_letter() -> dict[str, str]:
+    """The names of HTML from the standard library as SQL maps by first letter; a blank that does not break is a blank."""
+    groups: dict[str, list[str]] = {}
+    for name, text in sorted(html5.items()):
+        if name.endswith(";"):
+            entry = f"{_quoted(name[:-1])},{_quoted(' ' if name == 'nbsp;' else text)}"
+            groups.setdefault(name[0], []).append(entry)
+    return {letter: f"map({','.join(entries)})" for letter, entries in groups.items()}
 
-# A decimal character reference after its `&#`.
-NUMERIC_REFERENCE = r"^(\d{2,6});"
 
+def _named(name: Column) -> Column:
+    """The text of a named reference, or NULL."""
+    first = F.substring(name, 1, 1)
+    found = F.lit(None).cast("string")
+    for letter, names in _names_by_letter().items():
+        found = F.when(first == letter, F.try_element_at(F.expr(names), name)).otherwise(found)
+    return found
 
-def decode_numeric(text: Column) -> Column:
-    """Decimal character references to characters."""
+
+def unescape(text: Column) -> Column:
+    """Character references to characters, each once; others stay as they are."""
 
     def decode(piece: Column, i: Column) -> Column:
-        def replaced(digits: Column) -> Column:
-            code = digits.cast("int")
+        def replaced(found: Column) -> Column:
+            code = F.coalesce(
+                F.try_to_number(found["decimal"], F.lit("9999999")).cast("int"),
+                F.conv(F.nullif(found["hex"], F.lit("")), 16, 10).cast("int"),
+            )
             usable = (code > 31) & (code < 1114112) & ~code.between(55296, 57343)
             char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-            rest = F.regexp_replace(piece, NUMERIC_REFERENCE, "")
-            return F.when((digits != "") & usable, F.concat(char, rest)).otherwise(
-                F.concat(F.lit("&#"), piece)
-            )
+            new = F.when(usable, char).when(found["name"] != "", _named(found["name"]))
+            rest = F.regexp_replace(piece, REFERENCE, "")
+            return F.coalesce(F.concat(new, rest), F.concat(F.lit("&"), piece))
+
+        groups = [F.regexp_extract(piece, REFERENCE, k).alias(n) for k, n in ((1, "decimal"), (2, "hex"), (3, "name"))]
+        return F.when(i == 0, piece).otherwise(let(F.struct(*groups), replaced))
 
-        return F.when(i == 0, piece).otherwise(
-            let(F.regexp_extract(piece, NUMERIC_REFERENCE, 1), replaced)
+    return let(
+        text,
+        lambda t: F.when(
+            F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "&"), decode), "")
+        ).otherwise(t),
+    )
+
+
+# Marks of list lines until blanks have been collapsed: line start, indentation, end of a list.
+_LINE, _INDENT, _END = "\x01", "\x02", "\x03"
+# An innermost list; deeper ones have become marked lines by the time their parent is one.
+INNERMOST_LIST = r"(?is)<([uo])l\b[^<>]*>((?:(?!</?[uo]l\b).)*+)</[uo]l\s*>"
+LIST_LEVELS = 4
+
+
+def nested_lists(html: Column) -> Column:
+    """Lists from the inside out: ordered items get numbers, the lines of an inner list two more blanks."""
+
+    def one_list(found: Column) -> Column:
+        ordered = F.lower(F.regexp_extract(found, INNERMOST_LIST, 1)) == "o"
+        items = F.split(F.regexp_extract(found, INNERMOST_LIST, 2), r"(?i)<li\b[^<>]*>")
+
+        def line(item: Column, i: Column) -> Column:
+            bare = F.regexp_replace(item, r"(?i)</li\s*>|\A\s*<p\b[^<>]*>", "")
+            text = strip(F.replace(bare, F.lit(_END), F.lit("")))
+            bullet = F.when(ordered, F.concat((i + 1).cast("string"), F.lit(". "))).otherwise(F.lit("* "))
+            return F.concat(F.lit(_LINE), bullet, F.replace(text, F.lit(_LINE), F.lit(_LINE + _INDENT)))
+
+        lines = F.transform(F.slice(items, F.lit(2), F.size(items)), line)
+        return F.concat(strip(F.get(items, F.lit(0))), F.array_join(lines, ""), F.lit(_END))
+
+    def level(text: Column) -> Column:
+        gaps, found = F.split(text, INNERMOST_LIST, -1), F.regexp_extract_all(text, F.lit(INNERMOST_LIST), F.lit(0))
+        pieces = F.transform(
+            F.arrays_zip(gaps.alias("gap"), found.alias("found")),
+            lambda p: F.concat(p["gap"], F.when(p["found"].isNotNull(), one_list(p["found"])).otherwise(F.lit(""))),
         )
+        return F.array_join(pieces, "")
 
-    return F.when(
-        F.contains(text, F.lit("&#")),
-        F.array_join(F.transform(F.split(text, "&#"), decode), ""),
-    ).otherwise(text)
+    text = html
+    for _ in range(LIST_LEVELS):
+        text = let(text, lambda t: F.when(F.rlike(t, F.lit(r"(?i)</[uo]l\s*>")), level(t)).otherwise(t))
+    return text
 
 
-def unescape(text: Column) -> Column:
-    decoded = let(text, decode_numeric)
-    for entity, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return decoded
+def _list_lines(text: Column) -> Column:
+    """Marks to line breaks and blanks."""
+    for mark, to in ((rf" ?{_END} ?", "\n\n"), (rf" ?{_LINE} ?", "\n"), (_INDENT, "  ")):
+        text = F.regexp_replace(text, mark, to)
+    return text
 
 
 def rewrite_closed(text: Column, pattern: str, replacement: str, closing: str) -> Column:
@@ -135,7 +195,8 @@ def table_rows(text: Column) -> Column:
 
 def flow(html: Column) -> Column:
     """Everything outside preformatted blocks."""
-    text = let(F.regexp_replace(html, r"\s+", " "), table_rows)
+    text = let(F.regexp_replace(html, r"[\s\x01-\x03]+", " "), table_rows)
+    text = nested_lists(text)
     for pattern, replacement, *closing in TAG_REWRITES:
         if closing:
             text = rewrite_closed(text, pattern, replacement, closing[0])
@@ -144,6 +205,7 @@ def flow(html: Column) -> Column:
     text = unescape(text)
     text = F.regexp_replace(text, r"[ \t]+", " ")
     text = F.regexp_replace(text, r" ?\n ?", "\n")
+    text = let(text, lambda t: F.when(F.contains(t, F.lit(_END)), _list_lines(t)).otherwise(t))
     return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 

@@ -30,13 +30,13 @@ MARKS_PER_STRING = 1024
 def _marks(units: Column, state_type: str, zero: str, step) -> Column:
     """Walk the units once and return one '1' (opens a group) or '0' per unit, as an array.
 
-    `step(state, unit)` returns (opens, next_state). Marks are gathered in strings of MARKS_PER_STRING,
-    so that a unit copies no more than one of them and only every so many units copy the list.
+    `step(state, unit)` returns (opens, next_state). Marks are gathered MARKS_PER_STRING at a time,
+    so that a unit copies no more than one of them and only every so many units copy what is there.
     """
     start = F.struct(
         F.expr(f"cast({zero} as {state_type})").alias("state"),
         F.lit("").alias("marks"),
-        F.expr("cast(array() as array<string>)").alias("full"),
+        F.lit("").alias("full"),
     )
 
     def merge(acc: Column, unit: Column) -> Column:
@@ -46,13 +46,10 @@ def _marks(units: Column, state_type: str, zero: str, step) -> Column:
         return F.struct(
             after.cast(state_type).alias("state"),
             F.when(is_full, mark).otherwise(F.concat(acc["marks"], mark)).alias("marks"),
-            F.when(is_full, F.concat(acc["full"], F.array(acc["marks"]))).otherwise(acc["full"]).alias("full"),
+            F.when(is_full, F.concat(acc["full"], acc["marks"])).otherwise(acc["full"]).alias("full"),
         )
 
-    joined = F.aggregate(
-        units, start, merge, lambda acc: F.concat(F.array_join(acc["full"], ""), acc["marks"])
-    )
-    return F.split(joined, "")
+    return F.split(F.aggregate(units, start, merge, lambda acc: F.concat(acc["full"], acc["marks"])), "")
 
 
 def recombine(chunks: Column, options: ChunkOptions = ChunkOptions()) -> Column:

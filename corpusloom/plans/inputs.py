@@ -142,6 +142,22 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as HTML: headings, an ordered list, nested lists, a link in single quotes, references, a rule."""
+    escaped = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    inner = (
+        "array_join(transform(filter(split(line, '[.] '), x -> trim(x) <> ''), "
+        f"s -> concat('<li>', {escaped.format('trim(s)')})), '')"
+    )
+    return table(spark, sf_dir, "documents", "doc_id").selectExpr(
+        "doc_id",
+        "concat('<h', 2 + doc_id % 5, '>Doc ', doc_id, '</h', 2 + doc_id % 5, '>\\n<OL class=x>', "
+        f"array_join(transform({_SENTENCES}, s -> concat('<li>', {escaped.format('s')}, '</li>')), ' '), '</ol><ul>', "
+        f"array_join(transform(split(text, '\\n'), line -> concat('<li><p>Line<ul>', {inner}, '</ul></li>')), ''), "
+        "'</ul><p><a href=\\'https://x.example/', doc_id, '\\'>A &eacute;&#x27;&#08364; link</a></p><hr>') AS html",
+    )
+
+
 def link_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: a small link file per page, with repeats, images and titles."""
     return table(spark, sf_dir, "pages").selectExpr(

@@ -626,6 +626,12 @@ PAGE_PROMPTS = SITE_PROMPTS.replace(SITES, PAGE_SITES).replace(
 ORACLES: dict[str, str] = {
     "html_to_markdown": f"""SELECT page_id, url, {strip(entities("regexp_extract(html, '(?is)<title" + chr(92) + "b[^>]*>(.*?)</title" + chr(92) + "s*>', 1)"))} AS title,
       {markdown_of('html')} AS content FROM pages""",
+    # What the writer of the HTML meant, not a copy of the conversion.
+    "html_forms": rf"""SELECT doc_id, concat(repeat('#', (2 + doc_id % 5)::INT), ' Doc ', doc_id, E'\n\n',
+      array_to_string(list_transform({SENTENCES}, lambda s, k: concat(k, '. ', s)), E'\n'), E'\n\n',
+      array_to_string(list_transform(string_split(text, E'\n'), lambda line: concat('* Line', array_to_string(list_transform(
+        list_filter(string_split(line, '. '), lambda s: trim(s) <> ''), lambda s: concat(E'\n  * ', trim(s))), ''))), E'\n'),
+      E'\n\n[A é', chr(39), '€ link](https://x.example/', doc_id, E')\n\n***') AS content FROM documents""",
     "unwrap_response": """SELECT page_id, CASE WHEN page_id % 4 IN (1, 2) THEN concat('T', page_id) ELSE '' END AS title,
       CASE WHEN page_id % 4 IN (1, 2) THEN concat(url, '?r') ELSE url END AS url, html AS content FROM pages""",
     "docs_nonempty": "SELECT doc_id, text AS content FROM documents WHERE doc_id % 9 > 1 AND text <> ''",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.dialogue_json import response_text, sanitize_escapes
+from corpusloom.functions.html import html_to_markdown as html_markdown
 from corpusloom.functions.markdown import guide_title, heading_context, plain_text
 from corpusloom.functions.text import tokens, words
 from corpusloom.functions.tokenizers import plugged_tokens
@@ -76,6 +77,10 @@ def html_to_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return fetched.documents_from_html(inputs.table(spark, sf, "pages", "page_id"))
 
 
+def html_forms(spark: SparkSession, sf: str) -> DataFrame:
+    return inputs.html_forms(spark, sf).select("doc_id", html_markdown(F.col("html")).alias("content"))
+
+
 def unwrap_response(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.fetched(spark, sf).select(
         "page_id",
@@ -359,6 +364,7 @@ def generate_with_callable(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "html_to_markdown": html_to_markdown,
+    "html_forms": html_forms,
     "unwrap_response": unwrap_response,
     "docs_nonempty": docs_nonempty,
     "guide_title": guide_titles,

@@ -1,5 +1,6 @@
 """HTML to markdown, titles, heading context, plain text."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.html import html_title, html_to_markdown
@@ -82,3 +83,26 @@ def test_long_and_regular_texts_do_not_break_the_regex_engine(each):
     ]
     assert len(each(plain_text, *big)) == len(big)
     assert each(html_to_markdown, *big)[-1] == "x"
+
+
+@pytest.mark.parametrize("html, markdown", [
+    ("<ul><li>a<ul><li>b</li><li>c<ol><li>x<li>y</ol></li></ul></li><li>d</li></ul><p>end</p>",
+     "* a\n  * b\n  * c\n    1. x\n    2. y\n* d\n\nend"),
+    ("<ol><li>one</li><li>two <b>bold</b></li></ol>", "1. one\n2. two **bold**"),
+    ("<a href='u'>t</a> <a href=v>w</a> <img src=i.png alt='q z'>", "[t](u) [w](v) ![q z](i.png)"),
+    ("&eacute;&#x27;&#0000039;&#1114111;&amp;lt; &bogus; &nbsp;x &#65 & b&copy;", "é\'\'\U0010ffff&lt; &bogus; x &#65 & b©"),
+    ("<ul><li><p>para</p></li></ul>", "* para"),
+    ("<ul><li>unclosed", "* unclosed"),
+])
+def test_html_forms(each, html, markdown):
+    assert each(html_to_markdown, html) == [markdown]
+
+
+def test_nested_html_lists_are_found_as_nested(spark):
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators.structures import profile
+
+    html = "<ul>" + "".join(f"<li>m{k}<ul><li>a</li><li>b</li></ul></li>" for k in range(20)) + "</ul>"
+    df = spark.createDataFrame([(html,)], "html string").select(html_to_markdown(F.col("html")).alias("c"))
+    assert "nested" in str(df.select(profile(F.col("c")).alias("p")).first())

@@ -18,6 +18,12 @@ TEXTS = {
     "spaces": "x" + " " * 300_000 + "y",
     "open brackets": "[a " * 30_000,
     "links": "[a](http://b) " * 20_000,
+    "unclosed links": "[x](http://y)" + "[a](" * 250_000 + "\n](http",
+    "brackets only": "[x](http://y)" + "[" * 1_000_000 + "\n](http",
+    "unclosed images": "![x](http://y)" + "![a" * 330_000 + "\n](http",
+    "open lists": "<ul><li>" * 100_000,
+    "closed lists": "<ul><li>a</li></ul>" * 20_000,
+    "ampersands": "&amp;&x" * 40_000,
     "link lines": "[a](http://b)\n" * 20_000,
     "headings": "## h\n" * 30_000,
     "underlined": "Title\n---\n" * 25_000,
