@@ -8,11 +8,13 @@ A document is the set of its distinct `shingle`-word shingles, lower-cased (A-Z)
 2. Documents of equal sets form a class and go on as one row, that of the smallest id.
 3. Classes that share a band are candidates. In every bucket each class meets the bucket's centre, the class
    with the most company over all bands, so a bucket gives one pair a member and never all its pairs.
-4. The similarity of a pair is estimated from the packed bits, corrected for chance collisions. Pairs more than
-   `DEVIATIONS` standard deviations under the threshold are dropped; the others are confirmed on their texts.
-5. Buckets that still hold several components get one more round: every class outside the bucket's largest
-   component meets the classes of the other components, through the same estimate and confirmation. Pairs
-   inside a component need no test, so after this no link between candidates is left out.
+4. Pairs are confirmed on their texts. What a class lacks of its centre's shingles and what it has beyond them is
+   its difference. If x is not linked to the centre and x and y are linked, their differences to this centre share
+   elements, and so many that prefixes of both (in one fixed order) share one. So the classes without a link to a
+   centre look for partners among all classes of that centre by an equi-join on prefix elements, not by pairs.
+5. Candidates of one component are dropped, as their link adds nothing. For the others the similarity is estimated from
+   the packed bits, corrected for chance collisions; those more than `DEVIATIONS` standard deviations under
+   the threshold are dropped and the rest is confirmed on the texts. No link between candidates is left out.
 
 With 24 bands of 4 rows a pair at similarity 0.85 shares no band with probability 2e-8.
 
@@ -153,30 +155,70 @@ def _near_enough(a: str, b: str, options: NearOptions) -> Column:
     return sizes & (estimate(F.col(f"{a}.bits"), F.col(f"{b}.bits"), options.hashes) >= options.least_estimate)
 
 
-def _common(left: pa.Array, right: pa.Array, options: NearOptions) -> np.ndarray:
-    """True where the full shingle sets of two texts are similar enough; some MB of text at a time."""
+def _prefix_lengths(n: np.ndarray, own: np.ndarray, centre: np.ndarray, linked: np.ndarray, options: NearOptions):
+    """How much of a difference of `n` elements is needed to meet partners: with a link to the centre, and without.
+
+    A linked pair differs in `most` elements at most, so differences of sizes n and m share (n + m - most) / 2 of
+    them or more, and one at least if a side is not linked to the centre. m is at least n - `most`, and more than
+    `apart` for a partner without a link. Sets that share `shared` elements share one in prefixes of n - shared + 1.
+    """
+    rest = 100 - options.percent
+    most = rest * (100 * own // options.percent) // 100
+    apart = rest * centre // 100 + 1
+
+    def prefix(partner: np.ndarray) -> np.ndarray:
+        shared = np.maximum(1, -(-(n + partner - most) // 2))
+        return np.maximum(n - shared + 1, 0)
+
+    to_open = prefix(np.maximum(n - most, apart))
+    return np.where(linked, to_open, prefix(np.maximum(n - most, 0))), to_open
+
+
+def _compared(left: pa.Array, right: pa.Array, options: NearOptions):
+    """Per pair of a text and its centre: linked on full sets, the prefix of its difference and its length, how much of
+    it is for open partners, the size of the whole difference and of the text's set."""
     sides = [text_bytes(left), text_bytes(right)]
-    found = [np.zeros(0, bool)]
+    linked, found = [np.zeros(0, bool)], [np.zeros(0, np.uint64)]
+    sizes, opens, differ, own_sizes = ([np.zeros(0, np.int64)] for _ in range(4))
     for lo, hi in row_ranges(sides[0][1] + sides[1][1]):
-        hashes, rows = [], []
-        for data, at in sides:
+        hashes, rows, side = [], [], []
+        for number, (data, at) in enumerate(sides):
             words = words_of(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], NOT_BLANK, lower=True)
             own, row = shingles(words, options.shingle)
             once = _distinct(own, row)
             hashes.append(own[once])
             rows.append(row[once])
-        rows = np.concatenate(rows)
-        keys = mix(np.concatenate(hashes) + (rows.astype(np.uint64) + np.uint64(1)) * GOLDEN)
+            side.append(np.full(len(once), number))
+        hashes, rows, side = (np.concatenate(x) for x in (hashes, rows, side))
+        keys = mix(hashes + (rows.astype(np.uint64) + np.uint64(1)) * GOLDEN)
         order = np.argsort(keys)
-        twice = order[1:][keys[order][1:] == keys[order][:-1]]
-        both = np.bincount(rows[twice], minlength=hi - lo)
-        union = np.bincount(rows, minlength=hi - lo) - both
-        found.append(100 * both >= options.percent * union)
-    return np.concatenate(found)
+        equal = keys[order][1:] == keys[order][:-1]
+        n, pairs = hi - lo, rows[order[1:][equal]]
+        both = np.bincount(pairs, minlength=n)
+        n_own, n_centre = (np.bincount(rows[side == k], minlength=n) for k in (0, 1))
+        union = n_own + n_centre - both
+        is_linked = 100 * both >= options.percent * union
+        alone = np.ones(len(order), bool)
+        alone[1:][equal] = False
+        alone[:-1][equal] = False
+        alone = order[alone]
+        element = np.where(side[alone] == 0, hashes[alone], mix(hashes[alone] ^ GOLDEN))
+        alone = alone[by := np.lexsort((element, side[alone], rows[alone]))]
+        element, row = element[by], rows[alone]
+        n_differ = np.bincount(row, minlength=n)
+        full, to_open = _prefix_lengths(n_differ, n_own, n_centre, is_linked, options)
+        place = np.arange(len(row)) - (np.cumsum(n_differ) - n_differ)[row]
+        linked.append(is_linked)
+        found.append(element[place < full[row]])
+        sizes.append(np.minimum(full, n_differ))
+        opens.append(np.minimum(to_open, n_differ))
+        differ.append(n_differ)
+        own_sizes.append(n_own)
+    return (np.concatenate(x) for x in (linked, found, sizes, opens, differ, own_sizes))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, options: NearOptions) -> DataFrame:
-    """pairs: a, b (ids). Those whose texts are similar enough."""
+    """pairs: a, b (ids). Adds `linked`, true if the texts are similar enough, and the prefix of their difference."""
     needed = cut(
         pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(
             classes.select(F.col("rep").alias("doc_id"), "set"), "doc_id"
@@ -196,26 +238,30 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, options: N
                 keep += [k.tobytes() == want for k, want in zip(key, batch["set"][lo:hi].to_pylist(), strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["doc_id", "text"])
 
-    # An id with several rows brings only the text of its class.
-    texts = docs.join(needed, "doc_id").mapInArrow(own_set, "doc_id bigint, text string")
+    # An id with several rows brings only the text of its class. The hint keeps one plan at every size.
+    texts = docs.join(needed.hint("merge"), "doc_id").mapInArrow(own_set, "doc_id bigint, text string")
     texts = cut(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.select(["a", "b"]).filter(pa.array(_common(batch["a_text"], batch["b_text"], options)))
+            linked, found, sizes, *counts = _compared(batch["a_text"], batch["b_text"], options)
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            prefix = pa.ListArray.from_arrays(ends, pa.array(found.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch["a"], batch["b"], pa.array(linked), prefix, *map(pa.array, counts)],
+                names=["a", "b", "linked", "prefix", "n_open", "n_differ", "n_own"],
+            )
 
     sides = [texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"{s}_text")) for s in ("a", "b")]
     return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "a_text", "b_text").mapInArrow(
-        check, "a bigint, b bigint"
+        check, "a bigint, b bigint, linked boolean, prefix array<bigint>, n_open bigint, n_differ bigint, n_own bigint"
     )
 
 
-def _star_pairs(members: DataFrame, classes: DataFrame, options: NearOptions) -> DataFrame:
-    """members: bucket, rep, company. Every class with the centre of each of its buckets."""
+def _star_pairs(members: DataFrame) -> DataFrame:
+    """members: bucket, rep, company. Every class (a) with the centre (b) of each of its buckets."""
     centres = members.groupBy("bucket").agg(F.min_by("rep", F.struct(-F.col("company"), F.col("rep"))).alias("b"))
-    pairs = members.join(centres, "bucket").filter("rep != b")
-    pairs = pairs.select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
-    return _filtered(pairs, classes, options)
+    return members.join(centres, "bucket").filter("rep != b").select(F.col("rep").alias("a"), "b").distinct()
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame, options: NearOptions) -> DataFrame:
@@ -225,27 +271,32 @@ def _filtered(pairs: DataFrame, classes: DataFrame, options: NearOptions) -> Dat
     return joined.filter(_near_enough("own_a", "own_b", options)).select("a", "b")
 
 
-def _rest_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, options: NearOptions) -> DataFrame:
-    """Pairs across the components of a bucket, one side of each outside the bucket's largest component."""
-    labelled = members.select("bucket", "rep").join(found, F.col("rep") == F.col("node"), "left")
-    labelled = labelled.select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    sizes = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("bucket").agg(
-        F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count(F.lit(1)).alias("parts")
-    )
-    open_rows = cut(
-        labelled.join(main.filter("parts > 1"), "bucket").join(classes.select("rep", "n", "bits"), "rep"), "open"
-    )
-    all_rows = open_rows.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "n", "bits")])
-    pairs = open_rows.filter("component != main").join(all_rows, "bucket").filter("component != o_component")
-    pairs = pairs.withColumn("one", F.struct("n", "bits")).withColumn(
-        "other", F.struct(F.col("o_n").alias("n"), F.col("o_bits").alias("bits"))
-    )
-    return (
-        pairs.filter(_near_enough("one", "other", options))
-        .select(F.greatest("rep", "o_rep").alias("a"), F.least("rep", "o_rep").alias("b"))
+def _rest_pairs(stars: DataFrame, classes: DataFrame, found: DataFrame, options: NearOptions) -> DataFrame:
+    """stars: a, b, linked, prefix, n_open. Pairs of different components that may be linked."""
+    entries = stars.select(
+        F.col("b").alias("centre"), F.col("a").alias("rep"), "linked", "n_open", "n_differ", "n_own",
+        F.posexplode("prefix").alias("place", "element"),
+    )
+    own = entries.filter("not linked").alias("x")
+    one, other = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    both_open = (other("place") < other("n_open")) & (one("place") < one("n_open")) & (one("rep") < other("rep"))
+    # At the first element they share, both must have enough left to share what a linked pair of these sizes does.
+    most = F.floor((100 - options.percent) * (one("n_own") + other("n_own")) / (100 + options.percent))
+    shared = F.ceil((one("n_differ") + other("n_differ") - most) / 2)
+    enough = F.least(one("n_differ") - one("place"), other("n_differ") - other("place")) >= shared
+    meets = (
+        (one("centre") == other("centre")) & (one("element") == other("element")) & (one("rep") != other("rep"))
+        & (other("linked") | both_open) & enough
+    )
+    pairs = (
+        own.join(entries.alias("y"), meets)
+        .select(F.greatest(one("rep"), other("rep")).alias("a"), F.least(one("rep"), other("rep")).alias("b"))
         .distinct()
     )
+    for side in ("a", "b"):
+        of_side = found.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}"))
+        pairs = pairs.join(of_side, side, "left").withColumn(f"in_{side}", F.coalesce(f"in_{side}", side))
+    return _filtered(pairs.filter("in_a != in_b").select("a", "b"), classes, options)
 
 
 def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -273,11 +324,12 @@ def near_duplicates(
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = cut(entries.join(shared, "bucket"), "members")
     company = members.groupBy("rep").agg(F.sum("size").alias("company"))
-    stars = cut(_star_pairs(members.join(company, "rep"), classes, options), "pairs")
-    links = cut(_confirmed(stars, classes, docs, options), "confirmed")
-    rest = cut(_rest_pairs(members, classes, components(links), options).join(stars, ["a", "b"], "left_anti"), "pairs")
+    stars = cut(_confirmed(cut(_star_pairs(members.join(company, "rep")), "pairs"), classes, docs, options), "stars")
+    links = stars.filter("linked").select("a", "b")
+    rest = cut(_rest_pairs(stars, classes, components(links), options), "pairs")
     if not rest.isEmpty():
-        links = links.unionByName(cut(_confirmed(rest, classes, docs, options), "confirmed"))
+        late = cut(_confirmed(rest, classes, docs, options).filter("linked").select("a", "b"), "late")
+        links = links.unionByName(late)
     links = links.unionByName(_same_id(signed, classes))
     grouped = classes.select("set", "rep").join(components(links), F.col("rep") == F.col("node"), "left")
     grouped = grouped.select("set", F.coalesce("component", "rep").alias("found"))

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from corpusloom.llm.components import components
-from corpusloom.llm.near_dedup import NearOptions, _common, near_duplicates, one_of_each
+from corpusloom.llm.near_dedup import NearOptions, _compared, near_duplicates, one_of_each
 from tests.llm import brute
 from tests.llm.conftest import EDGES, words
 
@@ -61,7 +61,34 @@ def test_confirmation_is_exact_at_the_threshold():
     a = words(104)  # 100 shingles
     for cut_words, linked in ((15, True), (16, False)):
         b = " ".join(a.split()[cut_words:])
-        assert _common(pa.array([a]), pa.array([b]), NearOptions()).tolist() == [linked]
+        assert next(_compared(pa.array([a]), pa.array([b]), NearOptions())).tolist() == [linked]
+
+
+def test_prefixes_of_linked_pairs_meet():
+    """Whatever the centre, two linked texts, one without a link to it, share a prefix element."""
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(120)]
+    options = NearOptions()
+    checked = 0
+    for _ in range(60):
+        x = list(base)
+        for _ in range(rng.randint(1, 8)):
+            k = rng.randrange(len(x))
+            x[k : k + rng.randint(0, 3)] = [f"n{rng.random()}"] * rng.randint(0, 2)
+        y = list(x)
+        for _ in range(rng.randint(0, 2)):
+            del y[rng.randrange(len(y))]
+        texts = [" ".join(t) for t in (x, y)]
+        linked, found, sizes, opens, *_ = _compared(pa.array(texts), pa.array([" ".join(base)] * 2), options)
+        pair = next(_compared(pa.array(texts[:1]), pa.array(texts[1:]), options))[0]
+        if not pair or linked.all():
+            continue
+        checked += 1
+        first, second = set(found[: sizes[0]].tolist()), set(found[sizes[0] :].tolist())
+        assert first & second
+        if not linked.any():
+            assert set(found[: opens[0]].tolist()) & set(found[sizes[0] : sizes[0] + opens[1]].tolist())
+    assert checked > 10
 
 
 def test_components_of_a_chain_and_a_star(spark):
