@@ -11,7 +11,7 @@ How the work is spread:
 1. Documents are dealt into parts of a few MB by a hash of id and text. Within a part each edge is
    kept once, so copies are combined before anything is sent.
 2. The distinct edges of a part are sorted by hash and sent in blocks, a block for each range of hashes:
-   differences of sorted hashes, document ids and positions, compressed. About nine bytes an edge.
+   differences of sorted hashes, document ids and positions, compressed. About eight bytes an edge.
 3. Each range of hashes finds repeated edges and answers the parts that sent them with the source.
 4. Parts join the answers with their texts, compact edges to spans and give them a digest of their words.
 5. Distinct (source, length, digest) rows join the source texts. Spans whose words differ are dropped.
@@ -39,6 +39,9 @@ from corpusloom.llm.blocks import covered, text_bytes, words_of
 from corpusloom.llm.store import text_parts
 
 Key = tuple[pa.Scalar, ...]
+# 56 bits: among 8e9 edges one in 1e7 meets other words by chance. Comparing words then drops its span, so such an
+# edge can only stay unremoved, never remove words that are not repeated.
+HASH_BITS = 56
 NO_ID = np.iinfo(np.int64).max
 PART_BYTES = 4 << 20
 RANGE_BYTES = 12 << 20
@@ -94,6 +97,7 @@ def _part(group: pa.Table, window: int) -> _Part:
     ids, texts = _rows(group)
     words = words_of(*text_bytes(texts))
     hashes, start = words.ngrams(window)
+    hashes >>= np.uint64(64 - HASH_BITS)
     order = np.argsort(hashes, kind="stable")
     ranked = hashes[order]
     opens = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, bool)
@@ -105,11 +109,16 @@ def _part(group: pa.Table, window: int) -> _Part:
     )
 
 
+def _range_cuts(distinct: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of `ranges` equal ranges of hashes begins in sorted hashes, and the end."""
+    place = ((distinct >> np.uint64(HASH_BITS - 32)) * np.uint64(ranges)) >> np.uint64(32)
+    return np.searchsorted(place, np.arange(ranges + 1, dtype=np.uint64))
+
+
 def _edges(window: int, ranges: int):
     def run(key: Key, group: pa.Table) -> pa.Table:
         part = _part(group, window)
-        place = ((part.distinct >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-        cuts = np.searchsorted(place, np.arange(ranges + 1, dtype=np.uint64))
+        cuts = _range_cuts(part.distinct, ranges)
         ids, at = part.first_id, part.at[part.first].astype(np.uint32)
         found = []
         for number in np.flatnonzero(np.diff(cuts)):
@@ -174,8 +183,7 @@ def _spans(window: int, ranges: int):
     def run(key: Key, group: pa.Table, answers: pa.Table) -> pa.Table:
         part_no = key[0].as_py()
         part = _part(group, window)
-        place = ((part.distinct >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-        cuts = np.searchsorted(place, np.arange(ranges + 1, dtype=np.uint64))
+        cuts = _range_cuts(part.distinct, ranges)
         src_part = np.full(len(part.distinct), part_no, np.int32)
         src_id, src_at = part.first_id.copy(), part.at[part.first].astype(np.int64)
         for number, n, payload in zip(answers["range"], answers["n"], answers["payload"], strict=True):
