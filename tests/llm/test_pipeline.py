@@ -9,6 +9,7 @@ from corpusloom.llm.queries import LLM_ORACLES, LLM_QUERIES
 from corpusloom.llm.rules import RuleOptions
 from corpusloom.llm.store import table
 from tests.llm import brute
+from tests.llm.conftest import words
 from tests.llm.test_rules import brute_judged
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -49,6 +50,23 @@ def test_stages_against_brute_force(spark, texts):
     assert sorted(starts) == sorted(taken)
 
 
+def test_near_dedup_stage_links_from_0_8_on(docs):
+    """Texts without their first 20 and 21 words: similarities of 80 / 100 and 79 / 100 in shingles."""
+    base = words(104).split()
+    ends = [" ".join(base[k:]) for k in (0, 20)] + [" ".join(f"q{w}" for w in base[k:]) for k in (0, 21)]
+    rows = list(enumerate(ends, 1))
+    assert {r[0] for r in brute.near_duplicates(rows, percent=80) if r[3]} == {1, 3, 4}
+    df = docs(rows)
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](df.sparkSession, df, SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+
+
+def test_near_dedup_stage_against_brute_force_at_0_8(spark, texts):
+    """All given documents, as two of them go at 0.8 only."""
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, table(spark, SF_DIR, "documents"), SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in brute.near_duplicates(texts, percent=80) if r[3])
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert rows and all(r.cu_seqlens[-1] == r.n_tokens for r in rows)
