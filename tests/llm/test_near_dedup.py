@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -5,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from corpusloom.llm.components import components
-from corpusloom.llm.near_dedup import NearOptions, _compared, near_duplicates, one_of_each
+from corpusloom.llm.near_dedup import BITS, NearOptions, _compared, near_duplicates, one_of_each
 from tests.llm import brute
 from tests.llm.conftest import EDGES, words
 
@@ -91,6 +92,17 @@ def test_prefixes_of_linked_pairs_meet():
     assert checked > 10
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_estimate_leaves_out_fewer_than_the_bands(percent):
+    """Binomial tail of equal entries under the least estimate, for a pair at the threshold."""
+    options = NearOptions(percent=percent)
+    share, chance, n = percent / 100, 2.0**-BITS, options.hashes
+    equal = share + (1 - share) * chance
+    dropped = [k for k in range(n + 1) if (k / n - chance) / (1 - chance) < options.least_estimate]
+    tail = sum(math.comb(n, k) * equal**k * (1 - equal) ** (n - k) for k in dropped)
+    assert tail < (1 - share**options.rows) ** options.bands / 100
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7)]
     rows = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
