@@ -37,7 +37,7 @@ def test_stages_against_brute_force(spark, texts):
     left = {r[0]: left[r[0]] for r in brute_judged(list(left.items()), labels, RuleOptions()) if r[-1]}
     assert sorted(r.doc_id for r in docs.collect()) == sorted(left)
     docs = ran("near_dedup")
-    left = {r[0]: left[r[0]] for r in brute.near_duplicates(list(left.items())) if r[3]}
+    left = {r[0]: left[r[0]] for r in brute.near_duplicates(list(left.items()), percent=80) if r[3]}
     assert sorted(r.doc_id for r in docs.collect()) == sorted(left)
     docs = ran("decontamination")
     left = {r[0]: left[r[0]] for r in brute.contamination(list(left.items()), items) if not r[5]}
