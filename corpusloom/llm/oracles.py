@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from corpusloom.llm.manifest_sql import OP13
+
 MIX_TARGETS = r"""
   sized AS (
     SELECT doc_id, source,
@@ -76,4 +78,4 @@ FROM sized s JOIN decided d
   ON s.doc_id IS NOT DISTINCT FROM d.doc_id AND s.source IS NOT DISTINCT FROM d.source AND s.size = d.size
 """
 
-LLM_ORACLES: dict[str, str] = {"op7_mixing": OP7}
+LLM_ORACLES: dict[str, str] = {"op7_mixing": OP7, "op13_merkle_manifest": OP13}

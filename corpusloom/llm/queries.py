@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.merkle import checked_documents
 from corpusloom.llm.mixing import mixed, sized
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.oracles import LLM_ORACLES as LLM_ORACLES
@@ -90,6 +91,11 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"_{n}").alias(n) for n in (*COUNTS, "base_failed", "kept", "score")])
 
 
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    found = checked_documents(table(spark, sf, "documents"))
+    return found.selectExpr("key doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
@@ -101,5 +107,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
