@@ -47,9 +47,9 @@ def _climb(rows: str, name: str, tree: str, group: str, pos: str) -> str:
 
 # crc32 bit by bit: 0xEDB88320 is the polynomial, 0xFFFFFFFF the first and the last mask.
 CRC32 = """xor(4294967295::BIGINT, list_reduce(
-    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), c -> ascii(c)::BIGINT)),
-    (crc, byte) -> list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-      (x, bit) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
 
 OP13 = f"""
 WITH given AS (
