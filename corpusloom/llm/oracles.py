@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.llm.manifest_sql import OP13
+from corpusloom.llm.vector_sql import OP12
 
 MIX_TARGETS = r"""
   sized AS (
@@ -78,4 +79,4 @@ FROM sized s JOIN decided d
   ON s.doc_id IS NOT DISTINCT FROM d.doc_id AND s.source IS NOT DISTINCT FROM d.source AND s.size = d.size
 """
 
-LLM_ORACLES: dict[str, str] = {"op7_mixing": OP7, "op13_merkle_manifest": OP13}
+LLM_ORACLES: dict[str, str] = {"op7_mixing": OP7, "op12_vector_codes": OP12, "op13_merkle_manifest": OP13}

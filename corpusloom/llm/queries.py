@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.html_extraction import with_main_text
 from corpusloom.llm.merkle import checked_documents
 from corpusloom.llm.mixing import mixed, sized
 from corpusloom.llm.near_dedup import near_duplicates
@@ -20,6 +21,7 @@ from corpusloom.llm.spans import listed
 from corpusloom.llm.store import table
 from corpusloom.llm.substring import remove_repeats
 from corpusloom.llm.token_counts import token_counts
+from corpusloom.llm.vector_codes import compressed
 from corpusloom.llm.winnowing import contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +93,16 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"_{n}").alias(n) for n in (*COUNTS, "base_failed", "kept", "score")])
 
 
+def op11_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return with_main_text(pages).select("page_id", "url", "text", "n_chars", "n_lines", "n_shared")
+
+
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    return compressed(vectors).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     found = checked_documents(table(spark, sf, "documents"))
     return found.selectExpr("key doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -107,6 +119,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_vector_codes": op12_vector_codes,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 

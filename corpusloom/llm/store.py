@@ -38,6 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or one like it that no column of `df` has, upper and lower case taken as equal."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_parts(df: DataFrame, text: str = "text", part_bytes: int = 4 << 20) -> int:
     """How many parts of about `part_bytes` the texts make; one pass over all of them."""
     total = df.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
