@@ -3,6 +3,10 @@
 Every stage writes a table under `run=<run_id>` and reads it back. A repeated run with the
 same id takes the same links, overwrites its own tables and nothing else, and the state is
 added to last, so a run that fails can be started again without losing or doubling records.
+
+Text files are written in the order of the links (file, place in it), then chunk, part and answer, as a run over one link
+after the other would write them. The order is a range partitioning by all of these keys, so a page with very many records
+is several ranges.
 """
 
 from __future__ import annotations
@@ -32,6 +36,11 @@ class RunOptions:
     mark_empty: bool = False
 
 
+# Where a link stands; chunks and parts have their own numbers within its page, dialogues within their answer.
+LINK_PLACE = ("file", "pos")
+RECORD_ORDER = (*LINK_PLACE, "chunk_no", "part_no", "request_id", "seq")
+
+
 def _saved(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -63,7 +72,8 @@ def run_corpus(
     """Pending pages to plain-text blocks; returns the finished URLs, with `mark_empty` also those without a block."""
     pending, docs = pending_documents(spark, link_files, pages, state, f"{out}/pending/run={run_id}")
     blocks = _saved(corpus_blocks(cleaned_documents(docs)).select("url", "block"), f"{out}/blocks/run={run_id}")
-    sinks.write_corpus_blocks(blocks, f"{out}/corpus/run={run_id}", mode="overwrite")
+    placed = blocks.join(pending.select("url", *LINK_PLACE), "url")
+    sinks.write_corpus_blocks(placed, f"{out}/corpus/run={run_id}", mode="overwrite", order=[*LINK_PLACE, "url"])
     finished = resume.finished_urls(pending, blocks.select("url", F.lit(1).alias("records")), mark_empty)
     finished = _saved(finished, f"{out}/finished/run={run_id}")
     links.append_processed_links(finished, state)
@@ -104,15 +114,22 @@ def run_records(
         dialogues.records(found, prompts, options.records).select("request_id", "seq", "url", "record"),
         path("record_table"),
     )
-    sinks.write_jsonl(records, path("records"), mode="overwrite")
+    # Keys are put together before the records join, so that their texts move once more only.
+    places = prompts.select("request_id", "url", "chunk_no", "part_no").join(pending.select("url", *LINK_PLACE), "url")
+    ordered = records.drop("url").join(places, "request_id")
+    sinks.write_jsonl(ordered, path("records"), mode="overwrite", order=RECORD_ORDER)
 
     invalid = dialogues.invalid_responses(responses, options.records).join(
-        prompts.select("request_id", "url", "guide_title", "prompt"), "request_id"
+        prompts.select("request_id", "guide_title", "prompt"), "request_id"
     )
+    invalid = invalid.join(places, "request_id")
     entry = sinks.quarantine_entry(
         *[F.col(c) for c in ("url", "guide_title", "prompt", "response_head", "total_len")], options.records
     )
-    sinks.write_quarantine(invalid.select(entry.alias("entry")), path("quarantine"), mode="overwrite")
+    logged = invalid.select(entry.alias("entry"), *LINK_PLACE, "chunk_no", "part_no", "request_id", "attempt")
+    sinks.write_quarantine(
+        logged, path("quarantine"), mode="overwrite", order=[*RECORD_ORDER[:-1], "attempt"]
+    )
 
     per_url = _saved(dialogues.records_per_url(records), path("records_per_url"))
     finished = _saved(resume.finished_urls(pending, per_url, options.mark_empty), path("finished"))
