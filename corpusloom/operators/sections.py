@@ -181,6 +181,13 @@ def part_markers(bodies: Column, heading: Column) -> Column:
     return let(bodies, lambda b: F.transform(b, lambda body, k: one(body, k, F.size(b))))
 
 
+def part_text(heading: str, body: str, k: int, n: int) -> str:
+    """Part `k` of `n` as `part_markers` writes it."""
+    if k:
+        return f"{heading}\n\n**[Part {k + 1} of {n} - Continued]**\n\n{body}"
+    return f"{heading}\n\n{body}" + ("\n\n**[Continued in Part 2]**" if n > 1 else "")
+
+
 def pack_blocks(blocks: Column, limit: Column) -> Column:
     """Pack blocks into bodies of at most `limit` tokens.
 
@@ -239,6 +246,17 @@ def fits(chunk: Column, max_tokens: int) -> Column:
     return (tokens_of_words(most_words) <= max_tokens) | (tokens(chunk) <= max_tokens)
 
 
+def heading_blocks(h: Column) -> Column:
+    """Blocks of a chunk as `split_heading` gives it, lines before the heading first; none if it is only a heading."""
+    none = F.array().cast("array<string>")
+    lead = F.regexp_replace(h["lead"], r"\n\z", "")
+    blocks = F.concat(
+        F.when(strip(lead) != "", blocks_of(lead)).otherwise(none),
+        F.when(h["content"] != "", blocks_of(h["content"])).otherwise(none),
+    )
+    return F.when((strip(h["lead"]) == "") & (strip(h["content"]) == ""), none).otherwise(blocks)
+
+
 def split_oversized(chunk: Column, options: ChunkOptions = ChunkOptions()) -> Column:
     """One chunk to ARRAY<STRING>: itself, or parts under the limit with its heading repeated.
 
@@ -249,14 +267,7 @@ def split_oversized(chunk: Column, options: ChunkOptions = ChunkOptions()) -> Co
         limit = F.greatest(
             F.lit(options.max_tokens) - tokens(h["title"]) - options.heading_reserve, F.lit(1)
         )
-        lead = F.regexp_replace(h["lead"], r"\n\z", "")
-        blocks = F.concat(
-            F.when(strip(lead) != "", blocks_of(lead)).otherwise(F.array().cast("array<string>")),
-            F.when(h["content"] != "", blocks_of(h["content"])).otherwise(
-                F.array().cast("array<string>")
-            ),
-        )
-        bodies = let(limit, lambda bound: pack_blocks(blocks, bound))
+        bodies = let(limit, lambda bound: pack_blocks(heading_blocks(h), bound))
         return F.when(
             (strip(h["lead"]) == "") & (strip(h["content"]) == ""), F.array(whole)
         ).otherwise(part_markers(bodies, h["heading"]))
