@@ -1,12 +1,22 @@
-"""Model answers: text, escapes, parsing and validity. Column in, column out."""
+"""Model answers: text, escapes, parsing and validity. Column in, column out.
+
+Objects are read and written by Python's JSON in Arrow batches, as the readers of SQL sort the keys of nested objects and reject
+repeated keys and NaN: keys keep their order, the last of repeated ones wins at the place of the first, NaN stays.
+"""
 
 from __future__ import annotations
 
+import json
+import re
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from corpusloom import fixed_values as fv
-from corpusloom.functions.text import all_lines, drop_blank, let, non_empty, strip, tokens
+from corpusloom.functions.text import non_empty, strip, tokens
 
 TURNS = "array<struct<role:string,content:string>>"
 
@@ -29,74 +39,68 @@ def sanitize_escapes(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, fv.BAD_ESCAPE, ""), fv.BAD_UNICODE_ESCAPE, "u")
 
 
-def _parses(text: Column) -> Column:
-    """The whole text is one JSON value.
+def turns_of(item: Column) -> Column:
+    """`conversations` of a dialogue object as ARRAY<STRUCT<role, content>>."""
+    return F.from_json(item, f"conversations {TURNS}")["conversations"]
 
-    The JSON readers stop after the first value, so the text is read inside a list and
-    inside an object: anything after the value breaks at least one of them.
-    """
-    in_list = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.coalesce(in_list == 1, F.lit(False)) & in_object.isNotNull()
 
+_FAILED = object()
+_LONE_SURROGATE = re.compile("[\ud800-\udfff]")
 
-def readable_json(text: Column) -> Column:
-    """The text itself if it parses as JSON, else with its escapes repaired."""
-    return let(text, lambda t: F.when(_parses(t), t).otherwise(sanitize_escapes(t)))
 
+def _parsed(text: str) -> Any:
+    """The value of a text that is one JSON value, else `_FAILED`."""
+    try:
+        return json.loads(text)
+    except (ValueError, RecursionError):
+        return _FAILED
+
+
+def _readable(text: str) -> tuple[str, Any]:
+    """The text itself if it parses, else with its escapes repaired, and its value."""
+    value = _parsed(text)
+    if value is _FAILED and "\\" in text:
+        text = re.sub(fv.BAD_UNICODE_ESCAPE, "u", re.sub(fv.BAD_ESCAPE, "", text))
+        value = _parsed(text)
+    return text, value
 
-def turns_of(item: Column) -> Column:
-    """`conversations` of a dialogue object as ARRAY<STRUCT<role, content>>."""
-    return F.from_json(item, f"conversations {TURNS}")["conversations"]
 
+def _written(value: Any) -> str:
+    """JSON text; a surrogate without its other half, which UTF-8 cannot hold, becomes U+FFFD."""
+    return _LONE_SURROGATE.sub("\ufffd", json.dumps(value, ensure_ascii=False))
 
-def is_dialogue(item: Column) -> Column:
+
+def _is_dialogue(item: Any) -> bool:
     """An object whose `conversations` is a list of two or more objects with both keys.
 
     Only the presence of `role` and `content` counts, not their values.
     """
+    turns = item.get("conversations") if isinstance(item, dict) else None
+    return (
+        isinstance(turns, list)
+        and len(turns) >= 2
+        and all(isinstance(turn, dict) and "role" in turn and "content" in turn for turn in turns)
+    )
 
-    def complete(turn: Column) -> Column:
-        keys = F.json_object_keys(turn)
-        return F.coalesce(
-            F.array_contains(keys, "role") & F.array_contains(keys, "content"), F.lit(False)
-        )
 
-    # The list is wrapped in a JSON path read, so that a conversations object is not taken for a list.
-    listed = F.get_json_object(item, "$.conversations")
-    turns = F.from_json(
-        F.when(F.ltrim(listed).startswith("["), listed), "array<string>"
-    )
-    return let(
-        F.struct(F.coalesce(F.ltrim(item).startswith("{"), F.lit(False)).alias("object"), turns.alias("turns")),
-        lambda s: F.coalesce(
-            s["object"] & (F.size(s["turns"]) >= 2) & F.forall(s["turns"], complete), F.lit(False)
-        ),
-    )
+def _dialogues_in(answer: str) -> list[str]:
+    answer, value = _readable(answer)
+    if value is _FAILED:
+        lines = [line.strip() for line in answer.splitlines()]
+        entries = [_readable(line)[1] for line in lines if line.startswith("{") and line.endswith("}")]
+    else:
+        entries = value if isinstance(value, list) else [value]
+    return [_written(entry) for entry in entries if _is_dialogue(entry)]
 
 
-def dialogue_items(text: Column) -> Column:
-    """ARRAY<STRING> of the valid dialogue objects in an answer.
+@F.pandas_udf(ArrayType(StringType()))
+def dialogue_items(text: pd.Series) -> pd.Series:
+    """ARRAY<STRING> of the valid dialogue objects in an answer; NULL for NULL.
 
     A JSON list gives its entries, a single object itself, anything else its lines that
     are objects of their own.
     """
-
-    def entries(t: Column) -> Column:
-        as_list = F.from_json(t, "array<string>")
-        as_lines = F.filter(
-            drop_blank(all_lines(t)),
-            lambda line: line.startswith("{") & line.endswith("}"),
-        )
-        return (
-            F.when(~_parses(t), F.transform(as_lines, lambda line: readable_json(line)))
-            .when(t.startswith("["), as_list)
-            .when(t.startswith("{"), F.array(t))
-            .otherwise(F.array().cast("array<string>"))
-        )
-
-    found = let(readable_json(text), entries)
-    return F.filter(found, lambda item: item.isNotNull() & _parses(item) & is_dialogue(item))
+    return text.map(lambda t: None if t is None else _dialogues_in(t))
 
 
 def answer_tokens(turns: Column) -> Column:
@@ -108,17 +112,20 @@ def answer_tokens(turns: Column) -> Column:
     )
 
 
-def record_json(item: Column, url: Column, lang: Column, date: Column, n_tokens: Column) -> Column:
-    """The dialogue object with its metadata set; any other keys it has are kept.
+@F.pandas_udf(StringType())
+def record_json(item: pd.Series, url: pd.Series, lang: pd.Series, date: pd.Series, n_tokens: pd.Series) -> pd.Series:
+    """The dialogue object with its metadata set; any other keys it has are kept, all of them in their order.
 
-    A date is written only if there is one.
+    A key that is there already keeps its place. A date is written only if there is one.
     """
-    kept = F.map_filter(
-        F.from_json(item, "map<string,variant>"),
-        lambda key, _: ~key.isin("url", "lang", "answer_tokens")
-        & ~((key == "date") & (F.coalesce(date, F.lit("")) != "")),
-    )
-    metadata = F.struct(
-        F.coalesce(url, F.lit("")).alias("url"), lang.alias("lang"), non_empty(date).alias("date"), n_tokens.alias("answer_tokens")
-    )
-    return F.to_json(F.map_concat(kept, F.from_json(F.to_json(metadata), "map<string,variant>")))
+
+    def enriched(item: str, url: str | None, lang: str, date: str | None, n: int) -> str:
+        record = json.loads(item)
+        record["url"] = url or ""
+        record["lang"] = lang
+        if date:
+            record["date"] = date
+        record["answer_tokens"] = int(n)
+        return _written(record)
+
+    return pd.Series([enriched(*row) for row in zip(item, url, lang, date, n_tokens)], dtype=object)

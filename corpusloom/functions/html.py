@@ -6,13 +6,14 @@ links, `***` rules; images are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import let, strip
+from corpusloom.functions.text import let, notes, strip
 
 # Elements whose whole content is dropped.
 DROPPED = ("script", "style", "noscript", "title", "nav", "footer")
@@ -97,39 +98,134 @@ def unescape(text: Column) -> Column:
 
 # Marks of list lines until blanks have been collapsed: line start, indentation, end of a list.
 _LINE, _INDENT, _END = "\x01", "\x02", "\x03"
-# An innermost list; deeper ones have become marked lines by the time their parent is one.
-INNERMOST_LIST = r"(?is)<([uo])l\b[^<>]*>((?:(?!</?[uo]l\b).)*+)</[uo]l\s*>"
-LIST_LEVELS = 4
+LIST_TAG = r"(?i)</?(?:[uo]l|li)\b[^<>]*>"
+TABLE_TAG = r"(?i)</?(?:table|tr|t[hd])\b[^<>]*>"
+
+
+def _has_end(tags: Column, opens: Callable[[Column], Column], ends: Callable[[Column], Column]) -> Column:
+    """For each tag, as an array read from its end, '1' if it opens an element that is closed later on."""
+
+    def step(free: Column, tag: Column):
+        note = F.when(opens(tag) & (free > 0), F.lit("1")).otherwise(F.lit("0"))
+        after = F.when(opens(tag), F.greatest(free - 1, F.lit(0))).when(ends(tag), free + 1).otherwise(free)
+        return note, after
+
+    return notes(F.reverse(tags), "int", "0", step)
+
+
+def _rewrite_tags(text: Column, pattern: str, noted: Callable[[Column], Column], write) -> Column:
+    """A text cut at its tags: `noted(tags)` notes something for each, `write(tag, note, text after it)` gives what replaces both."""
+
+    def joined(b: Column) -> Column:
+        parts = F.transform(b["tags"], lambda tag, i: write(tag, F.get(b["notes"], i), F.get(b["gaps"], i + 1)))
+        return F.concat(F.get(b["gaps"], F.lit(0)), F.array_join(parts, ""))
+
+    tags = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return let(
+        tags,
+        lambda t: let(F.struct(t.alias("tags"), noted(t).alias("notes"), F.split(text, pattern, -1).alias("gaps")), joined),
+    )
+
+
+def _marked_closed(kinds: Column, opens: Callable[[Column], Column], ends: Callable[[Column], Column]) -> Column:
+    """ARRAY<STRUCT<tag, closed>>: whether each tag opens an element that has an end."""
+    return let(
+        F.struct(kinds.alias("kinds"), _has_end(kinds, opens, ends).alias("closed")),
+        lambda b: F.transform(
+            b["kinds"],
+            lambda k, i: F.struct(k.alias("tag"), (F.get(b["closed"], F.size(b["kinds"]) - 1 - i) == "1").alias("closed")),
+        ),
+    )
+
+
+def _kind(tag: Column) -> Column:
+    """The first two characters of a tag after its bracket, in lower case."""
+    return F.lower(F.substring(tag, 2, 2))
 
 
 def nested_lists(html: Column) -> Column:
-    """Lists from the inside out: ordered items get numbers, the lines of an inner list two more blanks."""
-
-    def one_list(found: Column) -> Column:
-        ordered = F.lower(F.regexp_extract(found, INNERMOST_LIST, 1)) == "o"
-        items = F.split(F.regexp_extract(found, INNERMOST_LIST, 2), r"(?i)<li\b[^<>]*>")
-
-        def line(item: Column, i: Column) -> Column:
-            bare = F.regexp_replace(item, r"(?i)</li\s*>|\A\s*<p\b[^<>]*>", "")
-            text = strip(F.replace(bare, F.lit(_END), F.lit("")))
-            bullet = F.when(ordered, F.concat((i + 1).cast("string"), F.lit(". "))).otherwise(F.lit("* "))
-            return F.concat(F.lit(_LINE), bullet, F.replace(text, F.lit(_LINE), F.lit(_LINE + _INDENT)))
-
-        lines = F.transform(F.slice(items, F.lit(2), F.size(items)), line)
-        return F.concat(strip(F.get(items, F.lit(0))), F.array_join(lines, ""), F.lit(_END))
-
-    def level(text: Column) -> Column:
-        gaps, found = F.split(text, INNERMOST_LIST, -1), F.regexp_extract_all(text, F.lit(INNERMOST_LIST), F.lit(0))
-        pieces = F.transform(
-            F.arrays_zip(gaps.alias("gap"), found.alias("found")),
-            lambda p: F.concat(p["gap"], F.when(p["found"].isNotNull(), one_list(p["found"])).otherwise(F.lit(""))),
+    """Lists of any depth to marked lines: ordered items get numbers, an inner list two more blanks a level.
+
+    One walk over the list tags with a stack of open lists, which holds the number of the last item, or -1 for a bullet list. A list
+    without an end is none: its tags stay and become plain breaks and bullets later.
+    """
+
+    def step(stack: Column, unit: Column):
+        tag, depth = unit["tag"], F.size(stack)
+        opens = tag.isin("ul", "ol") & unit["closed"]
+        number = F.element_at(stack, -1) + 1
+        inside = depth > 0
+        note = (
+            F.when(opens, F.lit("open"))
+            .when(~inside | tag.isin("ul", "ol"), F.lit("keep"))
+            .when(tag == "/l", F.lit("open"))
+            .when(tag != "li", F.concat(F.lit("end "), (depth - 1).cast("string")))
+            .when(number == 0, F.concat(depth.cast("string"), F.lit(" *")))
+            .otherwise(F.concat(depth.cast("string"), F.lit(" "), number.cast("string"), F.lit(".")))
+        )
+        counted = F.concat(F.slice(stack, F.lit(1), depth - 1), F.array(number))
+        after = (
+            F.when(opens, F.concat(stack, F.array(F.when(tag == "ul", F.lit(-1)).otherwise(F.lit(0)))))
+            .when(inside & tag.isin("/u", "/o"), F.slice(stack, F.lit(1), depth - 1))
+            .when(inside & (tag == "li") & (number > 0), counted)
+            .otherwise(stack)
+        )
+        return note, after
+
+    def noted(tags: Column) -> Column:
+        kinds = F.transform(tags, _kind)
+        units = _marked_closed(kinds, lambda k: k.isin("ul", "ol"), lambda k: k.isin("/u", "/o"))
+        return notes(units, "array<int>", "array()", step)
+
+    def write(tag: Column, note: Column, after: Column) -> Column:
+        depth = F.substring_index(note, " ", 1).cast("int")
+        bullet = F.substring_index(note, " ", -1)
+        item = F.ltrim(F.regexp_replace(after, r"(?i)\A\s*<p\b[^<>]*>", ""))
+        end_depth = bullet.try_cast("int")
+        follows = strip(after)
+        return (
+            F.when(note == "keep", F.concat(tag, after))
+            .when(note == "open", F.when(follows == "", F.lit("")).otherwise(F.concat(F.lit(" "), follows)))
+            .when(note == "end 0", F.concat(F.lit(_END), after))
+            .when(
+                note.startswith("end"),
+                F.when(follows == "", F.lit("")).otherwise(
+                    F.concat(F.lit(_LINE), F.repeat(F.lit(_INDENT), end_depth), follows)
+                ),
+            )
+            .otherwise(F.concat(F.lit(_LINE), F.repeat(F.lit(_INDENT), depth - 1), bullet, F.lit(" "), item))
         )
-        return F.array_join(pieces, "")
 
-    text = html
-    for _ in range(LIST_LEVELS):
-        text = let(text, lambda t: F.when(F.rlike(t, F.lit(r"(?i)</[uo]l\s*>")), level(t)).otherwise(t))
-    return text
+    return let(
+        html,
+        lambda t: F.when(F.rlike(t, F.lit(r"(?i)</[uo]l\s*>")), _rewrite_tags(t, LIST_TAG, noted, write)).otherwise(t),
+    )
+
+
+def inner_tables(html: Column) -> Column:
+    """Tables within tables to plain text of the cell around them, at any depth."""
+
+    def noted(tags: Column) -> Column:
+        kinds = F.transform(tags, lambda tag: F.lower(F.substring(tag, 2, 3)))
+        def step(depth: Column, unit: Column):
+            opens = (unit["tag"] == "tab") & unit["closed"]
+            ends = (unit["tag"] == "/ta") & (depth > 0)
+            within = depth + F.when(opens, 1).otherwise(0)
+            note = F.when(within > 1, F.lit("drop")).otherwise(F.lit("keep"))
+            return note, F.when(ends, depth - 1).otherwise(within)
+
+        units = _marked_closed(kinds, lambda k: k == "tab", lambda k: k == "/ta")
+        return notes(units, "int", "0", step)
+
+    def write(tag: Column, note: Column, after: Column) -> Column:
+        return F.concat(F.when(note == "drop", F.lit(" ")).otherwise(tag), after)
+
+    return let(
+        html,
+        lambda t: F.when(
+            F.size(F.split(t, r"(?i)<table\b", 3)) > 2, _rewrite_tags(t, TABLE_TAG, noted, write)
+        ).otherwise(t),
+    )
 
 
 def _list_lines(text: Column) -> Column:
@@ -195,7 +291,7 @@ def table_rows(text: Column) -> Column:
 
 def flow(html: Column) -> Column:
     """Everything outside preformatted blocks."""
-    text = let(F.regexp_replace(html, r"[\s\x01-\x03]+", " "), table_rows)
+    text = let(inner_tables(F.regexp_replace(html, r"[\s\x01-\x03]+", " ")), table_rows)
     text = nested_lists(text)
     for pattern, replacement, *closing in TAG_REWRITES:
         if closing:

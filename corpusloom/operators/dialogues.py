@@ -15,7 +15,6 @@ from corpusloom.functions.dialogue_json import (
     response_text,
     turns_of,
 )
-from corpusloom.functions.text import let
 from corpusloom.operators.prompts import unique_requests
 from corpusloom.options import RecordOptions
 
@@ -23,13 +22,10 @@ from corpusloom.options import RecordOptions
 def parsed_responses(responses: DataFrame) -> DataFrame:
     """responses(request_id, attempt, raw, ...): adds `answer` and `items`.
 
-    Both come out of one generator, so that a later filter on them does not parse twice.
+    The answer comes out of a generator, so that it is not cut out again for each use.
     """
-    both = let(
-        response_text(F.col("raw")),
-        lambda t: F.struct(t.alias("answer"), dialogue_items(t).alias("items")),
-    )
-    return responses.select("*", F.inline(F.array(both)))
+    answered = responses.select("*", F.explode(F.array(response_text(F.col("raw")))).alias("answer"))
+    return answered.withColumn("items", dialogue_items(F.col("answer")))
 
 
 def dialogues(responses: DataFrame) -> DataFrame:

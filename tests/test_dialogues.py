@@ -81,10 +81,34 @@ def test_dialogue_validity(each):
         {"conversations": [turn, {"role": "user"}]}, {"conversations": [turn, {"content": "x"}]},
         {"conversations": [turn, [turn]]},
     ]
-    found = each(dj.is_dialogue, *[json.dumps(i) for i in yes + no])
+    found = [len(items) == 1 for items in each(dj.dialogue_items, *[json.dumps(i) for i in yes + no])]
     assert found == [True] * len(yes) + [False] * len(no)
 
 
+def test_texts_equal_those_of_python(spark, each):
+    """Order of keys at every depth, repeated keys, NaN, numbers and escapes come out as Python writes them."""
+    turns = '"conversations":[{"content":"q","role":"user","z":{"y":1,"x":[{"b":2,"a":3}]}},{"role":"assistant","content":"\\u00e9"}]'
+    texts = [
+        "{%s}" % turns,
+        '{"z":{"b":{"d":1,"c":2},"a":[]},%s,"a":1}' % turns,
+        '{"topic":1,"url":"old",%s,"topic":{"k":NaN,"j":-Infinity,"k":1.50}}' % turns,
+        '{"conversations":1,"n":1e5,%s,"i":123456789012345678901234567890,"s":"\\ud83d\\ude42 / \\/ \\t"}' % turns,
+    ]
+    want = [json.dumps(json.loads(t), ensure_ascii=False) for t in texts]
+    assert each(dj.dialogue_items, *texts) == [[w] for w in want]
+    assert each(dj.dialogue_items, "[" + ",".join(texts) + "]") == [want]
+    assert each(dj.dialogue_items, "\n".join(texts) + "\nnoise") == [want]
+    assert each(dj.dialogue_items, None, "{" * 100_000, '[{"a":"\\ud800"}]') == [None, [], []]
+
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(want)], "k int, item string")
+    made = rows.select("k", dj.record_json(F.col("item"), F.lit("u"), F.lit("en"), F.lit("May"), F.lit(3)).alias("r"))
+    metadata = {"url": "u", "lang": "en", "date": "May", "answer_tokens": 3}
+    for r in made.collect():
+        assert r.r == json.dumps(json.loads(want[r.k]) | metadata, ensure_ascii=False)
+    lone = '{"conversations":[{"role":"\\ud800","content":1},{"role":2,"content":3}]}'
+    assert json.loads(each(dj.dialogue_items, lone)[0][0])["conversations"][0]["role"] == "\ufffd"
+
+
 def test_records_keep_other_keys(spark):
     item = {
         **GOOD, "topic": 7, "nested": {"b": [1, 2.5, True, None], "a": "é/\"\n"},
