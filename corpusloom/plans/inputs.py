@@ -158,6 +158,22 @@ def html_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentences of a document as an ordered list inside one to eight lists, ordered and not in turn, in a cell of a table."""
+    escaped = "replace(replace(replace(s, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    tag = "IF(k % 2 = 0, 'ol', 'ul')"
+    inner = f"concat('<ol>', array_join(transform({_SENTENCES}, s -> concat('<li>', {escaped})), ''), '</ol>')"
+    nested = (
+        f"aggregate(reverse(sequence(1, CAST(doc_id % 8 + 1 AS int))), {inner}, (html, k) -> "
+        f"concat('<', {tag}, '>\n<li>Level ', k, html, '</li> <li><p>After ', k, '</li></', {tag}, '>'))"
+    )
+    return table(spark, sf_dir, "documents", "doc_id").selectExpr(
+        "doc_id",
+        f"concat('<p>Doc ', doc_id, '</p>', {nested}, '<p>End</p><table><tr><td>', doc_id, "
+        "'<td><table><tr><th>in<td><TABLE><tr><td>most</table></table></td></tr></table>') AS html",
+    )
+
+
 def link_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: a small link file per page, with repeats, images and titles."""
     return table(spark, sf_dir, "pages").selectExpr(
@@ -168,6 +184,25 @@ def link_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingested_pages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """URLs of the pages with ingest times, as they come in four runs: url, ingest_time.
+
+    First all of them; then half of them again two hours later, which are repeats; three days later other URLs, which move the
+    watermark; then a third of the first ones again, new by then, and others from the second day, which are too late.
+    """
+    minute = "make_interval(0, 0, 0, {}, 0, length(url) % 60)"
+    at = f"TIMESTAMP_LTZ '2024-01-01 00:00:00 UTC' + {minute}"
+    pages = table(spark, sf_dir, "pages").where("url IS NOT NULL")
+
+    def run(days: int, url: str = "url", where: str = "true", hours: int = 0) -> DataFrame:
+        time = f"{at.format(days)} + make_interval(0, 0, 0, 0, {hours})"
+        return pages.where(where).selectExpr(f"{url} AS url", f"{time} AS ingest_time")
+
+    again = run(3, where="length(url) % 3 = 0", hours=1)
+    late = run(1, "concat(url, '#late')", "length(url) % 3 = 1")
+    return [run(0), run(0, where="length(url) % 2 = 0", hours=2), run(3, "concat(url, '#other')"), again.unionByName(late)]
+
+
 def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lines of a state file, some padded, some blank."""
     return table(spark, sf_dir, "pages").selectExpr(
@@ -231,6 +266,18 @@ def responses(spark: SparkSession, sf_dir: str, attempts: int = 1) -> DataFrame:
     return tries[0] if len(tries) == 1 else tries[0].unionByName(tries[1])
 
 
+def mixed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a dialogue object with nested, repeated and unordered keys: request_id, attempt, raw."""
+    said = f"concat('{{\"content\":', {_json_text('s')}, ',\"role\":\"', IF(i % 2 = 0, 'user', 'assistant'), '\"}}')"
+    return table(spark, sf_dir, "documents", "doc_id").selectExpr(
+        "concat('r', doc_id) AS request_id",
+        "1 AS attempt",
+        "concat('{\"z\":{\"b\":', doc_id, ',\"a\":[true,null,{\"y\":NaN,\"x\":1.50}]},\"topic\":\"first\",\"url\":\"old\",', "
+        f"'\"conversations\":[', array_join(transform({_SENTENCES}, (s, i) -> {said}), ','), "
+        "'],\"b\":\"\\u00e9\",\"a\":[],\"topic\":{\"k\":', doc_id, ',\"k\":-', doc_id, '.0}}') AS raw",
+    )
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each request came from: request_id, url, date, guide_title, prompt. Every third is listed twice."""
     rows = table(spark, sf_dir, "documents", "doc_id").selectExpr(

@@ -361,6 +361,20 @@ ORPHANS = rf"""shorts AS (SELECT doc_id, piece_no, text, {words('text')} < 15 AN
     FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY piece_no))"""
 
 
+def pretokens(text: str) -> str:
+    """Words with their blank and runs of white space, four characters a token, counted over the whole text."""
+    return rf"coalesce(list_sum(list_transform(regexp_extract_all({text}, ' ?[^ \n]+|[ \n]+'), lambda p: (length(p) + 3) // 4)), 0)"
+
+
+# Every joined text is counted anew.
+EXACT = rf"""measured AS (SELECT doc_id, piece_no, text, regexp_matches(text, '{HEADING}') AS h FROM merged),
+  walk AS (SELECT doc_id, piece_no, text AS joined, 1 AS g FROM measured WHERE piece_no = 1
+    UNION ALL SELECT doc_id, piece_no, CASE WHEN opens THEN text ELSE both_texts END, g + CASE WHEN opens THEN 1 ELSE 0 END
+    FROM (SELECT m.doc_id, m.piece_no, m.text, walk.g, concat(walk.joined, E'\n\n', m.text) AS both_texts,
+        m.h OR {pretokens("concat(walk.joined, E'" + chr(92) + "n" + chr(92) + "n', m.text)")} > 250 AS opens
+      FROM walk JOIN measured m ON m.doc_id = walk.doc_id AND m.piece_no = walk.piece_no + 1))"""
+
+
 def blocks_flag(line: str = "line", prv: str = "prv") -> str:
     return (
         rf"regexp_matches({line}, '^\s*#{{1,6}}\s+\S') OR ({strip(line)} = '' AND coalesce({strip(prv)} <> '', false)) "
@@ -632,6 +646,12 @@ ORACLES: dict[str, str] = {
       array_to_string(list_transform(string_split(text, E'\n'), lambda line: concat('* Line', array_to_string(list_transform(
         list_filter(string_split(line, '. '), lambda s: trim(s) <> ''), lambda s: concat(E'\n  * ', trim(s))), ''))), E'\n'),
       E'\n\n[A é', chr(39), '€ link](https://x.example/', doc_id, E')\n\n***') AS content FROM documents""",
+    "html_depths": rf"""WITH d AS (SELECT doc_id, (doc_id % 8 + 1)::INT AS n, text FROM documents)
+      SELECT doc_id, concat('Doc ', doc_id, E'\n\n',
+        array_to_string(list_transform(range(1, n + 1), lambda k: concat(repeat('  ', k - 1), CASE WHEN k % 2 = 0 THEN '1. ' ELSE '* ' END, 'Level ', k)), E'\n'),
+        array_to_string(list_transform({SENTENCES}, lambda s, k: concat(E'\n', repeat('  ', n), k, '. ', s)), ''), E'\n',
+        array_to_string(list_transform(list_reverse(range(1, n + 1)), lambda k: concat(repeat('  ', k - 1), CASE WHEN k % 2 = 0 THEN '2. ' ELSE '* ' END, 'After ', k)), E'\n'),
+        E'\n\nEnd\n\n| ', doc_id, ' | in most |') AS content FROM d""",
     "unwrap_response": """SELECT page_id, CASE WHEN page_id % 4 IN (1, 2) THEN concat('T', page_id) ELSE '' END AS title,
       CASE WHEN page_id % 4 IN (1, 2) THEN concat(url, '?r') ELSE url END AS url, html AS content FROM pages""",
     "docs_nonempty": "SELECT doc_id, text AS content FROM documents WHERE doc_id % 9 > 1 AND text <> ''",
@@ -673,6 +693,8 @@ ORACLES: dict[str, str] = {
     "heading_context": f"WITH {H3_CTES}, {context_ctes('chunks')} SELECT doc_id, chunk_no, context FROM contexts",
     "sections_recombine": rf"""WITH RECURSIVE {GENERIC_CTES}, {RECOMBINED}
       SELECT walk.doc_id, walk.g::BIGINT AS piece_no, string_agg(text, E'\n\n' ORDER BY piece_no) AS text FROM walk JOIN measured USING (doc_id, piece_no) GROUP BY walk.doc_id, walk.g""",
+    "exact_recombine": rf"""WITH RECURSIVE {GENERIC_CTES}, {EXACT}, sections AS (SELECT doc_id, g, max_by(joined, piece_no) AS text FROM walk GROUP BY doc_id, g)
+      SELECT doc_id, g::BIGINT AS piece_no, text, {pretokens('text')}::BIGINT AS tokens FROM sections""",
     "orphan_merge": rf"""WITH {GENERIC_CTES}, {ORPHANS}, g AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY piece_no) AS g FROM opened)
       SELECT doc_id, g::BIGINT AS piece_no, string_agg(text, E'\n\n' ORDER BY piece_no) AS text FROM g GROUP BY doc_id, g""",
     "blocks": rf"""WITH {GUIDES}, {lines_cte('guides')}, g AS (SELECT *, sum(CASE WHEN i = 1 OR ({blocks_flag()}) THEN 1 ELSE 0 END)
@@ -705,6 +727,11 @@ ORACLES: dict[str, str] = {
     "run_summary": f"""{LINKS} SELECT count(*) AS total_links, count(*) FILTER (url NOT IN (SELECT url FROM processed)) AS new_links,
       count(*) FILTER (url IN (SELECT url FROM processed)) AS known_links FROM unique_links""",
     "incremental_links": "SELECT DISTINCT url FROM pages",
+    # What passes by the rules of the stream: all first rows, the other URLs, and what comes again after the horizon.
+    "recent_links": """WITH p AS (SELECT DISTINCT url, epoch(TIMESTAMP '2024-01-01')::BIGINT + 60 * (length(url) % 60) AS s FROM pages WHERE url IS NOT NULL)
+      SELECT url, s AS ingest_second FROM p UNION ALL SELECT concat(url, '#other'), s + 3 * 86400 FROM p
+      UNION ALL SELECT url, s + 3 * 86400 + 3600 FROM p WHERE length(url) % 3 = 0""",
+    "streamed_prompts": PAGE_PROMPTS,
     "response_text": f"WITH {RESPONSES} SELECT request_id, {ANSWER} AS answer FROM responses",
     "sanitize_escapes": f"WITH {RESPONSES} SELECT request_id, {repaired('raw')} AS repaired FROM responses",
     "parse_dialogues": f"""WITH {ALL_PARSED}, {TURN_ROWS} SELECT request_id, attempt, seq, count(*) AS n_turns, string_agg(role, ',' ORDER BY turn_no) AS roles,
@@ -732,4 +759,18 @@ ORACLES: dict[str, str] = {
       FROM requests LEFT JOIN counted USING (request_id) WHERE coalesce(pairs, 0) < 2""",
     "generate_with_callable": f"""WITH {REQUESTS} SELECT request_id, 1::BIGINT AS attempt, concat('[{{"conversations":[{{"role":"user","content":"', prompt,
       '"}},{{"role":"assistant","content":"Yes."}}]}}]') AS raw FROM requests""",
+    "records_in_order": rf"""WITH {REQUESTS}, turns AS (SELECT concat('r', doc_id) AS request_id, doc_id, s.k AS k, s.s AS s,
+        CASE WHEN s.k % 2 = 1 THEN 'user' ELSE 'assistant' END AS role FROM documents, unnest({SENTENCES}) WITH ORDINALITY AS s(s, k)),
+      said AS (SELECT request_id, doc_id, string_agg(concat('{{"content": "', replace(replace(replace(s, '\', '\\'), '"', '\"'), E'\t', '\t'),
+          '", "role": "', role, '"}}'), ', ' ORDER BY k) AS turns,
+          sum(CASE WHEN role = 'assistant' THEN {tokens('s')} ELSE 0 END)::BIGINT AS answer_tokens, count(*) AS n FROM turns GROUP BY ALL)
+      SELECT request_id, concat('{{"z": {{"b": ', doc_id, ', "a": [true, null, {{"y": NaN, "x": 1.5}}]}}, "topic": {{"k": -', doc_id, '.0}}, "url": "', url,
+        '", "conversations": [', turns, '], "b": "é", "a": [], "lang": "en"', CASE WHEN date <> '' THEN concat(', "date": "', date, '"') ELSE '' END,
+        ', "answer_tokens": ', answer_tokens, '}}') AS record FROM said JOIN requests USING (request_id) WHERE n >= 2""",
+    "ordered_records": f"""WITH {ALL_PARSED}, {TURN_ROWS}, {SPOKEN}, {REQUESTS} SELECT row_number() OVER (ORDER BY url, request_id, f.seq) AS line_no,
+      url, json_extract_string(item, '$.topic') AS topic, answer_tokens::VARCHAR AS answer_tokens
+      FROM found f JOIN spoken USING (request_id, seq) JOIN requests USING (request_id)""",
 }
+ORACLES["ordered_corpus"] = rf"""WITH blocks AS ({ORACLES["cpt_blocks"]})
+  SELECT row_number() OVER (ORDER BY doc_id, v.i) AS line_no, v.line AS value
+  FROM blocks, unnest(string_split(left(block, length(block) - 1), E'\n')) WITH ORDINALITY AS v(line, i)"""

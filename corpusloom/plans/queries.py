@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -14,11 +15,13 @@ from corpusloom.functions.markdown import guide_title, heading_context, plain_te
 from corpusloom.functions.text import tokens, words
 from corpusloom.functions.tokenizers import plugged_tokens
 from corpusloom.operators import cleaning, dialogues, headings, quality, resume, routing, sections, structures
+from corpusloom.operators.exact_chunks import BETWEEN_WORDS, ExactTokenizer, recombine_exact
 from corpusloom.operators.prompts import prompts, unique_requests
 from corpusloom.options import ChunkOptions, QualityOptions
 from corpusloom.plans import documents, inputs
-from corpusloom.sources import fetched, links
-from corpusloom.streaming.links import incremental_urls, work_folder
+from corpusloom.sources import fetched, links, sinks
+from corpusloom.streaming import batches
+from corpusloom.streaming.links import incremental_urls, recent_urls, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +84,10 @@ def html_forms(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.html_forms(spark, sf).select("doc_id", html_markdown(F.col("html")).alias("content"))
 
 
+def html_depths(spark: SparkSession, sf: str) -> DataFrame:
+    return inputs.html_depths(spark, sf).select("doc_id", html_markdown(F.col("html")).alias("content"))
+
+
 def unwrap_response(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.fetched(spark, sf).select(
         "page_id",
@@ -125,6 +132,22 @@ def token_counts_plugged(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.table(spark, sf, "documents", "doc_id").select("doc_id", count(F.col("text")).alias("tokens"))
 
 
+def _pretokens() -> ExactTokenizer:
+    """A tokenizer that SQL can tell too: words with their blank and runs of white space, four characters a token."""
+    pieces = re.compile(r" ?[^ \n]+|[ \n]+")
+    return ExactTokenizer(lambda text: sum((len(p) + 3) // 4 for p in pieces.findall(text)), BETWEEN_WORDS)
+
+
+def exact_recombine(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = inputs.guides(spark, sf).select("doc_id", headings.split_generic(F.col("content")).alias("chunks"))
+    sections_ = recombine_exact(chunks, "chunks", _pretokens, SMALL_CHUNKS)
+    count = plugged_tokens(lambda: _pretokens().count)
+    found = sections_.select("doc_id", F.posexplode("chunks").alias("_no", "text"))
+    return found.select(
+        "doc_id", (F.col("_no") + 1).cast("bigint").alias("piece_no"), "text", count(F.col("text")).alias("tokens")
+    )
+
+
 def route_domain(spark: SparkSession, sf: str) -> DataFrame:
     return routing.route_by_rules(inputs.table(spark, sf, "pages").select("page_id", "url"), RULES)
 
@@ -251,6 +274,28 @@ def incremental_links(spark: SparkSession, sf: str) -> DataFrame:
     return incremental_urls(spark, f"{sf}/pages.{{parquet}}", schema, work_folder(spark, "links"))
 
 
+def recent_links(spark: SparkSession, sf: str) -> DataFrame:
+    """URLs with ingest times over four runs of a stream that forgets after twelve hours."""
+    folder = work_folder(spark, "recent")
+    for rows in inputs.ingested_pages(spark, sf):
+        rows.write.mode("append").parquet(f"{folder}/source")
+        recent_urls(spark, f"{folder}/source", "url string, ingest_time timestamp", folder, "12 hours")
+    found = spark.read.schema("url string, ingest_time timestamp").parquet(f"{folder}/recent")
+    return found.select("url", F.unix_seconds("ingest_time").alias("ingest_second"))
+
+
+def streamed_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages to prompts in three runs of a stream, read back from the tables of its batches."""
+    folder = work_folder(spark, "prompts")
+    pages = inputs.table(spark, sf, "pages").select("page_id", "url", "html")
+    for k in range(3):
+        pages.where(F.pmod("page_id", F.lit(3)) == k).write.mode("append").parquet(f"{folder}/source")
+        stream = spark.readStream.schema(pages.schema).parquet(f"{folder}/source")
+        batches.run_batches(stream, batches.page_prompts_of(SMALL_CHUNKS), f"{folder}/out", f"{folder}/checkpoint")
+    found = batches.read_batches(spark, f"{folder}/out", "prompts", batches.PROMPTS)
+    return _wide(found.drop("url", "batch"))
+
+
 def response_texts(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.responses(spark, sf).select("request_id", response_text(F.col("raw")).alias("answer"))
 
@@ -315,6 +360,29 @@ def jsonl_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def records_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole records, byte for byte, of objects with nested, repeated and unordered keys."""
+    found = dialogues.records(dialogues.dialogues(inputs.mixed_objects(spark, sf)), inputs.requests(spark, sf))
+    return found.select("request_id", "record")
+
+
+def ordered_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The records as a file series in the order of URL, request and answer, read back by file name."""
+    asked = unique_requests(inputs.requests(spark, sf).select("request_id", "url"))
+    rows = _records(spark, sf).select("request_id", "seq", "record").join(asked, "request_id")
+    folder = work_folder(spark, "records")
+    sinks.write_jsonl(rows, folder, order=["url", "request_id", "seq"])
+    own = [F.get_json_object("value", f"$.{k}").alias(k) for k in ("url", "topic", "answer_tokens")]
+    return sinks.numbered_lines(spark, folder).select("line_no", *own)
+
+
+def ordered_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of the plain-text corpus in the order of documents."""
+    folder = work_folder(spark, "corpus")
+    sinks.write_corpus_blocks(cpt_blocks(spark, sf).select("doc_id", "block"), folder, order=["doc_id"])
+    return sinks.numbered_lines(spark, folder)
+
+
 def records_per_url(spark: SparkSession, sf: str) -> DataFrame:
     return dialogues.records_per_url(_records(spark, sf).select("url"))
 
@@ -365,6 +433,7 @@ def generate_with_callable(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "html_to_markdown": html_to_markdown,
     "html_forms": html_forms,
+    "html_depths": html_depths,
     "unwrap_response": unwrap_response,
     "docs_nonempty": docs_nonempty,
     "guide_title": guide_titles,
@@ -393,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "blocks": _pieces(inputs.guides, sections.blocks_of),
     "sentences": _pieces(_documents_text, sections.sentences_of),
     "part_markers": part_markers,
+    "exact_recombine": exact_recombine,
     "oversize_split": _pieces(inputs.guides, lambda c: sections.split_oversized(c, SMALL_CHUNKS)),
     "detect_structures": lambda spark, sf: _wide(
         inputs.structures_md(spark, sf).select("doc_id", F.inline(F.array(structures.profile(F.col("content")))))
@@ -412,6 +482,8 @@ QUERIES: dict[str, Query] = {
     "links_done": links_done,
     "run_summary": run_summary,
     "incremental_links": incremental_links,
+    "recent_links": recent_links,
+    "streamed_prompts": streamed_prompts,
     "response_text": response_texts,
     "sanitize_escapes": sanitized,
     "parse_dialogues": parse_dialogues,
@@ -419,6 +491,9 @@ QUERIES: dict[str, Query] = {
     "invalid_responses": invalid_responses,
     "retry_rounds": retry_rounds,
     "jsonl_records": jsonl_records,
+    "records_in_order": records_in_order,
+    "ordered_records": ordered_records,
+    "ordered_corpus": ordered_corpus,
     "records_per_url": records_per_url,
     "processed_after_run": processed_after_run,
     "answer_tokens": answer_tokens,

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -50,7 +51,7 @@ def new_urls(urls: DataFrame, ingest_time: str | None = None, horizon: str | Non
     return fewer.dropDuplicates(["url"])
 
 
-def run_available(stream: DataFrame, sink: str, checkpoint: str) -> None:
+def run_available(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """Process what is there, commit it with the state, and stop."""
     query = (
         stream.writeStream.format("parquet")
@@ -60,6 +61,7 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str) -> None:
         .start(sink)
     )
     query.awaitTermination()
+    return query
 
 
 def incremental_urls(spark: SparkSession, source: str, schema: str, folder: str) -> DataFrame:
@@ -69,3 +71,16 @@ def incremental_urls(spark: SparkSession, source: str, schema: str, folder: str)
         new_urls(read_url_stream(spark, source, schema).select("url")), sink, f"{folder}/checkpoint"
     )
     return spark.read.schema("url string").parquet(sink).where(F.col("url").isNotNull())
+
+
+def recent_urls(
+    spark: SparkSession, source: str, schema: str, folder: str, horizon: str, ingest_time: str = "ingest_time"
+) -> StreamingQuery:
+    """One run that passes on each URL once within the horizon of its first row; its sink is `{folder}/recent`.
+
+    After each batch the watermark is the latest ingest time less the horizon. Rows older than it come too late and go; a URL whose
+    first row is that old is forgotten with its state, and passes again when it comes again.
+    """
+    rows = read_url_stream(spark, source, schema).select("url", ingest_time)
+    found = new_urls(rows, ingest_time, horizon)
+    return run_available(found, f"{folder}/recent", f"{folder}/recent-checkpoint")
