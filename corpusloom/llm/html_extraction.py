@@ -14,8 +14,8 @@
    of pages with one it is the article, after an open h1 if the article has none.
 
 The alignment is bit-parallel: one operation on an integer of a page's length per line of the other page. Above `TABLE_BYTES` it
-divides (Hirschberg), so memory stays linear in the longest page. Pages move once, to meet the lines to delete, which are
-broadcast only below the session's limit.
+divides (Hirschberg), so memory stays linear in the longest page. Only decisions that delete a line meet the pages again; Spark
+broadcasts them below the session's limit, and beyond it pages move once.
 
 Defined: NULL and empty pages have an empty text and no lines; a NULL URL, or one without a host, has no neighbours. Hosts
 are compared in lower case; query and fragment do not count. Character references are decoded, those without a semicolon as browsers
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusloom.llm.merkle import placed
-from corpusloom.llm.page_blocks import ARTICLE, CHROME, Block, blocks_of
+from corpusloom.llm.page_blocks import ARTICLE, CHROME, OPEN, Block, blocks_of
 from corpusloom.llm.store import cut, free_name
 
 STRETCH = 64
@@ -138,7 +138,7 @@ def _common_start(a: str, b: str) -> int:
 
 
 def _decided(pages: list[dict], copy: float) -> list[list[int]]:
-    """For each page, in order of host and path, the lines it shares with the neighbour that counts."""
+    """For each page, in order of host and path, the open lines it shares with the neighbour that counts."""
     shared: list[list[tuple[int, list[int]]]] = [[] for _ in pages]
     for k in range(len(pages) - 1):
         a, b = pages[k], pages[k + 1]
@@ -149,28 +149,29 @@ def _decided(pages: list[dict], copy: float) -> list[list[int]]:
         for page, lines, other in ((a, [i for i, _ in pairs], k), (b, [j for _, j in pairs], k + 1)):
             if sum(page["chars"][i] for i in lines) < copy * sum(page["chars"]):
                 shared[other].append((near, lines))
-    return [max(s, key=lambda x: x[0])[1] if s else [] for s in shared]
+    chosen = [max(s, key=lambda x: x[0])[1] if s else [] for s in shared]
+    return [[i for i in lines if page["zones"][i] == OPEN] for page, lines in zip(pages, chosen)]
 
 
 def _keys(df: DataFrame, options: PageOptions) -> DataFrame:
-    """One small row per page: host, path, the digest of its lines, a hash and a length per line."""
+    """One small row per page: host, path, the digest of its lines, a hash, a length and a zone per line."""
     url = F.col(options.url)
     given = df.select(
         F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1)).alias("host"),
         F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1).alias("path"),
         F.col(options.html).alias("html"),
     )
-    schema = "host string, path string, digest binary, lines array<bigint>, chars array<int>"
+    schema = "host string, path string, digest binary, lines array<bigint>, chars array<int>, zones array<tinyint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "path", "digest", "lines", "chars"]
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        names = ["host", "path", "digest", "lines", "chars", "zones"]
+        kinds = [pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int8())]
         for batch in batches:
             found = []
             for host, path, html in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 blocks = blocks_of(html)
                 lines, digest = _digest(blocks)
-                found.append((host, path, digest, lines, [len(b.text) for b in blocks]))
+                found.append((host, path, digest, lines, [len(b.text) for b in blocks], [b.zone for b in blocks]))
             arrays = [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -178,10 +179,10 @@ def _keys(df: DataFrame, options: PageOptions) -> DataFrame:
 
 
 def shared_lines(df: DataFrame, options: PageOptions) -> DataFrame:
-    """(host, digest, shared): for each line sequence of a host the indexes of the lines that its neighbour shares."""
+    """(host, digest, shared): for each line sequence of a host the indexes of the open lines that its neighbour shares, if any."""
     keys = _keys(df, options).where("host <> '' AND size(lines) > 0")
     one = keys.groupBy("host", "digest").agg(
-        F.min("path").alias("path"), F.first("lines").alias("lines"), F.first("chars").alias("chars")
+        F.min("path").alias("path"), *[F.first(c).alias(c) for c in ("lines", "chars", "zones")]
     )
     order = [F.col("host"), F.col("path"), F.col("digest")]
     ranked = placed(one.withColumn("all_pages", F.lit(0)), "all_pages", order, "page-order")
@@ -197,7 +198,7 @@ def shared_lines(df: DataFrame, options: PageOptions) -> DataFrame:
         pages = sorted(group.to_pylist(), key=lambda p: p["pos"])
         found = zip(pages, _decided(pages, copy))
         own = [
-            {"host": p["host"], "digest": p["digest"], "shared": s} for p, s in found if p["pos"] // step == p["stretch"]
+            {"host": p["host"], "digest": p["digest"], "shared": s} for p, s in found if s and p["pos"] // step == p["stretch"]
         ]
         return pa.Table.from_pylist(own, kinds)
 
@@ -244,7 +245,7 @@ def _written(df: DataFrame, names: dict[str, str]) -> DataFrame:
     own = [c for c in df.columns if c not in names.values()]
     schema = StructType(
         [f for f in df.schema.fields if f.name in own]
-        + StructType.fromDDL("text string, n_chars bigint, n_lines int, n_shared int").fields
+        + StructType.fromDDL("text string, n_chars bigint, n_lines int, n_deleted int").fields
     )
     lines_at, shared_at, count_at = (df.columns.index(names[n]) for n in ("lines", "shared", "n_lines"))
     own_at = [df.columns.index(c) for c in own]
@@ -269,8 +270,9 @@ def _written(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def with_main_text(df: DataFrame, options: PageOptions = PageOptions()) -> DataFrame:
-    """`df` with `text`, `n_chars` (code points), `n_lines` and `n_shared` in place of its page; an earlier `text` etc. goes."""
-    made = {"text", "n_chars", "n_lines", "n_shared"} - {options.html, options.url}
+    """`df` with `text`, `n_chars` (code points), `n_lines` and `n_deleted` (open lines that the neighbour shares) in place of its
+    page; earlier columns of these names go."""
+    made = {"text", "n_chars", "n_lines", "n_deleted"} - {options.html, options.url}
     kept = df.drop(*made)
     names = {n: free_name(df, f"page_{n}") for n in ("host", "site", "digest", "lines", "n_lines", "key", "shared")}
     decisions = cut(shared_lines(df, options), "page-shared").select(

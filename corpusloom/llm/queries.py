@@ -95,7 +95,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 def op11_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
-    return with_main_text(pages).select("page_id", "url", "text", "n_chars", "n_lines", "n_shared")
+    return with_main_text(pages).select("page_id", "url", "text", "n_chars", "n_lines", "n_deleted")
 
 
 def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
