@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import let
-from corpusloom.llm.spans import matches
+from corpusloom.llm.spans import blanked, matches
 
 # The base patterns and their least lengths.
 ASSIGN = (
