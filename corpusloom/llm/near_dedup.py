@@ -8,14 +8,20 @@ A document is the set of its distinct `shingle`-word shingles, lower-cased (A-Z)
 2. Documents of equal sets form a class and go on as one row, that of the smallest id.
 3. Classes that share a band are candidates. In every bucket each class meets the bucket's centre, the class
    with the most company over all bands, so a bucket gives one pair a member and never all its pairs.
-4. Pairs are confirmed on their texts. What a class lacks of its centre's shingles and what it has beyond them is
-   its difference. If x is not linked to the centre and x and y are linked, their differences to this centre share
-   elements, and so many that prefixes of both (in one fixed order) share one. So the classes without a link to a
-   centre look for partners among all classes of that centre by an equi-join on prefix elements, not by pairs.
-5. Candidates of one component are dropped, as their link adds nothing. For the others the similarity is estimated from
-   the packed bits, corrected for chance collisions; those more than `DEVIATIONS` standard deviations under
-   the threshold are dropped and the rest is confirmed on the texts. By the binomial tail over 96 entries this leaves out a
-   pair at 0.85 with probability 2e-12, at 0.80 with 2e-13, far below the miss of the bands.
+4. Pairs with a centre are confirmed on their texts: the shingles a class has beyond its centre's (`extra`) and those of the
+   centre that it lacks (`lack`) are its difference. If x is not linked to the centre and x and y are linked, their differences to
+   this centre share elements, and so many that prefixes of both share one, in any fixed order. The order is rare elements first,
+   by their number among the classes of the centre, so what a template gives to all its pages stands last; elements of one class
+   alone meet nobody and are only counted. So the classes without a link to a centre look for partners among all classes of that
+   centre by an equi-join on prefix elements, not by pairs.
+5. Prefix elements of more than `HOT` classes are not joined: their classes meet a centre of their own in a further round,
+   with differences worked out from those that are known, so no text is read again and a round gives one pair a class and
+   element. Groups in which all classes are of one component already are dropped. After `ROUNDS` rounds what is
+   left is joined as it is, so nothing is left out.
+6. For the pairs of the joins the similarity is first estimated from the packed bits, corrected for chance collisions; those more
+   than `DEVIATIONS` standard deviations under the threshold are dropped: by the binomial tail over 96 entries a pair at 0.85 with
+   probability 2e-12, at 0.80 with 2e-13, far below the miss of the bands. The others are confirmed on their full sets,
+   which the differences to a common centre give: |x and y| = |centre| - |lack of x or y| + |extra of x and y|.
 
 With 24 bands of 4 rows a pair shares no band with probability 2e-8 at similarity 0.85, and 3e-6 at 0.80.
 
@@ -41,6 +47,8 @@ from corpusloom.llm.store import cut
 
 BITS = 4
 DEVIATIONS = 8
+HOT = 64
+ROUNDS = 12
 _PER_LONG = 64 // BITS
 _EVERY = int("1" * _PER_LONG, 16)
 
@@ -156,31 +164,13 @@ def _near_enough(a: str, b: str, options: NearOptions) -> Column:
     return sizes & (estimate(F.col(f"{a}.bits"), F.col(f"{b}.bits"), options.hashes) >= options.least_estimate)
 
 
-def _prefix_lengths(n: np.ndarray, own: np.ndarray, centre: np.ndarray, linked: np.ndarray, options: NearOptions):
-    """How much of a difference of `n` elements is needed to meet partners: with a link to the centre, and without.
-
-    A linked pair differs in `most` elements at most, so differences of sizes n and m share (n + m - most) / 2 of
-    them or more, and one at least if a side is not linked to the centre. m is at least n - `most`, and more than
-    `apart` for a partner without a link. Sets that share `shared` elements share one in prefixes of n - shared + 1.
-    """
-    rest = 100 - options.percent
-    most = rest * (100 * own // options.percent) // 100
-    apart = rest * centre // 100 + 1
-
-    def prefix(partner: np.ndarray) -> np.ndarray:
-        shared = np.maximum(1, -(-(n + partner - most) // 2))
-        return np.maximum(n - shared + 1, 0)
-
-    to_open = prefix(np.maximum(n - most, apart))
-    return np.where(linked, to_open, prefix(np.maximum(n - most, 0))), to_open
-
-
 def _compared(left: pa.Array, right: pa.Array, options: NearOptions):
-    """Per pair of a text and its centre: linked on full sets, the prefix of its difference and its length, how much of
-    it is for open partners, the size of the whole difference and of the text's set."""
+    """Per pair of a text and its centre: linked on full sets; the hashes of the text's shingles that the centre lacks and of the
+    centre's that the text lacks, each with its numbers per pair; the sizes of both sets."""
     sides = [text_bytes(left), text_bytes(right)]
-    linked, found = [np.zeros(0, bool)], [np.zeros(0, np.uint64)]
-    sizes, opens, differ, own_sizes = ([np.zeros(0, np.int64)] for _ in range(4))
+    linked, sizes = [np.zeros(0, bool)], [np.zeros((2, 0), np.int64)]
+    apart: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
+    numbers: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
     for lo, hi in row_ranges(sides[0][1] + sides[1][1]):
         hashes, rows, side = [], [], []
         for number, (data, at) in enumerate(sides):
@@ -197,29 +187,27 @@ def _compared(left: pa.Array, right: pa.Array, options: NearOptions):
         n, pairs = hi - lo, rows[order[1:][equal]]
         both = np.bincount(pairs, minlength=n)
         n_own, n_centre = (np.bincount(rows[side == k], minlength=n) for k in (0, 1))
-        union = n_own + n_centre - both
-        is_linked = 100 * both >= options.percent * union
+        linked.append(100 * both >= options.percent * (n_own + n_centre - both))
+        sizes.append(np.stack([n_own, n_centre]))
         alone = np.ones(len(order), bool)
         alone[1:][equal] = False
         alone[:-1][equal] = False
         alone = order[alone]
-        element = np.where(side[alone] == 0, hashes[alone], mix(hashes[alone] ^ GOLDEN))
-        alone = alone[by := np.lexsort((element, side[alone], rows[alone]))]
-        element, row = element[by], rows[alone]
-        n_differ = np.bincount(row, minlength=n)
-        full, to_open = _prefix_lengths(n_differ, n_own, n_centre, is_linked, options)
-        place = np.arange(len(row)) - (np.cumsum(n_differ) - n_differ)[row]
-        linked.append(is_linked)
-        found.append(element[place < full[row]])
-        sizes.append(np.minimum(full, n_differ))
-        opens.append(np.minimum(to_open, n_differ))
-        differ.append(n_differ)
-        own_sizes.append(n_own)
-    return (np.concatenate(x) for x in (linked, found, sizes, opens, differ, own_sizes))
+        for k in (0, 1):
+            of_side = alone[side[alone] == k]
+            of_side = of_side[np.argsort(rows[of_side], kind="stable")]
+            apart[k].append(hashes[of_side])
+            numbers[k].append(np.bincount(rows[of_side], minlength=n))
+    n_own, n_centre = np.concatenate(sizes, axis=1)
+    both_sides = [(np.concatenate(apart[k]), np.concatenate(numbers[k])) for k in (0, 1)]
+    return np.concatenate(linked), both_sides, n_own, n_centre
+
+
+_STARS = ["centre", "rep", "linked", "extra", "lack", "n_own", "n_centre"]
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, options: NearOptions) -> DataFrame:
-    """pairs: a, b (ids). Adds `linked`, true if the texts are similar enough, and the prefix of their difference."""
+    """pairs: a, b (ids). Classes with their centre: centre, rep, linked, extra, lack, n_own, n_centre."""
     needed = cut(
         pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(
             classes.select(F.col("rep").alias("doc_id"), "set"), "doc_id"
@@ -245,17 +233,21 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, options: N
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, found, sizes, *counts = _compared(batch["a_text"], batch["b_text"], options)
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            prefix = pa.ListArray.from_arrays(ends, pa.array(found.view(np.int64)))
+            linked, apart, n_own, n_centre = _compared(batch["a_text"], batch["b_text"], options)
+            lists = [
+                pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(found.view(np.int64))
+                )
+                for found, n in apart
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch["a"], batch["b"], pa.array(linked), prefix, *map(pa.array, counts)],
-                names=["a", "b", "linked", "prefix", "n_open", "n_differ", "n_own"],
+                [batch["b"], batch["a"], pa.array(linked), *lists, pa.array(n_own), pa.array(n_centre)], names=_STARS
             )
 
     sides = [texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"{s}_text")) for s in ("a", "b")]
     return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "a_text", "b_text").mapInArrow(
-        check, "a bigint, b bigint, linked boolean, prefix array<bigint>, n_open bigint, n_differ bigint, n_own bigint"
+        check,
+        "centre bigint, rep bigint, linked boolean, extra array<bigint>, lack array<bigint>, n_own bigint, n_centre bigint",
     )
 
 
@@ -269,15 +261,56 @@ def _filtered(pairs: DataFrame, classes: DataFrame, options: NearOptions) -> Dat
     known = classes.select("rep", F.struct("n", "bits").alias("own"))
     sides = [known.select(F.col("rep").alias(s), F.col("own").alias(f"own_{s}")) for s in ("a", "b")]
     joined = pairs.join(sides[0], "a").join(sides[1], "b")
-    return joined.filter(_near_enough("own_a", "own_b", options)).select("a", "b")
+    return joined.filter(_near_enough("own_a", "own_b", options)).select("centre", "a", "b")
+
 
+def _whole_division(a: Column, b: int) -> Column:
+    return F.floor(a / b).cast("bigint")
 
-def _rest_pairs(stars: DataFrame, classes: DataFrame, found: DataFrame, options: NearOptions) -> DataFrame:
-    """stars: a, b, linked, prefix, n_open. Pairs of different components that may be linked."""
-    entries = stars.select(
-        F.col("b").alias("centre"), F.col("a").alias("rep"), "linked", "n_open", "n_differ", "n_own",
-        F.posexplode("prefix").alias("place", "element"),
+
+def _prefix_length(n: Column, partner: Column, most: Column) -> Column:
+    """How much of a difference of `n` elements meets that of a linked class of at least `partner` elements.
+
+    A linked pair differs in `most` elements at most, so the differences share (n + partner - most) / 2 of them or more, and one at
+    least. Sets that share `shared` elements share one in prefixes of n - shared + 1.
+    """
+    shared = F.greatest(F.lit(1), F.ceil((n + partner - most) / 2))
+    return F.greatest(n - shared + 1, F.lit(0)).cast("bigint")
+
+
+def _entries(stars: DataFrame, options: NearOptions) -> DataFrame:
+    """Prefix elements of all classes of centres that not all of them are linked to: centre, rep, linked, n_open, n_differ,
+    n_own, place, element. `n_open` is the prefix that is needed to meet classes without a link."""
+    open_centres = stars.filter("not linked").select("centre").distinct()
+    stars = stars.join(open_centres, "centre", "left_semi")
+    # The two sides of a difference are told apart by flipping all bits of one.
+    element = F.concat("extra", F.transform("lack", lambda h: F.bitwise_not(h)))
+    elements = stars.select("centre", "rep", F.explode(element).alias("element"))
+    common = elements.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    by_rarity = F.sort_array(F.collect_list(F.struct("holders", "element")))
+    listed = elements.join(common, ["centre", "element"]).groupBy("centre", "rep").agg(by_rarity.alias("common"))
+    n, own = F.col("n_differ"), F.col("n_own")
+    most = _whole_division((100 - options.percent) * _whole_division(100 * own, options.percent), 100)
+    # More than so many elements lie between the centre and a class without a link to it.
+    apart = _whole_division((100 - options.percent) * F.col("n_centre"), 100) + 1
+    to_open = _prefix_length(n, F.greatest(n - most, apart), most)
+    full = F.when(F.col("linked"), to_open).otherwise(_prefix_length(n, F.greatest(n - most, F.lit(0)), most))
+    known = stars.select(
+        "centre", "rep", "linked", "n_own", "n_centre", (F.size("extra") + F.size("lack")).cast("bigint").alias("n_differ")
+    ).join(listed, ["centre", "rep"])
+    # Elements that no other class holds come first and are only counted.
+    alone = n - F.size("common")
+    held = F.slice("common", F.lit(1), F.greatest(full - alone, F.lit(0)).cast("int"))
+    return known.select(
+        "centre", "rep", "linked", to_open.alias("n_open"), "n_differ", "n_own", alone.alias("alone"), F.posexplode(held).alias("at", "held")
+    ).select(
+        "centre", "rep", "linked", "n_open", "n_differ", "n_own", (F.col("alone") + F.col("at")).alias("place"),
+        F.col("held.element").alias("element"),
     )
+
+
+def _meeting(entries: DataFrame, options: NearOptions) -> DataFrame:
+    """Pairs of classes (centre, a, b), one without a link to the centre, that share an element of their prefixes."""
     own = entries.filter("not linked").alias("x")
     one, other = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     both_open = (other("place") < other("n_open")) & (one("place") < one("n_open")) & (one("rep") < other("rep"))
@@ -289,15 +322,82 @@ def _rest_pairs(stars: DataFrame, classes: DataFrame, found: DataFrame, options:
         (one("centre") == other("centre")) & (one("element") == other("element")) & (one("rep") != other("rep"))
         & (other("linked") | both_open) & enough
     )
-    pairs = (
-        own.join(entries.alias("y"), meets)
-        .select(F.greatest(one("rep"), other("rep")).alias("a"), F.least(one("rep"), other("rep")).alias("b"))
-        .distinct()
+    a, b = F.greatest(one("rep"), other("rep")), F.least(one("rep"), other("rep"))
+    pairs = own.join(entries.alias("y"), meets).select(one("centre").alias("centre"), a.alias("a"), b.alias("b"))
+    return pairs.groupBy("a", "b").agg(F.min("centre").alias("centre"))
+
+
+def _both_sides(pairs: DataFrame, stars: DataFrame) -> DataFrame:
+    """pairs: centre, a, b. Adds the differences of both to the centre as structs x and y."""
+    own = F.struct("extra", "lack", "n_own", "n_centre")
+    sides = [stars.select("centre", F.col("rep").alias(s), own.alias(name)) for s, name in (("a", "x"), ("b", "y"))]
+    return pairs.join(sides[0], ["centre", "a"]).join(sides[1], ["centre", "b"])
+
+
+def _linked(both: Column, n_a: Column, n_b: Column, options: NearOptions) -> Column:
+    return 100 * both >= options.percent * (n_a + n_b - both)
+
+
+def _recentred(pairs: DataFrame, stars: DataFrame, options: NearOptions) -> DataFrame:
+    """pairs: centre, a, b. The classes a with b as their centre, from the differences of both to the centre they had."""
+    found = _both_sides(pairs, stars).select(
+        F.col("b").alias("centre"),
+        F.col("a").alias("rep"),
+        F.array_union(F.array_except("y.lack", "x.lack"), F.array_except("x.extra", "y.extra")).alias("extra"),
+        F.array_union(F.array_except("x.lack", "y.lack"), F.array_except("y.extra", "x.extra")).alias("lack"),
+        F.col("x.n_own").alias("n_own"),
+        F.col("y.n_own").alias("n_centre"),
     )
+    both = F.col("n_own") - F.size("extra")
+    return found.withColumn("linked", _linked(both, F.col("n_own"), F.col("n_centre"), options)).select(*_STARS)
+
+
+def _confirmed_by_differences(pairs: DataFrame, stars: DataFrame, options: NearOptions) -> DataFrame:
+    """The pairs (centre, a, b) that are linked on their full sets, as a, b."""
+    without = F.size("x.lack") + F.size("y.lack") - F.size(F.array_intersect("x.lack", "y.lack"))
+    both = F.col("x.n_centre") - without + F.size(F.array_intersect("x.extra", "y.extra"))
+    return _both_sides(pairs, stars).filter(_linked(both, F.col("x.n_own"), F.col("y.n_own"), options)).select("a", "b")
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose sides are of different components."""
     for side in ("a", "b"):
         of_side = found.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}"))
         pairs = pairs.join(of_side, side, "left").withColumn(f"in_{side}", F.coalesce(f"in_{side}", side))
-    return _filtered(pairs.filter("in_a != in_b").select("a", "b"), classes, options)
+    return pairs.filter("in_a != in_b").select("centre", "a", "b")
+
+
+def _rest_links(stars: DataFrame, classes: DataFrame, options: NearOptions, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
+    """Links between classes of different components of the star links, with the links of further rounds of stars."""
+    links = stars.filter("linked").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
+    for turn in range(rounds + 1):
+        if stars.filter("not linked").isEmpty():
+            break
+        found = components(links)
+        entries = cut(_entries(stars, options), "entries")
+        own = found.select(F.col("node").alias("rep"), F.col("component").alias("own_component"))
+        within = entries.join(own, "rep", "left").withColumn("own_component", F.coalesce("own_component", "rep"))
+        groups = within.groupBy("centre", "element").agg(
+            F.count(F.lit(1)).alias("size"), F.max(~F.col("linked")).alias("open"),
+            F.min("own_component").alias("least"), F.max("own_component").alias("greatest"),
+        )
+        groups = cut(groups.filter("size > 1 and open and least != greatest").select("centre", "element", "size"), "groups")
+        is_hot = F.col("size") > (hot if turn < rounds else 1 << 62)
+        small = entries.join(groups.filter(~is_hot), ["centre", "element"])
+        near = _filtered(_apart(_meeting(small, options), found), classes, options)
+        links = links.unionByName(cut(_confirmed_by_differences(near, stars, options), "late"))
+        large = groups.filter(is_hot)
+        if large.isEmpty():
+            break
+        members = entries.join(large, ["centre", "element"]).withColumn("bucket", F.struct("centre", "element"))
+        company = members.groupBy("rep").agg(F.sum("size").alias("company"))
+        centres = members.join(company, "rep").groupBy("bucket").agg(
+            F.min_by("rep", F.struct(-F.col("company"), F.col("rep"))).alias("b")
+        )
+        pairs = members.join(centres, "bucket").filter("rep != b").groupBy(F.col("rep").alias("a"), "b")
+        stars = cut(_recentred(pairs.agg(F.min("centre").alias("centre")), stars, options), "stars")
+        links = links.unionByName(stars.filter("linked").select(F.col("rep").alias("a"), F.col("centre").alias("b")))
+    return links
 
 
 def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -326,12 +426,7 @@ def near_duplicates(
     members = cut(entries.join(shared, "bucket"), "members")
     company = members.groupBy("rep").agg(F.sum("size").alias("company"))
     stars = cut(_confirmed(cut(_star_pairs(members.join(company, "rep")), "pairs"), classes, docs, options), "stars")
-    links = stars.filter("linked").select("a", "b")
-    rest = cut(_rest_pairs(stars, classes, components(links), options), "pairs")
-    if not rest.isEmpty():
-        late = cut(_confirmed(rest, classes, docs, options).filter("linked").select("a", "b"), "late")
-        links = links.unionByName(late)
-    links = links.unionByName(_same_id(signed, classes))
+    links = _rest_links(stars, classes, options).unionByName(_same_id(signed, classes))
     grouped = classes.select("set", "rep").join(components(links), F.col("rep") == F.col("node"), "left")
     grouped = grouped.select("set", F.coalesce("component", "rep").alias("found"))
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))

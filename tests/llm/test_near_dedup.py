@@ -5,8 +5,19 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from corpusloom.llm import near_dedup
 from corpusloom.llm.components import components
-from corpusloom.llm.near_dedup import BITS, NearOptions, _compared, near_duplicates, one_of_each
+from corpusloom.llm.near_dedup import (
+    BITS,
+    NearOptions,
+    _compared,
+    _confirmed_by_differences,
+    _entries,
+    _meeting,
+    _recentred,
+    near_duplicates,
+    one_of_each,
+)
 from tests.llm import brute
 from tests.llm.conftest import EDGES, words
 
@@ -62,15 +73,25 @@ def test_confirmation_is_exact_at_the_threshold():
     a = words(104)  # 100 shingles
     for cut_words, linked in ((15, True), (16, False)):
         b = " ".join(a.split()[cut_words:])
-        assert next(_compared(pa.array([a]), pa.array([b]), NearOptions())).tolist() == [linked]
+        assert _compared(pa.array([a]), pa.array([b]), NearOptions())[0].tolist() == [linked]
 
 
-def test_prefixes_of_linked_pairs_meet():
-    """Whatever the centre, two linked texts, one without a link to it, share a prefix element."""
+def stars_of(texts, centre, options):
+    linked, apart, n_own, n_centre = _compared(pa.array(texts), pa.array([centre] * len(texts)), options)
+    lists = [[part.view(np.int64).tolist() for part in np.split(found, np.cumsum(n)[:-1])] for found, n in apart]
+    return [
+        (0, k + 1, bool(linked[k]), lists[0][k], lists[1][k], int(n_own[k]), int(n_centre[k])) for k in range(len(texts))
+    ]
+
+
+STARS = "centre bigint, rep bigint, linked boolean, extra array<bigint>, lack array<bigint>, n_own bigint, n_centre bigint"
+
+
+def test_prefixes_of_linked_pairs_meet(spark):
+    """Whatever the centre, two linked texts, one without a link to it, are among the pairs; differences alone confirm them."""
     rng = random.Random(9)
     base = [f"b{k}" for k in range(120)]
-    options = NearOptions()
-    checked = 0
+    options, texts = NearOptions(), []
     for _ in range(60):
         x = list(base)
         for _ in range(rng.randint(1, 8)):
@@ -79,17 +100,76 @@ def test_prefixes_of_linked_pairs_meet():
         y = list(x)
         for _ in range(rng.randint(0, 2)):
             del y[rng.randrange(len(y))]
-        texts = [" ".join(t) for t in (x, y)]
-        linked, found, sizes, opens, *_ = _compared(pa.array(texts), pa.array([" ".join(base)] * 2), options)
-        pair = next(_compared(pa.array(texts[:1]), pa.array(texts[1:]), options))[0]
-        if not pair or linked.all():
-            continue
-        checked += 1
-        first, second = set(found[: sizes[0]].tolist()), set(found[sizes[0] :].tolist())
-        assert first & second
-        if not linked.any():
-            assert set(found[: opens[0]].tolist()) & set(found[sizes[0] : sizes[0] + opens[1]].tolist())
-    assert checked > 10
+        texts += [" ".join(x), " ".join(y)]
+    rows = stars_of(texts, " ".join(base), options)
+    stars = spark.createDataFrame(rows, STARS)
+    pairs = _meeting(_entries(stars, options), options)
+    met = {(r.b, r.a) for r in pairs.collect()}
+    confirmed = {(r.b, r.a) for r in _confirmed_by_differences(pairs, stars, options).collect()}
+    checked = 0
+    for i in range(len(texts)):
+        for j in range(i + 1, len(texts)):
+            linked = bool(_compared(pa.array([texts[i]]), pa.array([texts[j]]), options)[0][0])
+            if not (rows[i][2] and rows[j][2]) and linked:
+                checked += 1
+                assert (i + 1, j + 1) in met
+            if (i + 1, j + 1) in met:
+                assert ((i + 1, j + 1) in confirmed) == linked
+    assert checked > 20
+
+
+def test_new_centres_from_known_differences(spark):
+    options, base = NearOptions(), words(100)
+    texts = [base.replace("w7 ", "x "), words(60) + " " + words(40, "q"), words(100, "z"), words(20)]
+    stars = spark.createDataFrame(stars_of(texts, base, options), STARS)
+    pairs = spark.createDataFrame([(0, a, b) for a in (1, 2, 3, 4) for b in (1, 2, 3, 4) if a != b], "centre bigint, a bigint, b bigint")
+    for r in _recentred(pairs, stars, options).collect():
+        want = stars_of([texts[r.rep - 1]], texts[r.centre - 1], options)[0]
+        assert (r.linked, sorted(r.extra), sorted(r.lack), r.n_own, r.n_centre) == (want[2], sorted(want[3]), sorted(want[4]), *want[5:])
+
+
+def template_pages(n, own=40, blocks=5, seed=3):
+    """Pages of common words, one of some blocks and words of their own."""
+    rng = random.Random(seed)
+    common = [f"c{k}" for k in range(300)]
+    parts = [[f"t{b}_{k}" for k in range(60)] for b in range(blocks)]
+    for k in range(n):
+        yield k, " ".join(common + rng.choice(parts) + [f"o{k}_{j}" for j in range(own)])
+
+
+def pairs_made(spark, docs, rows, options):
+    """Rows of the largest step between stars and links."""
+    made = []
+    before = near_dedup._meeting
+    near_dedup._meeting = lambda entries, options: made.append(before(entries, options)) or made[-1]
+    try:
+        result = found(docs(rows), options=options)
+        return result, sum(df.count() for df in made)
+    finally:
+        near_dedup._meeting = before
+
+
+@pytest.mark.parametrize("percent, own", [(85, 40), (80, 12)])
+def test_pages_of_one_template_do_not_meet_in_pairs(spark, docs, percent, own):
+    options = NearOptions(percent=percent)
+    numbers = {}
+    for n in (150, 600):
+        rows = list(template_pages(n, own))
+        got, numbers[n] = pairs_made(spark, docs, rows, options)
+        if n == 150:
+            assert got == sorted(brute.near_duplicates(rows, percent=percent), key=repr)
+    assert numbers[600] <= 5 * max(numbers[150], 200)
+
+
+@pytest.mark.parametrize("hot, rounds", [(2, 12), (2, 1)])
+def test_further_rounds_lose_no_link(docs, monkeypatch, hot, rounds):
+    """Groups above the bound go through rounds of stars, with the same components as by pairs."""
+    monkeypatch.setattr(near_dedup._rest_links, "__defaults__", (hot, rounds))
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(150)]
+    texts = [t for k in (1, 2, 3, 4) for t in near_copies(rng, base, 20, k)]
+    rows = list(enumerate(rng.sample(texts, len(texts)), 1000))
+    assert found(docs(rows)) == sorted(brute.near_duplicates(rows), key=repr)
 
 
 @pytest.mark.parametrize("percent", [80, 85])
