@@ -1,8 +1,11 @@
 import random
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from corpusloom.llm import winnowing
 from corpusloom.llm.blocks import LETTERS_AND_DIGITS, blocks
+from corpusloom.llm.store import cut
 from corpusloom.llm.winnowing import contamination, uncontaminated, winnowed
 from tests.llm import brute
 from tests.llm.conftest import EDGES, words
@@ -36,6 +39,28 @@ def test_random_texts_of_few_words(spark, docs):
     checked(spark, docs, rows, items)
 
 
+def test_words_common_to_all_items_and_documents_give_no_pairs(spark, docs, monkeypatch):
+    """One run of five words in every item and document: rows grow with the documents, not with documents times items."""
+    common = "one run of five words"
+    items = [(k, f"{words(20, f'i{k}x')} {common} {words(20, f'j{k}x')}") for k in range(60)]
+    rows = [(k, f"{words(15, f'd{k}x')} {common} {words(15, f'e{k}x')}") for k in range(200)]
+    rows += [(900, items[3][1]), (901, common), (902, words(6, "i5x") + " " + common)]
+    made = []
+    monkeypatch.setattr(winnowing, "cut", lambda df, name: made.append((name, cut(df, name))) or made[-1][1])
+    checked(spark, docs, rows, items)
+    sizes = {name: df.count() for name, df in made}
+    assert sizes["places"] <= len(rows) and sizes["hits"] == 36 and sizes["found"] == 1
+
+
+def test_earlier_columns_of_helper_names_stay(spark, docs):
+    benchmark = spark.createDataFrame([(1, words(12))], "item_id bigint, text string")
+    df = docs([(1, words(12)), (2, words(9))])
+    for name in ("_key", "hit_key", "hit_of", "_hits", "hit_ranges", "hit_items"):
+        df = df.withColumn(name, F.lit(name))
+    kept = uncontaminated(df, benchmark)
+    assert kept.columns == df.columns and [r.hit_key for r in kept.collect()] == ["hit_key"]
+
+
 def test_every_window_has_a_fingerprint():
     rng = random.Random(6)
     text = " ".join(f"w{rng.randint(0, 30)}" for _ in range(500))
