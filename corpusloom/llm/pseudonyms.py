@@ -3,14 +3,17 @@
 Values are found by one pattern and validated: payment cards (Luhn), IBANs (mod 97), social security numbers,
 phone numbers, IPv4 addresses, e-mail addresses and calendar dates. Each is permuted by a keyed Feistel network
 over its own domain: a row of digits of mixed radix, one half of which is shifted by a keyed hash of the other, round by
-round. So equal values get equal pseudonyms in every document, in whatever format they are written, different
+round. So equal values get equal pseudonyms in every document, in whichever of the formats below they are written, different
 values of one kind different ones, and who has the key can undo it (`undo=True`).
 
 - Cards keep length, grouping and first digit and get a new check digit. IBANs keep country and shape and get new check digits.
 - Social security numbers stay in the valid areas, groups and serials; IPv4 octets stay octets.
+- IBANs are written whole or in groups of four; phone numbers with + and 8 to 15 digits in groups of up to four, or as (nnn) nnn-nnnn.
 - Phone numbers keep the country code and the marks; e-mail addresses keep shape and domain.
-- Dates of 1900 to 2099 become other dates of 1900 to 2099 in the same format.
+- Dates of 1900 to 2099 become other dates of 1900 to 2099 in the same format: 2024-02-29, 2024/02/29, 29.02.2024, 02/29/2024.
 
+What stays in clear text: dates with a slash whose first number is the day and above 12 (31/12/2020; a pseudonym could not be told from
+month first when undone), dates with names of months, phone numbers without + or brackets, IPv6 addresses, names.
 Numbers that fail their check stay as they are. A text is one row's work; nothing is shuffled.
 
 Defined cases: NULL stays NULL with no findings, empty texts stay empty. Repeated rows give repeated results. Other columns
@@ -31,19 +34,21 @@ from corpusloom.functions.text import let
 # Patterns in the order they are tried; each is whole, not inside a longer number or word.
 KINDS = (
     ("email", r"[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}"),
-    ("iban", r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}"),
-    ("date", r"\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"),
+    ("iban", r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)"),
+    ("date", r"\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"),
     ("ip", r"\d{1,3}(?:\.\d{1,3}){3}"),
     ("ssn", r"\d{3}-\d{2}-\d{4}"),
-    ("phone", r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{3,4}|\(\d{3}\) ?\d{3}-\d{4}"),
+    ("phone", r"\+\d{1,3}(?:[ .-]?(?:\(\d{1,4}\)|\d{1,4})){2,5}|\(\d{3}\) ?\d{3}-\d{4}"),
     ("card", r"\d(?:[ -]?\d){12,18}"),
 )
-_EDGE = r"(?<![\w.+@/-])"
+_EDGE = r"(?<![\w.+@-])"
+_NOT_IN_PATH = r"(?<!/)"
 _END = r"(?![\w@])(?![.-]\d)"
-PATTERN = _EDGE + "(?:" + "|".join(f"(?:{p})" for _, p in KINDS) + ")" + _END
+# An address may follow a slash, as in http://10.0.0.1/; other numbers there are parts of paths.
+PATTERN = _EDGE + "(?:" + "|".join(f"(?:{'' if k == 'ip' else _NOT_IN_PATH}(?:{p}))" for k, p in KINDS) + ")" + _END
 MAYBE = r"[0-9]{2}|@"
 
-DATE_FORMATS = ("yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy")
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "MM/dd/yyyy")
 FIRST_DAY, DAYS = "1900-01-01", (319, 229)  # 319 * 229 days are the years 1900 to 2099
 
 
@@ -180,14 +185,19 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(value: Column, options: PseudonymOptions, undo: bool) -> Column:
-    country, account = F.substring(value, 1, 2), F.substring(value, F.lit(5), F.length(value))
-    valid = _mod97(F.concat(account, country, F.substring(value, 3, 2))) == 1
+    def changed(plain: Column) -> Column:
+        country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+        valid = F.length(plain).between(15, 34) & (_mod97(F.concat(account, country, F.substring(plain, 3, 2))) == 1)
 
-    def whole(new: Column) -> Column:
-        check = F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))
-        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
+        def whole(new: Column) -> Column:
+            check = F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))
+            return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
 
-    return F.when(valid, let(permuted(account, "iban", options, undo), whole))
+        written = let(permuted(account, "iban", options, undo), whole)
+        in_fours = F.rtrim(F.regexp_replace(written, "(.{4})", "$1 "))
+        return F.when(valid, F.when(F.contains(value, F.lit(" ")), in_fours).otherwise(written))
+
+    return let(F.replace(value, F.lit(" "), F.lit("")), changed)
 
 
 def _date(value: Column, options: PseudonymOptions, undo: bool) -> Column:
@@ -205,7 +215,7 @@ def _date(value: Column, options: PseudonymOptions, undo: bool) -> Column:
     options_of = [
         let(F.to_date(F.try_to_timestamp(value, F.lit(form))), moved(form)) for form in DATE_FORMATS
     ]
-    shapes = [r"\A\d{4}-", r"\A\d{2}\.", r"\A\d{2}/"]
+    shapes = [r"\A\d{4}-", r"\A\d{4}/", r"\A\d{2}\.", r"\A\d{2}/"]
     found = F.lit(None).cast("string")
     for shape, new in zip(shapes, options_of, strict=True):
         found = F.when(F.rlike(value, F.lit(shape)), new).otherwise(found)
@@ -250,7 +260,8 @@ def _phone(value: Column, options: PseudonymOptions, undo: bool) -> Column:
 
     def change(prefix: Column) -> Column:
         rest = F.substring(value, F.length(prefix) + 1, F.length(value))
-        return F.concat(prefix, _refilled(rest, permuted(_digits(rest), "phone", options, undo)))
+        new = F.concat(prefix, _refilled(rest, permuted(_digits(rest), "phone", options, undo)))
+        return F.when(F.length(_digits(value)).between(8, 15), new)
 
     return let(code, change)
 
