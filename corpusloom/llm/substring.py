@@ -39,9 +39,9 @@ from corpusloom.llm.blocks import covered, text_bytes, words_of
 from corpusloom.llm.store import text_parts
 
 Key = tuple[pa.Scalar, ...]
-# 56 bits: among 8e9 edges one in 1e7 meets other words by chance. Comparing words then drops its span, so such an
-# edge can only stay unremoved, never remove words that are not repeated.
-HASH_BITS = 56
+# Edges are known by whole 64-bit hashes; among 8e9 edges four in 1e10 meet other words by chance. Comparing words then drops the
+# span, so such an edge can only stay unremoved, never remove words that are not repeated.
+HASH_BITS = 64
 NO_ID = np.iinfo(np.int64).max
 PART_BYTES = 4 << 20
 RANGE_BYTES = 12 << 20
