@@ -16,7 +16,7 @@ A document is the set of its distinct `shingle`-word shingles, lower-cased (A-Z)
    centre by an equi-join on prefix elements, not by pairs.
 5. Prefix elements of more than `HOT` classes are not joined: their classes meet a centre of their own in a further round,
    with differences worked out from those that are known, so no text is read again and a round gives one pair a class and
-   element. Groups in which all classes are of one component already are dropped. After `ROUNDS` rounds what is
+   element; smaller groups give at most `HOT` / 2 pairs an entry, whatever the size of the table. Groups in which all classes are of one component already are dropped. After `ROUNDS` rounds what is
    left is joined as it is, so nothing is left out.
 6. For the pairs of the joins the similarity is first estimated from the packed bits, corrected for chance collisions; those more
    than `DEVIATIONS` standard deviations under the threshold are dropped: by the binomial tail over 96 entries a pair at 0.85 with
@@ -47,7 +47,7 @@ from corpusloom.llm.store import cut
 
 BITS = 4
 DEVIATIONS = 8
-HOT = 64
+HOT = 2048
 ROUNDS = 12
 _PER_LONG = 64 // BITS
 _EVERY = int("1" * _PER_LONG, 16)
@@ -367,13 +367,27 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.filter("in_a != in_b").select("centre", "a", "b")
 
 
-def _rest_links(stars: DataFrame, classes: DataFrame, options: NearOptions, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
-    """Links between classes of different components of the star links, with the links of further rounds of stars."""
-    links = stars.filter("linked").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components `found` (node, component) with further links a, b: only components that these join are worked out anew."""
+    for side in ("a", "b"):
+        of_side = found.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}"))
+        links = links.join(of_side, side, "left").withColumn(f"in_{side}", F.coalesce(f"in_{side}", side))
+    joins = cut(links.filter("in_a != in_b").select(F.col("in_a").alias("a"), F.col("in_b").alias("b")).distinct(), "joins")
+    if joins.isEmpty():
+        return found
+    of_components = components(joins)
+    moved = of_components.select(F.col("node").alias("component"), F.col("component").alias("moved"))
+    whole = found.join(moved, "component", "left").select("node", F.coalesce("moved", "component").alias("component"))
+    return cut(whole.unionByName(of_components), "found")
+
+
+def _with_rest(
+    found: DataFrame, stars: DataFrame, classes: DataFrame, options: NearOptions, hot: int = HOT, rounds: int = ROUNDS
+) -> DataFrame:
+    """The components `found` of the star links, with the links between their classes that are none of a star."""
     for turn in range(rounds + 1):
         if stars.filter("not linked").isEmpty():
             break
-        found = components(links)
         entries = cut(_entries(stars, options), "entries")
         own = found.select(F.col("node").alias("rep"), F.col("component").alias("own_component"))
         within = entries.join(own, "rep", "left").withColumn("own_component", F.coalesce("own_component", "rep"))
@@ -385,7 +399,7 @@ def _rest_links(stars: DataFrame, classes: DataFrame, options: NearOptions, hot:
         is_hot = F.col("size") > (hot if turn < rounds else 1 << 62)
         small = entries.join(groups.filter(~is_hot), ["centre", "element"])
         near = _filtered(_apart(_meeting(small, options), found), classes, options)
-        links = links.unionByName(cut(_confirmed_by_differences(near, stars, options), "late"))
+        found = _merged(found, _confirmed_by_differences(near, stars, options))
         large = groups.filter(is_hot)
         if large.isEmpty():
             break
@@ -396,8 +410,8 @@ def _rest_links(stars: DataFrame, classes: DataFrame, options: NearOptions, hot:
         )
         pairs = members.join(centres, "bucket").filter("rep != b").groupBy(F.col("rep").alias("a"), "b")
         stars = cut(_recentred(pairs.agg(F.min("centre").alias("centre")), stars, options), "stars")
-        links = links.unionByName(stars.filter("linked").select(F.col("rep").alias("a"), F.col("centre").alias("b")))
-    return links
+        found = _merged(found, stars.filter("linked").select(F.col("rep").alias("a"), F.col("centre").alias("b")))
+    return found
 
 
 def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -426,8 +440,9 @@ def near_duplicates(
     members = cut(entries.join(shared, "bucket"), "members")
     company = members.groupBy("rep").agg(F.sum("size").alias("company"))
     stars = cut(_confirmed(cut(_star_pairs(members.join(company, "rep")), "pairs"), classes, docs, options), "stars")
-    links = _rest_links(stars, classes, options).unionByName(_same_id(signed, classes))
-    grouped = classes.select("set", "rep").join(components(links), F.col("rep") == F.col("node"), "left")
+    links = stars.filter("linked").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
+    linked = _with_rest(components(links.unionByName(_same_id(signed, classes))), stars, classes, options)
+    grouped = classes.select("set", "rep").join(linked, F.col("rep") == F.col("node"), "left")
     grouped = grouped.select("set", F.coalesce("component", "rep").alias("found"))
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     return (

@@ -164,7 +164,7 @@ def test_pages_of_one_template_do_not_meet_in_pairs(spark, docs, percent, own):
 @pytest.mark.parametrize("hot, rounds", [(2, 12), (2, 1)])
 def test_further_rounds_lose_no_link(docs, monkeypatch, hot, rounds):
     """Groups above the bound go through rounds of stars, with the same components as by pairs."""
-    monkeypatch.setattr(near_dedup._rest_links, "__defaults__", (hot, rounds))
+    monkeypatch.setattr(near_dedup._with_rest, "__defaults__", (hot, rounds))
     rng = random.Random(4)
     base = [f"b{k}" for k in range(150)]
     texts = [t for k in (1, 2, 3, 4) for t in near_copies(rng, base, 20, k)]
