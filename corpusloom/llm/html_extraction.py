@@ -32,15 +32,17 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusloom.functions.text import let
 from corpusloom.llm.merkle import placed
 from corpusloom.llm.page_blocks import ARTICLE, CHROME, OPEN, Block, blocks_of
 from corpusloom.llm.store import cut, free_name
 
 STRETCH = 64
+PAGES = 256
 COPY = 0.9
 TABLE_BYTES = 16 << 20
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
@@ -153,6 +155,13 @@ def _decided(pages: list[dict], copy: float) -> list[list[int]]:
     return [[i for i in lines if page["zones"][i] == OPEN] for page, lines in zip(pages, chosen)]
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some pages at a time, so that their blocks take little memory."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, PAGES):
+            yield batch.slice(lo, PAGES)
+
+
 def _keys(df: DataFrame, options: PageOptions) -> DataFrame:
     """One small row per page: host, path, the digest of its lines, a hash, a length and a zone per line."""
     url = F.col(options.url)
@@ -166,7 +175,7 @@ def _keys(df: DataFrame, options: PageOptions) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["host", "path", "digest", "lines", "chars", "zones"]
         kinds = [pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int8())]
-        for batch in batches:
+        for batch in _sliced(batches):
             found = []
             for host, path, html in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 blocks = blocks_of(html)
@@ -205,80 +214,66 @@ def shared_lines(df: DataFrame, options: PageOptions) -> DataFrame:
     return dealt.groupBy("stretch").applyInArrow(run, "host string, digest binary, shared array<int>")
 
 
-def main_text(blocks: list[tuple[int, str, int, bool]], shared: frozenset) -> str:
-    """The text of a page from its blocks (place, text, zone, heading) that are not chrome, joined by newlines."""
-    left = [b for b in blocks if b[2] == ARTICLE or b[0] not in shared]
-    article = [k for k, b in enumerate(left) if b[2] == ARTICLE]
-    if article:
-        titled = any(left[k][3] for k in article)
-        left = [b for k, b in enumerate(left) if b[2] == ARTICLE or (b[3] and not titled and k < article[0])]
-    return "\n".join(b[1] for b in left)
+def _main_text(lines: Column, shared: Column) -> Column:
+    """The text of a page from its lines (text, zone, heading; the text of chrome is NULL) without the shared ones."""
+
+    def written(left: Column) -> Column:
+        of_article = F.filter(left, lambda b: b["zone"] == ARTICLE)
+        first = F.array_position(F.transform(left, lambda b: b["zone"] == ARTICLE), True) - 1
+        titled = F.exists(of_article, lambda b: b["heading"])
+        title = F.filter(F.slice(left, F.lit(1), F.greatest(first, F.lit(0)).cast("int")), lambda b: b["heading"] & ~titled)
+        blocks = F.when(F.size(of_article) > 0, F.concat(title, of_article)).otherwise(left)
+        return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
+
+    places = F.when(F.size(lines) > 0, F.sequence(F.lit(0), F.size(lines) - 1))
+    others = F.transform(F.array_except(places, shared), lambda k: F.get(lines, k))
+    kept = F.when(shared.isNull(), lines).otherwise(others)
+    return let(F.filter(kept, lambda b: b["text"].isNotNull()), written)
 
 
 def _parsed(df: DataFrame, html: str, names: dict[str, str]) -> DataFrame:
-    """`df` without its page, with the digest of the page's lines, their number, and those that are not chrome."""
-    line = "array<struct<place: int, text: string, zone: int, heading: boolean>>"
+    """`df` without its page, with the page's lines and their digest."""
+    line = "array<struct<text: string, zone: int, heading: boolean>>"
     schema = StructType(
         [f for f in df.schema.fields if f.name != html]
-        + StructType.fromDDL(f"{names['digest']} binary, {names['n_lines']} int, {names['lines']} {line}").fields
+        + StructType.fromDDL(f"{names['digest']} binary, {names['lines']} {line}").fields
     )
     at = df.columns.index(html)
-    kind = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string()), ("zone", pa.int32()), ("heading", pa.bool_())]))
+    kind = pa.list_(pa.struct([("text", pa.string()), ("zone", pa.int32()), ("heading", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests, counts, lines = [], [], []
+        for batch in _sliced(batches):
+            digests, lines = [], []
             for page in batch.column(at).to_pylist():
                 blocks = blocks_of(page)
                 digests.append(_digest(blocks)[1])
-                counts.append(len(blocks))
-                lines.append([(k, b.text, b.zone, b.heading) for k, b in enumerate(blocks) if b.zone != CHROME])
+                lines.append([(b.text if b.zone != CHROME else None, b.zone, b.heading) for b in blocks])
             others = [column for k, column in enumerate(batch.columns) if k != at]
-            added = [pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(lines, kind)]
+            added = [pa.array(digests, pa.binary()), pa.array(lines, kind)]
             yield pa.RecordBatch.from_arrays([*others, *added], names=schema.fieldNames())
 
     return df.mapInArrow(run, schema)
 
 
-def _written(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """The text of each page from its lines and those that its neighbour shares."""
-    own = [c for c in df.columns if c not in names.values()]
-    schema = StructType(
-        [f for f in df.schema.fields if f.name in own]
-        + StructType.fromDDL("text string, n_chars bigint, n_lines int, n_deleted int").fields
-    )
-    lines_at, shared_at, count_at = (df.columns.index(names[n]) for n in ("lines", "shared", "n_lines"))
-    own_at = [df.columns.index(c) for c in own]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shared = [s or [] for s in batch.column(shared_at).to_pylist()]
-            lines = batch.column(lines_at).to_pylist()
-            texts = [
-                main_text([(b["place"], b["text"], b["zone"], b["heading"]) for b in blocks], frozenset(s))
-                for blocks, s in zip(lines, shared)
-            ]
-            added = [
-                pa.array(texts, pa.string()),
-                pa.array(map(len, texts), pa.int64()),
-                batch.column(count_at),
-                pa.array(map(len, shared), pa.int32()),
-            ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in own_at), *added], names=schema.fieldNames())
-
-    return df.mapInArrow(run, schema)
-
-
 def with_main_text(df: DataFrame, options: PageOptions = PageOptions()) -> DataFrame:
     """`df` with `text`, `n_chars` (code points), `n_lines` and `n_deleted` (open lines that the neighbour shares) in place of its
     page; earlier columns of these names go."""
     made = {"text", "n_chars", "n_lines", "n_deleted"} - {options.html, options.url}
     kept = df.drop(*made)
-    names = {n: free_name(df, f"page_{n}") for n in ("host", "site", "digest", "lines", "n_lines", "key", "shared")}
+    names = {n: free_name(df, f"page_{n}") for n in ("host", "site", "digest", "lines", "key", "shared")}
     decisions = cut(shared_lines(df, options), "page-shared").select(
         F.col("host").alias(names["site"]), F.col("digest").alias(names["key"]), F.col("shared").alias(names["shared"])
     )
     host = F.lower(F.regexp_extract(F.coalesce(F.col(options.url), F.lit("")), HOST, 1))
     pages = _parsed(kept.withColumn(names["host"], host), options.html, names)
     same = (F.col(names["host"]) == F.col(names["site"])) & (F.col(names["digest"]) == F.col(names["key"]))
-    return _written(pages.join(decisions, same, "left"), names)
+    lines, shared = F.col(names["lines"]), F.col(names["shared"])
+    # A generator, so that the text is put together once for itself and its length.
+    texts = pages.join(decisions, same, "left").select("*", F.explode(F.array(_main_text(lines, shared))).alias("text"))
+    return texts.select(
+        *[c for c in kept.columns if c != options.html],
+        "text",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.size(lines).alias("n_lines"),
+        F.when(shared.isNotNull(), F.size(shared)).otherwise(0).alias("n_deleted"),
+    )

@@ -33,12 +33,15 @@ ENDS_AT = frozenset("article aside body div dl footer form header html main nav
 
 # Words in class, id and role that name parts of a page beside its text.
 CHROME_WORDS = frozenset(
-    "ad ads adsense advert advertisement advertising adverts alert announcement aside banner breadcrumb breadcrumbs byline comment "
-    "commentlist comments complementary consent contentinfo cookie cookies dialog discussion disqus footer gdpr hidden login "
-    "masthead menu menubar menus modal nav navbar navigation newsletter notice notices notification outbrain pager pagination "
-    "paywall popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip "
-    "social sponsor sponsored subscribe subscription taboola tabs toolbar tracking warning widget widgets".split()
+    "ad ads adsense advert advertisement advertising adverts alert aside banner breadcrumb breadcrumbs comment commentlist "
+    "comments complementary consent contentinfo cookie cookies dialog disqus footer gdpr hidden login masthead menu menubar "
+    "menus modal nav navbar navigation newsletter notice notices notification outbrain pager pagination paywall popup promo "
+    "promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor "
+    "sponsored subscribe subscription taboola toolbar widget widgets".split()
 )
+# In text the same words mark comments of code, search terms and the like, so there only these count.
+ADVERT_WORDS = frozenset(["ad", "ads", "advert", "advertisement", "sponsored"])
+CONTAINERS = BLOCK - frozenset("dd dt h1 h2 h3 h4 h5 h6 p pre td th tr tbody thead tfoot blockquote".split())
 HEADER_WORDS = frozenset(["header", "topbar"])
 ARTICLE_WORDS = frozenset(["article", "entry", "post", "story"])
 ARTICLE_NAMES = frozenset(
@@ -66,14 +69,20 @@ class Block:
 def _attribute_zone(tag: str, attributes: str, zone: int) -> int:
     if _HIDDEN.search(attributes):
         return CHROME
-    found = OPEN
-    for _, double, single, bare in _NAMING.findall(attributes):
+    found, in_text = OPEN, tag not in BLOCK
+    for attribute, double, single, bare in _NAMING.findall(attributes):
+        # Ids of headings and paragraphs are anchors, named after what the text is about.
+        if attribute.lower() == "id" and tag not in CONTAINERS:
+            continue
+        chrome = ADVERT_WORDS if in_text else CHROME_WORDS
         for name in (double or single or bare).split():
             words = [w for w in _APART.split(_HUMP.sub("-", name).lower()) if w]
             if not words or words[0] in NOT_NAMES:
                 continue
-            if words[0] in CHROME_WORDS or words[-1] in CHROME_WORDS:
+            if words[0] in chrome or words[-1] in chrome:
                 return CHROME
+            if in_text:
+                continue
             if words[-1] in HEADER_WORDS and words[0] not in ARTICLE_WORDS and zone != ARTICLE:
                 return CHROME
             if "-".join(words) in ARTICLE_NAMES:

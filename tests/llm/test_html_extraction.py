@@ -61,6 +61,9 @@ def zones(html):
          [("A", CHROME), ("B", CHROME), ("c", OPEN), ("d", OPEN)]),
         ('<p hidden>h</p><p style="display: none">i</p><p data-hidden-x="1">j</p>', [("h", CHROME), ("i", CHROME), ("j", OPEN)]),
         ("<article><div>a</section>b</span>c</div>d</article>", [("a", ARTICLE), ("bc", ARTICLE), ("d", ARTICLE)]),
+        ('<article><h2 id="related-work">Related</h2><p id="notice">x <span class="hljs-comment"># y</span> '
+         '<a class="ad">buy</a><p class="notice">n</article>',
+         [("Related", ARTICLE), ("x # y", ARTICLE), ("buy", CHROME), ("n", CHROME)]),
         ("<table><tr><td>a<td>b<tr><td>c</table>", [("a", OPEN), ("b", OPEN), ("c", OPEN)]),
         # A tag whose quote does not end is over at the next bracket, so no text is lost.
         ('<p title="a > b">x</p><a href="q>text', [("x", OPEN), ("text", OPEN)]),
