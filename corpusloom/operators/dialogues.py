@@ -127,16 +127,20 @@ def generate_with_retries(
     model: Callable[[pd.Series], pd.Series],
     save: Callable[[DataFrame, int], DataFrame],
     options: RecordOptions = RecordOptions(),
+    save_pending: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> list[DataFrame]:
     """Up to `retry_limit` rounds; each asks only what is still without a valid dialogue.
 
     `save(responses, attempt)` writes a round to a table and returns it as read back, which
-    keeps one model call per prompt and round even when executors are lost.
+    keeps one model call per prompt and round even when executors are lost. `save_pending(prompts, attempt)` does so with
+    what a round leaves open, so that a later round does not parse the answers of all earlier ones again.
     """
     rounds: list[DataFrame] = []
     pending = prompts
     for attempt in range(1, options.retry_limit + 1):
         saved = save(generate(pending, model, attempt), attempt)
         rounds.append(saved)
-        pending = pending_requests(pending, saved)
+        if attempt < options.retry_limit:
+            pending = pending_requests(pending, saved)
+            pending = save_pending(pending, attempt) if save_pending else pending
     return rounds

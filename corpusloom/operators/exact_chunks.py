@@ -229,3 +229,24 @@ def exact_chunks(rows: DataFrame, column: str, load: Load, options: ChunkOptions
     )
     found = packed.select(*own, (F.col("_section") + 1).alias("section_no"), F.posexplode(parts).alias("_part", "text"))
     return found.select(*own, "section_no", (F.col("_part") + 1).alias("part_no"), "text")
+
+
+def numbered_chunks(chunks: DataFrame) -> DataFrame:
+    """The rows of `exact_chunks` with `chunk_no`, counted from 1 in each document, in place of section and part.
+
+    Rows of a document follow each other in one partition, so one pass counts them and nothing is shuffled.
+    """
+    own = [f for f in chunks.schema.fields if f.name not in ("section_no", "part_no", "text")]
+    schema = StructType([*own, *StructType.fromDDL("chunk_no int, text string").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 0
+        for batch in batches:
+            numbers = []
+            for section, part in zip(batch["section_no"].to_pylist(), batch["part_no"].to_pylist()):
+                number = 1 if (section, part) == (1, 1) else number + 1
+                numbers.append(number)
+            columns = [*(batch[f.name] for f in own), pa.array(numbers, pa.int32()), batch["text"]]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+    return chunks.mapInArrow(run, schema)

@@ -157,28 +157,29 @@ def main_heading(chunk: Column) -> Column:
     return F.coalesce(non_empty(F.regexp_extract(chunk, fv.MAIN_HEADING, 0)), F.lit(fv.DEFAULT_HEADING))
 
 
-def part_markers(bodies: Column, heading: Column) -> Column:
-    """Repeat the heading on every part and say which part it is."""
+def part_markers_of(body: Column, k: Column, n: Column, heading: Column) -> Column:
+    """Part `k`, from 0, of `n`: the heading, which part it is, and the body."""
+    first = F.concat(
+        heading,
+        F.lit("\n\n"),
+        body,
+        F.when(n > 1, F.lit("\n\n**[Continued in Part 2]**")).otherwise(F.lit("")),
+    )
+    later = F.concat(
+        heading,
+        F.lit("\n\n**[Part "),
+        (k + 1).cast("string"),
+        F.lit(" of "),
+        n.cast("string"),
+        F.lit(" - Continued]**\n\n"),
+        body,
+    )
+    return F.when(k == 0, first).otherwise(later)
 
-    def one(body: Column, k: Column, n: Column) -> Column:
-        first = F.concat(
-            heading,
-            F.lit("\n\n"),
-            body,
-            F.when(n > 1, F.lit("\n\n**[Continued in Part 2]**")).otherwise(F.lit("")),
-        )
-        later = F.concat(
-            heading,
-            F.lit("\n\n**[Part "),
-            (k + 1).cast("string"),
-            F.lit(" of "),
-            n.cast("string"),
-            F.lit(" - Continued]**\n\n"),
-            body,
-        )
-        return F.when(k == 0, first).otherwise(later)
 
-    return let(bodies, lambda b: F.transform(b, lambda body, k: one(body, k, F.size(b))))
+def part_markers(bodies: Column, heading: Column) -> Column:
+    """Repeat the heading on every part and say which part it is."""
+    return let(bodies, lambda b: F.transform(b, lambda body, k: part_markers_of(body, k, F.size(b), heading)))
 
 
 def part_text(heading: str, body: str, k: int, n: int) -> str:
@@ -188,13 +189,9 @@ def part_text(heading: str, body: str, k: int, n: int) -> str:
     return f"{heading}\n\n{body}" + ("\n\n**[Continued in Part 2]**" if n > 1 else "")
 
 
-def pack_blocks(blocks: Column, limit: Column) -> Column:
-    """Pack blocks into bodies of at most `limit` tokens.
-
-    A block above the limit opens a body and is packed sentence by sentence; the last
-    body stays open for the next block. Sentences join by a line break, blocks by a blank line.
-    """
-    units = F.flatten(
+def pack_units(blocks: Column, limit: Column) -> Column:
+    """What is packed, as ARRAY<STRUCT<text, tokens, first, sep>>: blocks, and the sentences of blocks above the limit."""
+    return F.flatten(
         F.transform(
             blocks,
             lambda block: F.when(
@@ -221,6 +218,14 @@ def pack_blocks(blocks: Column, limit: Column) -> Column:
         )
     )
 
+
+def pack_blocks(blocks: Column, limit: Column) -> Column:
+    """Pack blocks into bodies of at most `limit` tokens.
+
+    A block above the limit opens a body and is packed sentence by sentence; the last
+    body stays open for the next block. Sentences join by a line break, blocks by a blank line.
+    """
+
     def packed(bound: Column) -> Column:
         def step(total: Column, unit: Column):
             opens = (total < 0) | unit["first"] | (total + unit["tokens"] > limit)
@@ -237,7 +242,7 @@ def pack_blocks(blocks: Column, limit: Column) -> Column:
 
         return let(_marks(bound, "bigint", "-1", step), assemble)
 
-    return let(units, packed)
+    return let(pack_units(blocks, limit), packed)
 
 
 def fits(chunk: Column, max_tokens: int) -> Column:

@@ -13,6 +13,7 @@ from corpusloom import fixed_values as fv
 from corpusloom.functions.markdown import guide_title, plain_text
 from corpusloom.functions.text import let
 from corpusloom.operators.cleaning import clean_by_url, extract_date
+from corpusloom.operators.exact_chunks import Load, exact_chunks, numbered_chunks
 from corpusloom.operators.headings import split_generic, split_h2_h4, split_h3
 from corpusloom.operators.prompts import prompts
 from corpusloom.operators.routing import route
@@ -87,6 +88,22 @@ def chunked(cleaned: DataFrame, options: ChunkOptions = ChunkOptions()) -> DataF
     ).select("doc_id", "url", "date", "guide_title", (F.col("_no") + 1).alias("chunk_no"), "text")
 
 
+def chunked_exact(
+    cleaned: DataFrame, load: Load, options: ChunkOptions = ChunkOptions(), splitters=SPLITTERS
+) -> DataFrame:
+    """Like `chunked`, with chunks under the limit by the count of a real tokenizer. A page of no known site is one chunk here too.
+
+    Both kinds of pages are told apart by URL alone, before they are cleaned, so no page is cleaned twice.
+    """
+    site, own = route(F.col("url"), fv.STAGE_ORDER["chunk"]), ("doc_id", "url", "date", "guide_title")
+    sections = None
+    for name, splitter in splitters.items():
+        sections = (F if sections is None else sections).when(site == name, splitter(F.col("content")))
+    cut = cleaned.where(site.isin(*splitters)).select(*own, sections.alias("sections"))
+    whole = cleaned.where(~site.isin(*splitters)).select(*own, F.lit(1).alias("chunk_no"), F.col("content").alias("text"))
+    return numbered_chunks(exact_chunks(cut, "sections", load, options)).unionByName(whole)
+
+
 def parts_of(chunk_rows: DataFrame, options: StructureOptions = StructureOptions()) -> DataFrame:
     """One row per part of a chunk; most chunks are one part."""
     return explode_parts(
@@ -99,6 +116,9 @@ def document_prompts(
     chunk_options: ChunkOptions = ChunkOptions(),
     structure_options: StructureOptions = StructureOptions(),
     template: str = fv.DEFAULT_TEMPLATE,
+    tokenizer: Load | None = None,
 ) -> DataFrame:
-    """Documents to prompts, ready for a model."""
-    return prompts(parts_of(chunked(cleaned_documents(docs), chunk_options), structure_options), template)
+    """Documents to prompts, ready for a model. With a tokenizer the chunk limit is one of its tokens, else of estimated ones."""
+    cleaned = cleaned_documents(docs)
+    chunks = chunked_exact(cleaned, tokenizer, chunk_options) if tokenizer else chunked(cleaned, chunk_options)
+    return prompts(parts_of(chunks, structure_options), template)

@@ -203,6 +203,14 @@ def ingested_pages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [run(0), run(0, where="length(url) % 2 = 0", hours=2), run(3, "concat(url, '#other')"), again.unionByName(late)]
 
 
+def rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules from the pages: their hosts and the ends of their URLs, with repeated domains and priorities."""
+    return table(spark, sf_dir, "pages").selectExpr(
+        "stack(2, 'clean', page_id % 7, regexp_extract(url, '^https?://([^/]+)', 1), concat('host ', page_id % 5), "
+        "'fetch', page_id % 11, right(url, 4), concat('end ', page_id % 3)) AS (stage, priority, domain, strategy)"
+    )
+
+
 def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lines of a state file, some padded, some blank."""
     return table(spark, sf_dir, "pages").selectExpr(

@@ -668,6 +668,13 @@ ORACLES: dict[str, str] = {
       WHEN contains(url, 'blog.') THEN 'blog' ELSE 'default' END AS clean_strategy,
       CASE WHEN contains(url, 'blog.') THEN 'reader' WHEN contains(url, 'example.com') THEN 'converter'
       WHEN contains(url, 'example.net') THEN 'text' ELSE 'default' END AS fetch_strategy FROM pages""",
+    "route_rules": r"""WITH rules AS (SELECT 'clean' AS stage, page_id % 7 AS priority, regexp_extract(url, '^https?://([^/]+)', 1) AS domain,
+        concat('host ', page_id % 5) AS strategy FROM pages UNION ALL SELECT 'fetch', page_id % 11, right(url, 4), concat('end ', page_id % 3) FROM pages),
+      best AS (SELECT p.page_id, p.url, r.stage, r.strategy FROM pages p JOIN rules r ON contains(p.url, r.domain)
+        QUALIFY row_number() OVER (PARTITION BY p.page_id, p.url, r.stage ORDER BY r.priority, r.domain, r.strategy) = 1)
+      SELECT p.page_id, p.url, coalesce(c.strategy, 'default') AS clean_strategy, coalesce(f.strategy, 'default') AS fetch_strategy FROM pages p
+        LEFT JOIN best c ON c.page_id = p.page_id AND c.url = p.url AND c.stage = 'clean'
+        LEFT JOIN best f ON f.page_id = p.page_id AND f.url = p.url AND f.stage = 'fetch'""",
     "site_routes": f"""WITH s AS (SELECT doc_id, concat({URL}, '?ref=', CASE doc_id % 3 WHEN 0 THEN 'garmoth.com' WHEN 1 THEN 'blackdesertfoundry.com' ELSE 'none' END) AS url FROM documents),
       r AS (SELECT *, contains(url, 'playblackdesert.com') AS wiki, contains(url, 'blackdesertfoundry.com') AS blog, contains(url, 'garmoth.com') AS tool FROM s)
       SELECT doc_id, url, CASE WHEN blog THEN 'blackdesertfoundry.com' WHEN tool THEN 'garmoth.com' WHEN wiki THEN 'playblackdesert.com' ELSE 'default' END AS fetch_route,
@@ -774,3 +781,4 @@ ORACLES: dict[str, str] = {
 ORACLES["ordered_corpus"] = rf"""WITH blocks AS ({ORACLES["cpt_blocks"]})
   SELECT row_number() OVER (ORDER BY doc_id, v.i) AS line_no, v.line AS value
   FROM blocks, unnest(string_split(left(block, length(block) - 1), E'\n')) WITH ORDINALITY AS v(line, i)"""
+ORACLES["oversize_by_rows"] = ORACLES["oversize_split"]

@@ -17,6 +17,7 @@ from corpusloom.functions.tokenizers import plugged_tokens
 from corpusloom.operators import cleaning, dialogues, headings, quality, resume, routing, sections, structures
 from corpusloom.operators.exact_chunks import BETWEEN_WORDS, ExactTokenizer, recombine_exact
 from corpusloom.operators.prompts import prompts, unique_requests
+from corpusloom.operators.row_packing import split_oversized_rows
 from corpusloom.options import ChunkOptions, QualityOptions
 from corpusloom.plans import documents, inputs
 from corpusloom.sources import fetched, links, sinks
@@ -62,6 +63,10 @@ def _pieces(rows, column: Callable[[Column], Column], name: str = "text") -> Que
     return query
 
 
+def oversize_by_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _wide(split_oversized_rows(inputs.guides(spark, sf), "doc_id", "content", SMALL_CHUNKS))
+
+
 def _parts(rows, column: Callable[[Column], Column]) -> Query:
     return lambda spark, sf: _wide(
         structures.explode_parts(rows(spark, sf), column(F.col("content"))).drop("content")
@@ -152,6 +157,12 @@ def route_domain(spark: SparkSession, sf: str) -> DataFrame:
     return routing.route_by_rules(inputs.table(spark, sf, "pages").select("page_id", "url"), RULES)
 
 
+def route_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rules of every page, looked for in all pages."""
+    pages = inputs.table(spark, sf, "pages").select("page_id", "url")
+    return routing.route_by_rule_table(pages, inputs.rule_table(spark, sf))
+
+
 def site_routes(spark: SparkSession, sf: str) -> DataFrame:
     """URLs that hold two domains: each stage goes by its own order."""
     other = F.expr("CASE doc_id % 3 WHEN 0 THEN 'garmoth.com' WHEN 1 THEN 'blackdesertfoundry.com' ELSE 'none' END")
@@ -442,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "token_counts": token_counts,
     "token_counts_plugged": token_counts_plugged,
     "route_domain": route_domain,
+    "route_rules": route_rules,
     "site_routes": site_routes,
     "extract_date": extract_date,
     "clean_default": _over(inputs.site_pages, cleaning.clean_default, "cleaned"),
@@ -463,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "sentences": _pieces(_documents_text, sections.sentences_of),
     "part_markers": part_markers,
     "exact_recombine": exact_recombine,
+    "oversize_by_rows": oversize_by_rows,
     "oversize_split": _pieces(inputs.guides, lambda c: sections.split_oversized(c, SMALL_CHUNKS)),
     "detect_structures": lambda spark, sf: _wide(
         inputs.structures_md(spark, sf).select("doc_id", F.inline(F.array(structures.profile(F.col("content")))))

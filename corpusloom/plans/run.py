@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fv
 from corpusloom.operators import dialogues, resume
+from corpusloom.operators.exact_chunks import Load
 from corpusloom.options import ChunkOptions, RecordOptions, StructureOptions
 from corpusloom.plans.documents import cleaned_documents, corpus_blocks, document_prompts
 from corpusloom.sources import links, sinks
@@ -34,6 +35,7 @@ class RunOptions:
     records: RecordOptions = field(default_factory=RecordOptions)
     template: str = fv.DEFAULT_TEMPLATE
     mark_empty: bool = False
+    tokenizer: Load | None = None
 
 
 # Where a link stands; chunks and parts have their own numbers within its page, dialogues within their answer.
@@ -97,13 +99,14 @@ def run_records(
 
     pending, docs = pending_documents(spark, link_files, pages, state, path("pending"))
     prompts = _saved(
-        unique_requests(document_prompts(docs, options.chunks, options.structures, options.template)), path("prompts")
+        unique_requests(document_prompts(docs, options.chunks, options.structures, options.template, options.tokenizer)), path("prompts")
     )
     rounds = dialogues.generate_with_retries(
         prompts,
         model,
         lambda responses, attempt: _saved(responses, f"{path('responses')}/attempt={attempt}"),
         options.records,
+        lambda pending, attempt: _saved(pending, f"{path('open_requests')}/attempt={attempt}"),
     )
     responses = spark.createDataFrame([], "request_id string, attempt int, raw string")
     for answered in rounds:

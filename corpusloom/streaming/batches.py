@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom import fixed_values as fv
+from corpusloom.operators.exact_chunks import Load
 from corpusloom.operators.prompts import unique_requests
 from corpusloom.options import ChunkOptions, StructureOptions
 from corpusloom.plans.documents import document_prompts
@@ -67,12 +68,13 @@ def page_prompts_of(
     chunks: ChunkOptions = ChunkOptions(),
     structures: StructureOptions = StructureOptions(),
     template: str = fv.DEFAULT_TEMPLATE,
+    tokenizer: Load | None = None,
 ) -> Tables:
     """pages(page_id, url, html) of a batch to its prompts, each request once."""
 
     def tables(pages: DataFrame) -> dict[str, DataFrame]:
         docs = documents_from_html(pages).withColumnRenamed("page_id", "doc_id")
-        found = unique_requests(document_prompts(docs, chunks, structures, template))
+        found = unique_requests(document_prompts(docs, chunks, structures, template, tokenizer))
         columns = [part.split()[0] for part in PROMPTS.split(", ")]
         return {"prompts": found.select(*[F.col(c) for c in columns])}
 

@@ -140,3 +140,16 @@ def test_many_sections_in_one_document(each):
     text = "\n".join(f"## S{i}\n\nwords here" for i in range(5_000))
     found = each(lambda t: sections.chunks_under_limit(headings.split_generic(t)), text)[0]
     assert len(found) == 2_500 and found[-1].endswith("## S4999\n\nwords here")
+
+
+def test_rows_are_packed_like_arrays(spark):
+    """Texts as rows, one of them of 60,000 blocks, give the parts that the column function gives."""
+    from corpusloom.operators.row_packing import split_oversized_rows
+
+    options = ChunkOptions(max_tokens=150)
+    texts = ["", "short", "# Only a heading " + "x " * 300, "## H\n" + "word. " * 900 + "\n\n* a\n* b\n\n" + "c d " * 200]
+    texts += ["lead " * 90 + "\n# H\n" + "\n\n".join(f"block {k} of some words here" for k in range(60_000))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k bigint, t string").repartition(3)
+    found = {(r.k, r.piece_no): r.text for r in split_oversized_rows(rows, "k", "t", options).collect()}
+    want = rows.select("k", F.posexplode(sections.split_oversized(F.col("t"), options)).alias("no", "text")).collect()
+    assert found == {(r.k, r.no + 1): r.text for r in want} and len(found) > 3000

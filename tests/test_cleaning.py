@@ -1,5 +1,6 @@
 """Site cleaning, dates, routing."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.cleaning import (
@@ -10,7 +11,7 @@ from corpusloom.operators.cleaning import (
     clean_title_suffix,
     extract_date,
 )
-from corpusloom.operators.routing import route, route_by_rules
+from corpusloom.operators.routing import route, route_by_rule_table, route_by_rules
 
 HEAD = "menu\n### My Guide Request Edit\nLast Edited on : May 1, 2024 Share\nCopy URL Facebook X\n\n"
 
@@ -104,3 +105,30 @@ def test_routing(spark, each):
     rules = [("clean", 2, "a.com", "two"), ("clean", 1, "b.com", "one"), ("clean", 1, "c.com", "none")]
     routed = route_by_rules(urls, rules).collect()
     assert sorted(r["clean_strategy"] for r in routed) == ["default", "one"]
+
+
+def test_rule_tables_of_any_size(spark):
+    """A hundred thousand rules give what literal branches give, without a join."""
+    import random
+
+    rng = random.Random(3)
+    names = ["".join(rng.choices("abcdé.", k=rng.randint(1, 4))) for _ in range(400)]
+    rules = [(rng.choice("xy"), rng.randint(0, 5), rng.choice(names), f"s{k % 9}") for k in range(300)]
+    urls = spark.createDataFrame([(k, "".join(rng.choices("abcdé./", k=12))) for k in range(200)] + [(900, None), (901, "")], "k int, url string")
+    table = spark.createDataFrame(rules + [("x", 9, None, "s"), (None, 9, "a", "s")], "stage string, priority int, domain string, strategy string")
+    want = {r.k: r for r in route_by_rules(urls, sorted(set(rules))).collect()}
+    routed = route_by_rule_table(urls, table)
+    assert "Join" not in routed._jdf.queryExecution().toString()
+    assert {r.k: r for r in routed.collect()} == want
+
+    many = spark.range(100_000).selectExpr("'x' AS stage", "CAST(1 + id % 50 AS int) AS priority", "concat('q', id, '/') AS domain", "concat('s', id) AS strategy")
+    asked = spark.createDataFrame([(f"https://q{k}/q{k + 1}/z",) for k in range(0, 99_000, 97)], "url string")
+    for r in route_by_rule_table(asked, many).collect():
+        k = int(r.url.split("/q")[1].split("/")[0])
+        best = min((k, k + 1), key=lambda i: (1 + i % 50, f"q{i}/"))
+        assert r.x_strategy == f"s{best}"
+    assert route_by_rule_table(urls, many.limit(0)).columns == urls.columns
+    every = route_by_rule_table(urls, spark.createDataFrame([("x", 1, "", "all")], table.schema)).collect()
+    assert {r.x_strategy for r in every if r.url is not None} == {"all"} and [r.x_strategy for r in every if r.url is None] == ["default"]
+    with pytest.raises(ValueError, match="more than 10"):
+        route_by_rule_table(urls, many, most_rules=10)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import headings, sections
 from corpusloom.operators.exact_chunks import BETWEEN_WORDS, Counter, ExactTokenizer, exact_chunks, recombine_exact
 from corpusloom.options import ChunkOptions
-from corpusloom.plans import inputs
+from corpusloom.plans import documents, inputs
 
 tokenizers = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.01"
@@ -159,3 +159,23 @@ def test_edges(spark):
     count = byte_bpe().count
     assert len(longest) > 3 and max(map(count, longest)) <= 120
     assert sum(t.count("w") for t in longest) == 3000
+
+
+def test_documents_to_prompts_under_a_tokenizers_limit(spark):
+    """All pages of known sites in chunks that the tokenizer counts at most so many tokens in, numbered without gaps."""
+    docs = inputs.site_pages(spark, SF).withColumn("title", F.lit(""))
+    cleaned = documents.cleaned_documents(docs).repartition(8).cache()
+    options, count = ChunkOptions(max_tokens=250, heading_reserve=60), byte_bpe().count
+    rows = documents.chunked_exact(cleaned, byte_bpe, options).collect()
+    numbers, known = {}, set()
+    for r in rows:
+        numbers.setdefault(r.doc_id, []).append(r.chunk_no)
+        if any(site in r.url for site in documents.SPLITTERS):
+            known.add(r.doc_id)
+            assert count(r.text) <= 250
+    assert len(known) > 500 and all(sorted(n) == list(range(1, len(n) + 1)) for n in numbers.values())
+    assert set(numbers) == {r.doc_id for r in cleaned.select("doc_id").collect()}
+    cleaned.unpersist()
+    made = documents.document_prompts(docs.limit(40), options, tokenizer=byte_bpe)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert made.columns == documents.document_prompts(docs.limit(40), options).columns and "hashpartitioning" not in plan
