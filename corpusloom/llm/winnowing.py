@@ -185,7 +185,8 @@ def contamination(
     docs = df.select(key.alias("key"), F.col(text).alias("text"))
     matched = _doc_prints(docs, window, gram, short).join(prints, ["print", "need"], "left_semi")
     places = cut(matched.groupBy("key").agg(F.collect_set(F.struct("at", "need")).alias("places")), "places")
-    around = _doc_windows(docs.join(places, "key"), window, gram).distinct()
+    # The hint keeps one plan at every size.
+    around = _doc_windows(docs.join(places.hint("merge"), "key"), window, gram).distinct()
     hits = cut(around.join(windows.select("digest").distinct(), "digest", "left_semi"), "hits")
     owners = hits.select("key", "digest").distinct().join(windows.filter("item is not null"), "digest")
     names = owners.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
