@@ -40,7 +40,7 @@ SCALE = 1024
 PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
-CELL_WIDTH = 64
+CELL_WIDTH = 32
 CELLS = 1 << 14
 BATCH = 2048
 SAFE = 1 << 26
@@ -88,16 +88,28 @@ class Coder:
         self.evaluated = self.met = 0
 
     def _undominated(self, corner: np.ndarray) -> list[np.ndarray]:
-        """For each box [corner, corner + width - 1]: the entries that may be nearest to a point of it, ascending."""
-        found = []
-        for lo in range(0, len(corner), 64):
-            low = corner[lo : lo + 64, None, :]
-            below, above = low - self.entries, self.entries - (low + (self.width - 1))
-            least = np.maximum(np.maximum(below, above), 0)
-            greatest = np.maximum(np.abs(below), np.abs(above))
-            least, greatest = (least * least).sum(2), (greatest * greatest).sum(2)
-            for row, bound in zip(least, greatest.min(1)):
-                found.append(np.flatnonzero(row <= bound))
+        """For each box [corner, corner + width - 1]: the entries that may be nearest to a point of it, ascending.
+
+        Distances are taken in doubled coordinates, in which a box has a whole middle and reaches `width` - 1 to both sides; they
+        are added up component by component over all cells and entries, in 32 bits where all sums fit.
+        """
+        reach, found = self.width - 1, []
+        middle, doubled = 2 * corner + reach, 2 * self.entries.T
+        largest = int(np.abs(middle).max(initial=0)) + int(np.abs(doubled).max(initial=0)) + reach
+        kind = np.int32 if largest**2 * corner.shape[1] < 1 << 31 else np.int64
+        middle, doubled = middle.astype(kind), np.ascontiguousarray(doubled.astype(kind))
+        for lo in range(0, len(corner), 256):
+            cells = middle[lo : lo + 256]
+            least = np.zeros((len(cells), len(self.entries)), kind)
+            greatest = np.zeros_like(least)
+            for k, entry in enumerate(doubled):
+                gap = np.abs(cells[:, k, None] - entry)
+                far = gap + kind(reach)
+                greatest += far * far
+                gap = np.maximum(gap - kind(reach), 0)
+                least += gap * gap
+            cell, entry = np.nonzero(least <= greatest.min(1)[:, None])
+            found += np.split(entry, np.searchsorted(cell, np.arange(1, len(cells))))
         return found
 
     def _candidates(self, cells: np.ndarray) -> list[np.ndarray]:
