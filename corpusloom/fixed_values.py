@@ -139,6 +139,18 @@ PLAIN_INLINE = (
     (LINE_START + r"\s*+[-*+]\s+", "- ", "-", "*", "+"),
     (LINE_START + r"\s*+\d+\.\s+", "- ", "."),
 )
+# The corrected form: lists before emphasis, emphasis within a line and not inside a word, table rules with colons.
+# Marks of a word by underscores take the character on both sides along, so neighbours need a second pass.
+_WORD_EMPHASIS = r"(?m)(?d)(^|[^\p{L}\p{N}_])_([^\s_](?:[^_\n]*[^\s_])?)_([^\p{L}\p{N}_]|$)"
+PLAIN_EMPHASIS_SAFE = (
+    (r"\*\*([^\s*](?:[^*\n]*[^\s*])?)\*\*", "$1", "**"),
+    (r"__([^\s_](?:[^_\n]*[^\s_])?)__", "$1", "__"),
+    (r"\*([^\s*](?:[^*\n]*[^\s*])?)\*", "$1", "*"),
+    (_WORD_EMPHASIS, "$1$2$3", "_"),
+    (_WORD_EMPHASIS, "$1$2$3", "_"),
+)
+PLAIN_INLINE_SAFE = PLAIN_INLINE[:4] + PLAIN_INLINE[8:] + PLAIN_EMPHASIS_SAFE
+PLAIN_TABLE_RULE_SAFE = r"^\|?\s*:?-+:?\s*(?:\|\s*:?-+:?\s*)++\|?$"
 PLAIN_TABLE_RULE = r"^\|?\s*-+\s*(?:\|\s*-+\s*)++\|?$"
 PLAIN_CLEANUP = (
     (r"\\([\\`*_{}\[\]()#+\-\.!\"'])", "$1", "\\"),

@@ -35,19 +35,30 @@ def _plain_line(line: Column) -> Column:
     return F.when(F.contains(line, F.lit("|")), F.array_join(cells, " - ")).otherwise(line)
 
 
-def plain_text(content: Column) -> Column:
-    """Markdown to plain text."""
+def plain_text(content: Column, safe: bool = False) -> Column:
+    """Markdown to plain text.
+
+    Emphasis goes before lists and over lines, so pairs of `* ` bullets lose their marks and names lose underscores. With `safe` it
+    goes after lists, within a line and not inside a word, and table rules with colons go too.
+    """
+    steps = fv.PLAIN_INLINE_SAFE if safe else fv.PLAIN_INLINE
+    rule = fv.PLAIN_TABLE_RULE_SAFE if safe else fv.PLAIN_TABLE_RULE
 
     def without_pipes(text: Column) -> Column:
         lines = F.transform(all_lines(text), lambda line: strip(line))
-        kept = F.filter(lines, lambda line: ~F.rlike(line, F.lit(fv.PLAIN_TABLE_RULE)))
+        kept = F.filter(lines, lambda line: ~F.rlike(line, F.lit(rule)))
         collapsed = F.when(F.contains(text, F.lit("|")), F.transform(kept, _plain_line)).otherwise(lines)
         return F.array_join(collapsed, "\n")
 
-    inline = rewrite(content, fv.PLAIN_INLINE)
+    inline = rewrite(content, steps)
     return strip(rewrite(let(inline, without_pipes), fv.PLAIN_CLEANUP))
 
 
+def plain_text_safe(content: Column) -> Column:
+    """Markdown to plain text that keeps bullets and names whole."""
+    return plain_text(content, safe=True)
+
+
 def starts_with_heading(chunk: Column) -> Column:
     """The (stripped) chunk opens with an ATX heading or an underlined title."""
     return F.rlike(chunk, F.lit(fv.HEADING_START))

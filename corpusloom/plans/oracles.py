@@ -178,24 +178,31 @@ def title_of(title: str, content: str) -> str:
     )
 
 
-def plain_of(src: str, out: str, keep: str) -> str:
+def plain_of(src: str, out: str, keep: str, safe: bool = False) -> str:
     """CTEs from `src`(keep..., content) to `out`(keep..., plain)."""
-    inline = chain(
-        "content",
-        [
-            (r"(?s)```.*?```", ""), (r"`([^`]*)`", r"\1"), (r"!\[([^\]]*)\]\([^\)]*\)", r"\1"),
-            (r"\[([^\]]+)\]\([^\)]+\)", r"\1"), (r"(?s)\*\*(.*?)\*\*", r"\1"), (r"(?s)__(.*?)__", r"\1"),
-            (r"(?s)\*(.*?)\*", r"\1"), (r"(?s)_(.*?)_", r"\1"), (r"(?m)^\s{0,3}#{1,6}\s+", ""),
-            (r"(?m)^([A-Za-z].*?)\n[-=]{3,}\s*$", r"\1"), (r"(?m)^\s*[-*+]\s+", "- "), (r"(?m)^\s*\d+\.\s+", "- "),
-        ],
-    )
+    marks = [
+        (r"(?s)```.*?```", ""), (r"`([^`]*)`", r"\1"), (r"!\[([^\]]*)\]\([^\)]*\)", r"\1"), (r"\[([^\]]+)\]\([^\)]+\)", r"\1"),
+    ]
+    lists = [
+        (r"(?m)^\s{0,3}#{1,6}\s+", ""), (r"(?m)^([A-Za-z].*?)\n[-=]{3,}\s*$", r"\1"), (r"(?m)^\s*[-*+]\s+", "- "), (r"(?m)^\s*\d+\.\s+", "- "),
+    ]
+    emphasis = [
+        (r"(?s)\*\*(.*?)\*\*", r"\1"), (r"(?s)__(.*?)__", r"\1"), (r"(?s)\*(.*?)\*", r"\1"), (r"(?s)_(.*?)_", r"\1"),
+    ]
+    by_word = (r"(?m)(^|[^\p{L}\p{N}_])_([^\s_](?:[^_\n]*[^\s_])?)_([^\p{L}\p{N}_]|$)", r"\1\2\3")
+    within_lines = [
+        (r"\*\*([^\s*](?:[^*\n]*[^\s*])?)\*\*", r"\1"), (r"__([^\s_](?:[^_\n]*[^\s_])?)__", r"\1"),
+        (r"\*([^\s*](?:[^*\n]*[^\s*])?)\*", r"\1"), by_word, by_word,
+    ]
+    inline = chain("content", marks + lists + within_lines if safe else marks + emphasis + lists)
+    colon = ":?" if safe else ""
     cells = (
         f"array_to_string(list_filter(list_transform(string_split(trim(x, '|'), '|'), lambda c: {strip('c')}), "
         "lambda c: c <> ''), ' - ')"
     )
     lines = rf"""array_to_string(list_transform(list_filter(list_transform(
       string_split_regex(a, '\r\n|[\n\r\x{{0b}}\x{{0c}}\x{{1c}}-\x{{1e}}\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: {strip('x')}),
-      lambda x: NOT regexp_matches(x, '^\|?\s*-+\s*(?:\|\s*-+\s*)+\|?$')),
+      lambda x: NOT regexp_matches(x, '^\|?\s*{colon}-+{colon}\s*(?:\|\s*{colon}-+{colon}\s*)+\|?$')),
       lambda x: CASE WHEN contains(x, '|') THEN {cells} ELSE x END), E'\n')"""
     tail = chain(
         "b",
@@ -782,3 +789,5 @@ ORACLES["ordered_corpus"] = rf"""WITH blocks AS ({ORACLES["cpt_blocks"]})
   SELECT row_number() OVER (ORDER BY doc_id, v.i) AS line_no, v.line AS value
   FROM blocks, unnest(string_split(left(block, length(block) - 1), E'\n')) WITH ORDINALITY AS v(line, i)"""
 ORACLES["oversize_by_rows"] = ORACLES["oversize_split"]
+ORACLES["plain_text_safe"] = f"""WITH {GUIDES}, {md('structs', STRUCTURES_MD)}, forms AS (SELECT 'guide' AS form, doc_id, content FROM guides
+  UNION ALL SELECT 'structure', doc_id, content FROM structs), {plain_of('forms', 'plains', 'form, doc_id', safe=True)} SELECT form, doc_id, plain FROM plains"""

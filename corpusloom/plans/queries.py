@@ -112,11 +112,11 @@ def guide_titles(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.guides(spark, sf).select("doc_id", guide_title(title, F.col("content")).alias("guide_title"))
 
 
-def plain_texts(spark: SparkSession, sf: str) -> DataFrame:
+def plain_texts(spark: SparkSession, sf: str, safe: bool = False) -> DataFrame:
     forms = inputs.guides(spark, sf).select(F.lit("guide").alias("form"), "doc_id", "content").unionByName(
         inputs.structures_md(spark, sf).select(F.lit("structure").alias("form"), "doc_id", "content")
     )
-    return forms.select("form", "doc_id", plain_text(F.col("content")).alias("plain"))
+    return forms.select("form", "doc_id", plain_text(F.col("content"), safe).alias("plain"))
 
 
 def cpt_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -449,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "docs_nonempty": docs_nonempty,
     "guide_title": guide_titles,
     "plain_text": plain_texts,
+    "plain_text_safe": lambda spark, sf: plain_texts(spark, sf, safe=True),
     "cpt_blocks": cpt_blocks,
     "token_counts": token_counts,
     "token_counts_plugged": token_counts_plugged,

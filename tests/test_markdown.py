@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.html import html_title, html_to_markdown
-from corpusloom.functions.markdown import guide_title, heading_context, plain_text
+from corpusloom.functions.markdown import guide_title, heading_context, plain_text, plain_text_safe
 
 
 def test_html_elements(each):
@@ -72,6 +72,19 @@ def test_plain_text_forms(each):
     assert got == cases
 
 
+def test_safe_plain_text_keeps_bullets_and_names(each):
+    cases = {
+        "* a\n* b\n* c": "- a\n- b\n- c",
+        "**b** __c__ *d* _e_ _f_": "b c d e f",
+        "snake_case_name and 2 * 3 * 4": "snake_case_name and 2 * 3 * 4",
+        "*over\nlines*": "*over\nlines*",
+        "| a | b |\n|:---|---:|\n| 1 | 2 |": "a - b\n1 - 2",
+        "1. **one**\n2. two": "- one\n- two",
+        "": "",
+    }
+    assert dict(zip(cases, each(plain_text_safe, *cases))) == cases
+
+
 def test_long_and_regular_texts_do_not_break_the_regex_engine(each):
     big = [
         "word " * 200_000,
