@@ -185,8 +185,7 @@ def contamination(
     docs = df.select(key.alias("key"), F.col(text).alias("text"))
     matched = _doc_prints(docs, window, gram, short).join(prints, ["print", "need"], "left_semi")
     places = cut(matched.groupBy("key").agg(F.collect_set(F.struct("at", "need")).alias("places")), "places")
-    # The hint keeps one plan at every size.
-    around = _doc_windows(docs.join(places.hint("merge"), "key"), window, gram).distinct()
+    around = _doc_windows(docs.join(places, "key"), window, gram).distinct()
     hits = cut(around.join(windows.select("digest").distinct(), "digest", "left_semi"), "hits")
     owners = hits.select("key", "digest").distinct().join(windows.filter("item is not null"), "digest")
     names = owners.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
@@ -207,7 +206,9 @@ def contamination(
         found = [names or [] for names in batch[own["items"]].to_pylist()]
         return [pa.array(n_words), pa.array(n_hit), pa.array(found, pa.list_(pa.string()))]
 
-    joined = df.withColumn(own["key"], key).join(cut(found, "found"), F.col(own["key"]) == F.col(own["of"]), "left")
+    # The hint keeps one plan at every size.
+    found = cut(found, "found").hint("merge")
+    joined = df.withColumn(own["key"], key).join(found, F.col(own["key"]) == F.col(own["of"]), "left")
     measured = append_columns(joined, "_n_words bigint, _n_hit bigint, _items array<string>", make)
     return measured.drop(*own.values())
 
