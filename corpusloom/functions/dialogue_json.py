@@ -2,15 +2,19 @@
 
 Objects are read and written by Python's JSON in Arrow batches, as the readers of SQL sort the keys of nested objects and reject
 repeated keys and NaN: keys keep their order, the last of repeated ones wins at the place of the first, NaN stays.
+
+An Arrow batch, which Spark bounds by its number of rows, becomes Python objects some rows at a time, and these go back as batches of their
+own. So a worker holds one batch and the objects of a few MB of text, however large the table.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
@@ -93,14 +97,27 @@ def _dialogues_in(answer: str) -> list[str]:
     return [_written(entry) for entry in entries if _is_dialogue(entry)]
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def dialogue_items(text: pd.Series) -> pd.Series:
+PIECE_BYTES = 1 << 20
+
+
+def _pieces(*columns: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
+    """Equally long columns in slices that hold about PIECE_BYTES of the first one; one row at least."""
+    rows = len(columns[0])
+    step = max(1, rows * PIECE_BYTES // max(columns[0].nbytes, 1))
+    for lo in range(0, rows, step):
+        yield tuple(c.slice(lo, step) for c in columns)
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def dialogue_items(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """ARRAY<STRING> of the valid dialogue objects in an answer; NULL for NULL.
 
     A JSON list gives its entries, a single object itself, anything else its lines that
     are objects of their own.
     """
-    return text.map(lambda t: None if t is None else _dialogues_in(t))
+    for texts in batches:
+        for (piece,) in _pieces(texts):
+            yield pa.array([None if t is None else _dialogues_in(t) for t in piece.to_pylist()], pa.list_(pa.string()))
 
 
 def answer_tokens(turns: Column) -> Column:
@@ -112,20 +129,25 @@ def answer_tokens(turns: Column) -> Column:
     )
 
 
-@F.pandas_udf(StringType())
-def record_json(item: pd.Series, url: pd.Series, lang: pd.Series, date: pd.Series, n_tokens: pd.Series) -> pd.Series:
-    """The dialogue object with its metadata set; any other keys it has are kept, all of them in their order.
+def _enriched(item: str, url: str | None, lang: str, date: str | None, n: int) -> str:
+    record = json.loads(item)
+    record["url"] = url or ""
+    record["lang"] = lang
+    if date:
+        record["date"] = date
+    record["answer_tokens"] = int(n)
+    return _written(record)
 
-    A key that is there already keeps its place. A date is written only if there is one.
-    """
 
-    def enriched(item: str, url: str | None, lang: str, date: str | None, n: int) -> str:
-        record = json.loads(item)
-        record["url"] = url or ""
-        record["lang"] = lang
-        if date:
-            record["date"] = date
-        record["answer_tokens"] = int(n)
-        return _written(record)
+@F.arrow_udf(StringType())
+def record_json(
+    batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]],
+) -> Iterator[pa.Array]:
+    """The dialogue object with its metadata set, from (item, url, lang, date, tokens); other keys are kept, all of them in their order.
 
-    return pd.Series([enriched(*row) for row in zip(item, url, lang, date, n_tokens)], dtype=object)
+    A key that is there already keeps its place. A date is written only if there is one.
+    """
+    for columns in batches:
+        for piece in _pieces(*columns):
+            rows = zip(*[c.to_pylist() for c in piece], strict=True)
+            yield pa.array([_enriched(*row) for row in rows], pa.string())

@@ -22,10 +22,10 @@ from corpusloom.options import RecordOptions
 def parsed_responses(responses: DataFrame) -> DataFrame:
     """responses(request_id, attempt, raw, ...): adds `answer` and `items`.
 
-    The answer comes out of a generator, so that it is not cut out again for each use.
+    Both come out of generators, so that the answer is not cut out again, nor parsed again in another worker, for each use.
     """
     answered = responses.select("*", F.explode(F.array(response_text(F.col("raw")))).alias("answer"))
-    return answered.withColumn("items", dialogue_items(F.col("answer")))
+    return answered.select("*", F.explode(F.array(dialogue_items(F.col("answer")))).alias("items"))
 
 
 def dialogues(responses: DataFrame) -> DataFrame:

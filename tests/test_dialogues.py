@@ -3,6 +3,7 @@
 import json
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusloom import QualityOptions, RecordOptions
@@ -200,3 +201,17 @@ def test_quality(spark, each):
     assert each(quality.is_meta_question, "What does the TEXT say?", "In which context?", "What is the source?") == [
         True, False, True,
     ]
+
+
+def test_answers_are_parsed_once(spark):
+    rows = spark.createDataFrame([("a", 1, f"[{G}]")], "request_id string, attempt int, raw string")
+    plan = dialogues.dialogues(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_batch_goes_back_in_pieces():
+    long = json.dumps({"conversations": [{"role": "user", "content": "q" * 1000}, {"role": "assistant", "content": "a"}]})
+    texts = [f"[{long}]" if k % 3 else None for k in range(6000)]
+    pieces = list(dj.dialogue_items.func(iter([pa.array(texts), pa.array(texts[:1]), pa.array([], pa.string())])))
+    assert len(pieces) > 4 and max(p.nbytes for p in pieces) < 4 << 20
+    assert [i for p in pieces for i in p.to_pylist()] == [t and [t[1:-1]] for t in [*texts, texts[0]]]
