@@ -1,56 +1,62 @@
 """Oversized texts packed as rows, for texts whose units do not fit into one array.
 
-`sections.split_oversized` holds all blocks of a chunk in one row. Here each block or sentence is a row, and a table function walks
-the rows of a text in their order with a running count as its only state, so the memory a task needs does not grow with the
-text; a part is put together from its own rows, and these are bounded by the token limit. One text is one task at a time, as
-each decision depends on the one before; different texts are spread.
+`sections.split_oversized` holds all blocks of a chunk in one row. Here each block or sentence is a row, and one pass walks the
+sorted rows of a partition with a running count and the part that is open as its only state, so the memory a task needs does not
+grow with the text; a part is bounded by the token limit. One text is one task at a time, as each decision depends on the one
+before; different texts are spread. Texts are cut into units once, and their rows shuffled once to be packed and once to be counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from corpusloom.functions.text import let, tokens
+from corpusloom.functions.text import let, strip, tokens
 from corpusloom.operators.sections import fits, heading_blocks, pack_units, part_markers_of, split_heading
 from corpusloom.options import ChunkOptions
 
-_PACKED = StructType(
-    [
-        StructField("key", LongType()),
-        StructField("unit_no", IntegerType()),
-        StructField("part_no", IntegerType()),
-        StructField("piece", StringType()),
-    ]
+_PACKED = "key bigint, part_no int, body string, headings array<string>"
+_ARROW = pa.schema(
+    [("key", pa.int64()), ("part_no", pa.int32()), ("body", pa.string()), ("headings", pa.list_(pa.string()))]
 )
 
 
-class _Packer:
-    """Rows (key, unit_no, text, tokens, first, sep, limit) of one key in order: the part each belongs to and its text there."""
-
-    def __init__(self) -> None:
-        self.total, self.part = -1, 0
-
-    def eval(self, row: Row) -> Iterator[tuple[int, int, int, str]]:
-        opens = self.total < 0 or row["first"] or self.total + row["tokens"] > row["limit"]
-        self.total = row["tokens"] if opens else self.total + row["tokens"]
-        self.part += bool(opens)
-        yield row["key"], row["unit_no"], self.part, row["text"] if opens else row["sep"] + row["text"]
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, unit_no, text, ...) sorted by key and unit: a row per part, with the headings its rows bring."""
+    key, total, part_no, pieces, headings = None, 0, 0, [], []
+
+    def part() -> tuple:
+        return key, part_no, "".join(piece for _, piece in sorted(pieces)), headings
+
+    for batch in batches:
+        closed = []
+        for own, unit_no, text, n, first, sep, limit, heading in zip(*[column.to_pylist() for column in batch.columns]):
+            other = part_no == 0 or own != key
+            if other or first or total + n > limit:
+                if pieces:
+                    closed.append(part())
+                key, total, part_no, pieces, headings = own, n, 1 if other else part_no + 1, [(unit_no, text)], []
+            else:
+                total += n
+                pieces.append((unit_no, sep + text))
+            if heading is not None:
+                headings.append(heading)
+        if closed:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*closed), _ARROW)], schema=_ARROW)
+    if pieces:
+        yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(part(), _ARROW)], schema=_ARROW)
 
 
 def packed_rows(units: DataFrame) -> DataFrame:
-    """units: key bigint, unit_no int, text, tokens, first, sep, limit. Bodies of at most `limit` tokens: key, part_no, body.
+    """units: key bigint, unit_no int, text, tokens, first, sep, limit, heading. Bodies of at most `limit` tokens: key, part_no, body, headings.
 
-    A key's units are numbered without repeats. NULL keys are one key.
+    A key's units are numbered without repeats. NULL keys are one key. `headings` are those of a part's units that are not NULL.
     """
-    pack = F.udtf(_Packer, returnType=_PACKED)
-    rows = pack(units.asTable().partitionBy("key").orderBy("unit_no"))
-    pieces = F.sort_array(F.collect_list(F.struct("unit_no", "piece")))
-    body = F.array_join(F.transform(pieces, lambda p: p["piece"]), "")
-    return rows.groupBy("key", "part_no").agg(body.alias("body"))
+    ordered = units.repartition("key").sortWithinPartitions("key", "unit_no")
+    return ordered.select("key", "unit_no", "text", "tokens", "first", "sep", "limit", "heading").mapInArrow(_packed, _PACKED)
 
 
 def split_oversized_rows(
@@ -64,14 +70,23 @@ def split_oversized_rows(
         limit = F.greatest(F.lit(options.max_tokens) - tokens(h["title"]) - options.heading_reserve, F.lit(1))
         return F.struct(h["heading"].alias("heading"), limit.alias("limit"), heading_blocks(h).alias("blocks"))
 
-    cut = F.when(~fits(content, options.max_tokens), let(split_heading(content), measured))
-    known = given.select("key", "text", F.explode(F.array(cut)).alias("cut"))
-    whole = known.where("cut IS NULL OR size(cut.blocks) = 0").select("key", F.lit(1).alias("piece_no"), "text")
-    split = known.where("size(cut.blocks) > 0")
-    units = split.select("key", "cut.limit", F.posexplode(pack_units(F.col("cut.blocks"), F.col("cut.limit"))).alias("unit_no", "u"))
-    bodies = packed_rows(units.select("key", "unit_no", "u.*", "limit"))
-    parts = bodies.groupBy("key").agg(F.max("part_no").alias("parts"))
-    headings = split.select("key", "cut.heading").join(parts, "key")
+    def bare(h: Column) -> Column:
+        return (strip(h["lead"]) == "") & (strip(h["content"]) == "")
+
+    known = given.select("key", F.explode(F.array(F.when(~fits(content, options.max_tokens), let(split_heading(content), measured)))).alias("cut"))
+    stays = F.when(~fits(content, options.max_tokens), let(split_heading(content), bare)).otherwise(True)
+    whole = given.where(stays).select("key", F.lit(1).alias("piece_no"), "text")
+    split = known.where("key IS NOT NULL AND size(cut.blocks) > 0")
+    units = split.select(
+        "key", "cut.heading", "cut.limit", F.posexplode(pack_units(F.col("cut.blocks"), F.col("cut.limit"))).alias("unit_no", "u")
+    )
+    heading = F.when(F.col("unit_no") == 0, F.col("heading")).alias("heading")
+    bodies = packed_rows(units.select("key", "unit_no", "u.*", "limit", heading))
+    own = Window.partitionBy("key")
+    counted = bodies.select(
+        "key", "part_no", "body", F.max("part_no").over(own).alias("parts"), F.flatten(F.collect_list("headings").over(own)).alias("headings")
+    )
+    headed = counted.select("key", "part_no", "body", "parts", F.explode("headings").alias("heading"))
     text_of = part_markers_of(F.col("body"), F.col("part_no") - 1, F.col("parts"), F.col("heading"))
-    made = bodies.join(headings, "key").select("key", F.col("part_no").alias("piece_no"), text_of.alias("text"))
+    made = headed.select("key", F.col("part_no").alias("piece_no"), text_of.alias("text"))
     return whole.unionByName(made).withColumnRenamed("key", key)

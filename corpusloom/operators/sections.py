@@ -42,7 +42,7 @@ def _marks(units: Column, state_type: str, zero: str, step) -> Column:
     def merge(acc: Column, unit: Column) -> Column:
         opens, after = step(acc["state"], unit)
         mark = F.when(opens, F.lit("1")).otherwise(F.lit("0"))
-        is_full = F.length(acc["marks"]) >= MARKS_PER_STRING
+        is_full = F.octet_length(acc["marks"]) >= MARKS_PER_STRING
         return F.struct(
             after.cast(state_type).alias("state"),
             F.when(is_full, mark).otherwise(F.concat(acc["marks"], mark)).alias("marks"),
@@ -191,32 +191,30 @@ def part_text(heading: str, body: str, k: int, n: int) -> str:
 
 def pack_units(blocks: Column, limit: Column) -> Column:
     """What is packed, as ARRAY<STRUCT<text, tokens, first, sep>>: blocks, and the sentences of blocks above the limit."""
-    return F.flatten(
-        F.transform(
-            blocks,
-            lambda block: F.when(
-                tokens(block) > limit,
-                F.transform(
-                    sentences_of(block),
-                    lambda s, i: F.struct(
-                        s.alias("text"),
-                        tokens(s).alias("tokens"),
-                        (i == 0).alias("first"),
-                        F.lit("\n").alias("sep"),
-                    ),
+    def units(block: Column, n: Column) -> Column:
+        return F.when(
+            n > limit,
+            F.transform(
+                sentences_of(block),
+                lambda s, i: F.struct(
+                    s.alias("text"),
+                    tokens(s).alias("tokens"),
+                    (i == 0).alias("first"),
+                    F.lit("\n").alias("sep"),
                 ),
-            ).otherwise(
-                F.array(
-                    F.struct(
-                        block.alias("text"),
-                        tokens(block).alias("tokens"),
-                        F.lit(False).alias("first"),
-                        F.lit("\n\n").alias("sep"),
-                    )
-                )
             ),
+        ).otherwise(
+            F.array(
+                F.struct(
+                    block.alias("text"),
+                    n.alias("tokens"),
+                    F.lit(False).alias("first"),
+                    F.lit("\n\n").alias("sep"),
+                )
+            )
         )
-    )
+
+    return F.flatten(F.transform(blocks, lambda block: let(tokens(block), lambda n: units(block, n))))
 
 
 def pack_blocks(blocks: Column, limit: Column) -> Column:

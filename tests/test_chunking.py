@@ -153,3 +153,21 @@ def test_rows_are_packed_like_arrays(spark):
     found = {(r.k, r.piece_no): r.text for r in split_oversized_rows(rows, "k", "t", options).collect()}
     want = rows.select("k", F.posexplode(sections.split_oversized(F.col("t"), options)).alias("no", "text")).collect()
     assert found == {(r.k, r.no + 1): r.text for r in want} and len(found) > 3000
+
+
+def test_rows_are_packed_in_one_pass(spark):
+    """Texts are cut into units once; a key met twice keeps the parts of both texts, packed together, for each of its headings."""
+    from corpusloom.operators.row_packing import split_oversized_rows
+
+    options = ChunkOptions(max_tokens=120)
+    text = "# H\n" + "\n\n".join(f"block {k} of some words here" for k in range(100))
+    rows = spark.createDataFrame([(1, text), (2, text), (2, text), (None, text), (None, "short")], "k bigint, t string")
+    made = split_oversized_rows(rows, "k", "t", options)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "PythonUDTF" not in plan
+    found = made.collect()
+    own = [r.piece_no for r in found if r.k == 1]
+    assert sorted(own) == list(range(1, len(own) + 1)) and len(own) > 20
+    assert {r.text for r in found if r.k is None} == {"short"}
+    both = sorted(r.piece_no for r in found if r.k == 2)
+    assert both[::2] == both[1::2] == list(range(1, len(both) // 2 + 1))
