@@ -13,7 +13,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import let, notes, strip
+from corpusloom.functions.text import let, notes, rewrite, strip
 
 # Elements whose whole content is dropped.
 DROPPED = ("script", "style", "noscript", "title", "nav", "footer")
@@ -43,7 +43,20 @@ TAG_REWRITES = (
     (r"<[^<>]+>", ""),
 )
 
+# The elements of the first of these rewrites, group by group; without any of its names a rewrite finds nothing. No rewrite puts
+# `<` and a name into a text, so names are looked for once.
+REWRITTEN = (
+    (("img",), ("img",), ("img",)),
+    (("b", "strong"), ("i", "em"), ("code",)),
+    (("a",),),
+    (("h1",), ("h2",), ("h3",), ("h4",), ("h5",), ("h6",)),
+    (("li",), ("br",), ("hr",)),
+)
+REWRITTEN_NAMES = r"(?i)</?(img|strong|code|em|li|br|hr|h[1-6]|[abi])\b"
+
 # A character reference after its ampersand: decimal, hexadecimal or named.
+# The longest name has 31 letters; only leading zeros make a reference longer than REFERENCE_CHARS.
+REFERENCE_CHARS = 40
 REFERENCE = r"\A#0*+(\d{1,7});|\A#[xX]0*+([0-9a-fA-F]{1,6});|\A([A-Za-z][A-Za-z0-9]*+);"
 
 def _quoted(text: str) -> str:
@@ -82,11 +95,16 @@ def unescape(text: Column) -> Column:
             usable = (code > 31) & (code < 1114112) & ~code.between(55296, 57343)
             char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
             new = F.when(usable, char).when(found["name"] != "", _named(found["name"]))
-            rest = F.regexp_replace(piece, REFERENCE, "")
+            rest = F.substring(piece, F.length(found["all"]) + 1, F.length(piece))
             return F.coalesce(F.concat(new, rest), F.concat(F.lit("&"), piece))
 
-        groups = [F.regexp_extract(piece, REFERENCE, k).alias(n) for k, n in ((1, "decimal"), (2, "hex"), (3, "name"))]
-        return F.when(i == 0, piece).otherwise(let(F.struct(*groups), replaced))
+        def matched(start: Column) -> Column:
+            groups = ((0, "all"), (1, "decimal"), (2, "hex"), (3, "name"))
+            return F.struct(*[F.regexp_extract(start, REFERENCE, k).alias(n) for k, n in groups])
+
+        zeros = piece.startswith("#0") | piece.startswith("#x0") | piece.startswith("#X0")
+        start = F.when(zeros, piece).otherwise(F.substring(piece, 1, REFERENCE_CHARS))
+        return F.when(i == 0, piece).otherwise(let(let(start, matched), replaced))
 
     return let(
         text,
@@ -96,6 +114,9 @@ def unescape(text: Column) -> Column:
     )
 
 
+# White space that is not one blank already; the marks below count as white space.
+BLANKS = r"[\t\n\x0b\f\r\x01-\x03][\s\x01-\x03]*+| [\s\x01-\x03]++"
+
 # Marks of list lines until blanks have been collapsed: line start, indentation, end of a list.
 _LINE, _INDENT, _END = "\x01", "\x02", "\x03"
 LIST_TAG = r"(?i)</?(?:[uo]l|li)\b[^<>]*>"
@@ -128,14 +149,28 @@ def _rewrite_tags(text: Column, pattern: str, noted: Callable[[Column], Column],
 
 
 def _marked_closed(kinds: Column, opens: Callable[[Column], Column], ends: Callable[[Column], Column]) -> Column:
-    """ARRAY<STRUCT<tag, closed>>: whether each tag opens an element that has an end."""
-    return let(
-        F.struct(kinds.alias("kinds"), _has_end(kinds, opens, ends).alias("closed")),
-        lambda b: F.transform(
-            b["kinds"],
-            lambda k, i: F.struct(k.alias("tag"), (F.get(b["closed"], F.size(b["kinds"]) - 1 - i) == "1").alias("closed")),
-        ),
-    )
+    """ARRAY<STRUCT<tag, closed>>: whether each tag opens an element that has an end.
+
+    Mostly all have one, which a walk that only counts finds out; tag by tag it is noted in other texts alone.
+    """
+
+    def count(free: Column, tag: Column) -> Column:
+        return F.when((free < 0) | (opens(tag) & (free == 0)), -1).when(opens(tag), free - 1).when(ends(tag), free + 1).otherwise(free)
+
+    def noted(k: Column) -> Column:
+        return let(
+            _has_end(k, opens, ends),
+            lambda closed: F.transform(
+                k,
+                lambda tag, i: F.struct(tag.alias("tag"), (F.get(closed, F.size(k) - 1 - i) == "1").alias("closed")),
+            ),
+        )
+
+    def marked(k: Column) -> Column:
+        all_closed = F.aggregate(F.reverse(k), F.lit(0), count) >= 0
+        return F.when(all_closed, F.transform(k, lambda tag: F.struct(tag.alias("tag"), F.lit(True).alias("closed")))).otherwise(noted(k))
+
+    return let(kinds, marked)
 
 
 def _kind(tag: Column) -> Column:
@@ -180,7 +215,8 @@ def nested_lists(html: Column) -> Column:
     def write(tag: Column, note: Column, after: Column) -> Column:
         depth = F.substring_index(note, " ", 1).cast("int")
         bullet = F.substring_index(note, " ", -1)
-        item = F.ltrim(F.regexp_replace(after, r"(?i)\A\s*<p\b[^<>]*>", ""))
+        unwrapped = F.regexp_replace(after, r"(?i)\A\s*<p\b[^<>]*>", "")
+        item = F.ltrim(F.when(F.contains(after, F.lit("<")), unwrapped).otherwise(after))
         end_depth = bullet.try_cast("int")
         follows = strip(after)
         return (
@@ -289,20 +325,50 @@ def table_rows(text: Column) -> Column:
     )
 
 
+def _rewritten(text: Column, steps) -> Column:
+    for pattern, replacement, *closing in steps:
+        text = rewrite_closed(text, pattern, replacement, closing[0]) if closing else F.regexp_replace(text, pattern, replacement)
+    return text
+
+
+def _without_tags(text: Column) -> Column:
+    """All rewrites of tags; of those in REWRITTEN the ones whose elements the text holds: none, one, or else the whole group."""
+
+    def some(text: Column, names: Column, group, steps) -> Column:
+        def chosen(t: Column) -> Column:
+            def holds(elements) -> Column:
+                return F.arrays_overlap(names, F.array(*[F.lit(e) for e in sorted(set(elements))]))
+
+            found = F.when(~holds(sum(group, ())), t)
+            for elements, step in zip(group, steps):
+                others = sum((e for e in group if e != elements), ())
+                if others:
+                    found = found.when(~holds(others), _rewritten(t, [step]))
+            return found.otherwise(_rewritten(t, steps))
+
+        return let(text, chosen)
+
+    def with_names(b: Column) -> Column:
+        t, at = b["text"], 0
+        for group in REWRITTEN:
+            t = some(t, b["names"], group, TAG_REWRITES[at : at + len(group)])
+            at += len(group)
+        return t
+
+    def named(t: Column) -> Column:
+        names = F.array_distinct(F.regexp_extract_all(t, F.lit(REWRITTEN_NAMES), F.lit(1)))
+        return let(F.struct(t.alias("text"), F.transform(names, lambda n: F.lower(n)).alias("names")), with_names)
+
+    return _rewritten(let(text, named), TAG_REWRITES[sum(map(len, REWRITTEN)) :])
+
+
 def flow(html: Column) -> Column:
     """Everything outside preformatted blocks."""
-    text = let(inner_tables(F.regexp_replace(html, r"[\s\x01-\x03]+", " ")), table_rows)
-    text = nested_lists(text)
-    for pattern, replacement, *closing in TAG_REWRITES:
-        if closing:
-            text = rewrite_closed(text, pattern, replacement, closing[0])
-        else:
-            text = F.regexp_replace(text, pattern, replacement)
-    text = unescape(text)
-    text = F.regexp_replace(text, r"[ \t]+", " ")
-    text = F.regexp_replace(text, r" ?\n ?", "\n")
+    text = let(inner_tables(F.regexp_replace(html, BLANKS, " ")), table_rows)
+    text = unescape(_without_tags(nested_lists(text)))
+    text = rewrite(text, ((r"[ \t]+", " ", "  ", "\t"), (r" ?\n ?", "\n", " \n", "\n ")))
     text = let(text, lambda t: F.when(F.contains(t, F.lit(_END)), _list_lines(t)).otherwise(t))
-    return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+    return strip(rewrite(text, ((r"\n{3,}", "\n\n", "\n\n\n"),)))
 
 
 def fence(html: Column) -> Column:
@@ -317,10 +383,17 @@ def fence(html: Column) -> Column:
 
 
 def html_to_markdown(html: Column) -> Column:
-    body = rewrite_closed(html, r"(?s)<!--.*?-->", "", "-->")
-    for tag in DROPPED:
-        closing = rf"</{tag}\s*>"
-        body = rewrite_closed(body, rf"(?is)<{tag}\b[^<>]*>.*?{closing}", "", closing)
+    def without_comments(t: Column) -> Column:
+        return F.when(F.contains(t, F.lit("-->")), rewrite_closed(t, r"(?s)<!--.*?-->", "", "-->")).otherwise(t)
+
+    def without_dropped(t: Column) -> Column:
+        body = t
+        for tag in DROPPED:
+            closing = rf"</{tag}\s*>"
+            body = rewrite_closed(body, rf"(?is)<{tag}\b[^<>]*>.*?{closing}", "", closing)
+        return F.when(F.rlike(t, F.lit(rf"(?i)</(?:{'|'.join(DROPPED)})\s*>")), body).otherwise(t)
+
+    body = let(let(html, without_comments), without_dropped)
     pieces = F.split(body, r"(?i)</?pre\b[^<>]*>")
     blocks = F.transform(pieces, lambda p, i: F.when(i % 2 == 1, fence(p)).otherwise(flow(p)))
     return F.array_join(F.filter(blocks, lambda b: b != ""), "\n\n")

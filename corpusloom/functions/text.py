@@ -130,20 +130,20 @@ def runs(units: Column, opens: Callable[[Column, Column], Column], sep: str) ->
     return let(units, cut)
 
 
-NOTES_PER_STRING = 8192
+NOTES_PER_STRING = 2048
 
 
 def notes(units: Column, state_type: str, zero: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
     """Walk an array once with a state and return one short string per entry: `step(state, unit)` is (string, next state).
 
-    Strings hold no semicolon. They are gathered some thousand characters at a time, so an entry copies no more than these.
+    Strings hold no semicolon. They are gathered some thousand bytes at a time, so an entry copies no more than these.
     """
     start = F.struct(F.expr(f"cast({zero} as {state_type})").alias("state"), F.lit("").alias("recent"), F.lit("").alias("all"))
 
     def merge(acc: Column, unit: Column) -> Column:
         note, after = step(acc["state"], unit)
         recent = F.concat(acc["recent"], note, F.lit(";"))
-        is_full = F.length(acc["recent"]) >= NOTES_PER_STRING
+        is_full = F.octet_length(acc["recent"]) >= NOTES_PER_STRING
         return F.struct(
             after.cast(state_type).alias("state"),
             F.when(is_full, F.concat(note, F.lit(";"))).otherwise(recent).alias("recent"),

@@ -119,3 +119,38 @@ def test_nested_html_lists_are_found_as_nested(spark):
     html = "<ul>" + "".join(f"<li>m{k}<ul><li>a</li><li>b</li></ul></li>" for k in range(20)) + "</ul>"
     df = spark.createDataFrame([(html,)], "html string").select(html_to_markdown(F.col("html")).alias("c"))
     assert "nested" in str(df.select(profile(F.col("c")).alias("p")).first())
+
+
+def test_skipped_rewrites_would_change_nothing(each):
+    """Rewrites that are chosen by the names of elements give what all of them in turn give, also for broken and nested marks."""
+    import random
+
+    from corpusloom.functions import html
+
+    marks = [
+        "<b>", "</b>", "<I>", "</i >", "<strong x=1>", "</strong>", "<code>", "</code>", "<a href='u'>", "</A>", "<h1>", "<H2 c=d>", "</h2>",
+        "<h6", "<li>", "<br/>", "<hr>", "<img src=x>", "<img alt='y' src=x>", "<p>", "</div>", "<x>", "<", ">", "<>", "<bx>", "word", " ", "\n", "_",
+    ]
+    draw = random.Random(7)
+    texts = ["".join(draw.choices(marks, k=draw.randint(1, 14))) for _ in range(1_500)]
+    in_turn = each(lambda t: html._rewritten(t, html.TAG_REWRITES), *texts)
+    assert each(html._without_tags, *texts) == in_turn
+
+
+def test_blanks_and_lists_with_and_without_ends(each):
+    from corpusloom.functions import html
+
+    texts = ["a  b\t c \n\n d", " ", "\x01\x02 x", "a b", "\x0b\x0c\r", "a  b", "  a\n"]
+    assert each(lambda t: F.regexp_replace(t, html.BLANKS, " "), *texts) == each(lambda t: F.regexp_replace(t, r"[\s\x01-\x03]+", " "), *texts)
+    kinds = [["ul", "li", "/u"], ["ul", "ol", "/o"], ["/u", "ul"], ["ul", "/u", "/u", "ol"], []]
+    marked = lambda t: html._marked_closed(
+        F.filter(F.split(t, ","), lambda k: k != ""), lambda k: k.isin("ul", "ol"), lambda k: k.isin("/u", "/o")
+    )
+    found = each(marked, *[",".join(k) for k in kinds])
+    opened = [[u["closed"] for u in units if u["tag"] in ("ul", "ol")] for units in found]
+    assert opened == [[True], [False, True], [False], [True, False], []]
+
+
+def test_long_references(each):
+    zeros = "&#" + "0" * 60 + "65;x &#x" + "0" * 60 + "41;y &" + "n" * 60 + ";z &CounterClockwiseContourIntegral; a" + " b" * 50
+    assert each(html_to_markdown, zeros) == ["Ax Ay &" + "n" * 60 + ";z ∳ a" + " b" * 50]
