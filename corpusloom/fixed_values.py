@@ -18,6 +18,11 @@ WORD_CHAR = (
     r"\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}]]]"
 )
 WORD = WORD_CHAR + "+"
+# One character of white space (same set).
+BLANK_CHAR = r"[ \n[\t\x0b-\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
+
+# Texts with no white space but spaces and newlines, most of them; runs of few ranges are read fastest.
+SIMPLE_TEXT = r"\A[ -~\n]*(?:[\x{a1}-\x{167f}[\x{200b}-\x{2027}\x{3001}-\x{10ffff}]]+[ -~\n]*)*+\z"
 
 # Characters other than the plain newline that also end a line.
 OTHER_LINE_END = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85[\x{2028}\x{2029}]]"
@@ -171,6 +176,7 @@ MAIN_BULLET_LINE = r"^\*\s+[\p{L}\p{N}_\[]"
 NESTED_LINE = r"^\s{2,}\*\s+"
 INDENTED_STAR_LINE = r"^\s+\*\s+"
 TABLE_RULE_LINE = r"^\|[\s|:]*-[\s|:\-]*$"
+PART_MARKER_START = "**[Part "
 PART_MARKER = r"\*\*\[Part \d+ of \d+(?:\s+-\s+Continued)?\]\*\*"
 
 # Page record separators and headers of the plain-text corpus.

@@ -73,8 +73,7 @@ def headings(chunk: Column, limit: int = 3) -> Column:
     """The first headings of a chunk as ARRAY<STRUCT<level, title>>."""
 
     def found(lines: Column) -> Column:
-        def one(line: Column, i: Column) -> Column:
-            below = F.coalesce(F.get(lines, i + 1), F.lit(""))
+        def one(line: Column, below: Column) -> Column:
             level = (
                 F.when(line.startswith("#"), F.length(F.regexp_extract(line, "^#+", 0)))
                 .when(below.startswith("==="), 1)
@@ -83,11 +82,16 @@ def headings(chunk: Column, limit: int = 3) -> Column:
             title = F.when(line.startswith("#"), strip(F.ltrim(line, F.lit("#")))).otherwise(line)
             return F.struct(level.cast("int").alias("level"), title.alias("title"))
 
-        marked = F.transform(lines, one)
-        kept = F.filter(marked, lambda h: h["level"].isNotNull() & (h["title"] != ""))
+        def may_be(line: Column, i: Column) -> Column:
+            """Holds a mark, or the next line does; most lines are not stripped or looked at further."""
+            below = F.get(lines, i + 1)
+            marked = F.contains(line, F.lit("#")) | F.contains(below, F.lit("===")) | F.contains(below, F.lit("---"))
+            return F.when(marked, one(strip(line), strip(F.coalesce(below, F.lit("")))))
+
+        kept = F.filter(F.transform(lines, may_be), lambda h: h["level"].isNotNull() & (h["title"] != ""))
         return F.slice(kept, 1, limit)
 
-    return let(F.transform(lines_of(chunk), lambda line: strip(line)), found)
+    return let(lines_of(chunk), found)
 
 
 def heading_context(chunk: Column) -> Column:

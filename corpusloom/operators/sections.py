@@ -12,6 +12,7 @@ from corpusloom import fixed_values as fv
 from corpusloom.functions.markdown import starts_with_heading
 from corpusloom.functions.text import (
     at_least_words,
+    is_blank,
     let,
     lines_of,
     non_empty,
@@ -55,16 +56,22 @@ def _marks(units: Column, state_type: str, zero: str, step) -> Column:
 def recombine(chunks: Column, options: ChunkOptions = ChunkOptions()) -> Column:
     """Join chunks without a heading to the section before them while it fits the limit.
 
-    A chunk that opens with a heading always opens a section.
+    A chunk that opens with a heading always opens a section. So words are counted only of chunks
+    that may be joined to another one; others count as none.
     """
 
+    def counted(bound: Column, headings: Column) -> Column:
+        def unit(c: Column, i: Column) -> Column:
+            own = F.get(headings, i)
+            before_heading = F.when(i + 1 < F.size(headings), F.get(headings, i + 1)).otherwise(True)
+            matters = F.coalesce((~own & (i > 0)) | ~before_heading, F.lit(True))
+            n_words = F.when(matters, words(c).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            return F.struct(n_words.alias("words"), own.alias("heading"))
+
+        return F.transform(bound, unit)
+
     def joined(bound: Column) -> Column:
-        units = F.transform(
-            bound,
-            lambda c: F.struct(
-                words(c).cast("bigint").alias("words"), starts_with_heading(c).alias("heading")
-            ),
-        )
+        units = let(F.transform(bound, lambda c: starts_with_heading(c)), lambda headings: counted(bound, headings))
 
         def step(total: Column, unit: Column):
             opens = (
@@ -79,7 +86,15 @@ def recombine(chunks: Column, options: ChunkOptions = ChunkOptions()) -> Column:
             lambda marks: runs(bound, lambda _, i: F.get(marks, i) == "1", "\n\n"),
         )
 
-    return let(chunks, joined)
+    return _if_several(chunks, joined)
+
+
+def _if_several(chunks: Column, joined) -> Column:
+    """`joined(chunks)`; one chunk has nothing to be joined to."""
+    return let(
+        chunks,
+        lambda c: F.when(F.size(c) == 1, F.transform(c, lambda one: F.coalesce(one, F.lit("")))).otherwise(joined(c)),
+    )
 
 
 def merge_orphans(chunks: Column, options: ChunkOptions = ChunkOptions()) -> Column:
@@ -99,7 +114,7 @@ def merge_orphans(chunks: Column, options: ChunkOptions = ChunkOptions()) -> Col
         taken = F.split(F.regexp_replace(F.array_join(short, ""), "s.", "s-"), "")
         return let(taken, lambda t: runs(bound, lambda _, i: F.get(t, i) != "-", "\n\n"))
 
-    return let(chunks, joined)
+    return _if_several(chunks, joined)
 
 
 def blocks_of(text: Column) -> Column:
@@ -107,11 +122,10 @@ def blocks_of(text: Column) -> Column:
 
     def cut(lines: Column) -> Column:
         def opens(line: Column, i: Column) -> Column:
-            blank = strip(line) == ""
             return (
-                F.rlike(line, F.lit(r"^\s*#{1,6}\s+\S"))
-                | (blank & (strip(F.get(lines, i - 1)) != ""))
-                | F.rlike(line, F.lit(r"^(?! )\s*\*"))
+                (F.contains(line, F.lit("#")) & F.rlike(line, F.lit(r"^\s*#{1,6}\s+\S")))
+                | (is_blank(line) & ~is_blank(F.get(lines, i - 1)))
+                | (F.contains(line, F.lit("*")) & F.rlike(line, F.lit(r"^(?! )\s*\*")))
             )
 
         return runs(lines, opens, "\n")
@@ -189,32 +203,54 @@ def part_text(heading: str, body: str, k: int, n: int) -> str:
     return f"{heading}\n\n{body}" + ("\n\n**[Continued in Part 2]**" if n > 1 else "")
 
 
+# A block with more characters is likely above the limit; either way it is counted exactly.
+CHARS_PER_TOKEN = 5
+
+
 def pack_units(blocks: Column, limit: Column) -> Column:
-    """What is packed, as ARRAY<STRUCT<text, tokens, first, sep>>: blocks, and the sentences of blocks above the limit."""
-    def units(block: Column, n: Column) -> Column:
-        return F.when(
-            n > limit,
-            F.transform(
-                sentences_of(block),
-                lambda s, i: F.struct(
-                    s.alias("text"),
-                    tokens(s).alias("tokens"),
-                    (i == 0).alias("first"),
-                    F.lit("\n").alias("sep"),
-                ),
+    """What is packed, as ARRAY<STRUCT<text, tokens, first, sep>>: blocks, and the sentences of blocks above the limit.
+
+    Sentences are cut at white space, so they have the words of their block. A long block is cut first and counted
+    by its sentences, a shorter one as a whole; so few words are counted twice.
+    """
+
+    def sentences(block: Column) -> Column:
+        return F.transform(
+            sentences_of(block), lambda s: F.struct(s.alias("text"), words(s).cast("bigint").alias("words"))
+        )
+
+    def cut(found: Column) -> Column:
+        return F.transform(
+            found,
+            lambda s, i: F.struct(
+                s["text"].alias("text"),
+                tokens_of_words(s["words"]).alias("tokens"),
+                (i == 0).alias("first"),
+                F.lit("\n").alias("sep"),
             ),
-        ).otherwise(
-            F.array(
-                F.struct(
-                    block.alias("text"),
-                    n.alias("tokens"),
-                    F.lit(False).alias("first"),
-                    F.lit("\n\n").alias("sep"),
-                )
+        )
+
+    def whole(block: Column, n: Column) -> Column:
+        return F.array(
+            F.struct(
+                block.alias("text"), n.alias("tokens"), F.lit(False).alias("first"), F.lit("\n\n").alias("sep")
             )
         )
 
-    return F.flatten(F.transform(blocks, lambda block: let(tokens(block), lambda n: units(block, n))))
+    def counted_by_sentence(block: Column, found: Column) -> Column:
+        n_words = F.aggregate(found, F.lit(0).cast("bigint"), lambda total, s: total + s["words"])
+        return let(
+            tokens_of_words(n_words), lambda n: F.when(n > limit, cut(found)).otherwise(whole(block, n))
+        )
+
+    def units(block: Column) -> Column:
+        counted = let(
+            tokens(block), lambda n: F.when(n > limit, cut(sentences(block))).otherwise(whole(block, n))
+        )
+        is_long = F.length(block) > CHARS_PER_TOKEN * limit
+        return F.when(is_long, let(sentences(block), lambda found: counted_by_sentence(block, found))).otherwise(counted)
+
+    return F.flatten(F.transform(blocks, units))
 
 
 def pack_blocks(blocks: Column, limit: Column) -> Column:
@@ -243,10 +279,15 @@ def pack_blocks(blocks: Column, limit: Column) -> Column:
     return let(pack_units(blocks, limit), packed)
 
 
+# No text is as long as this many words.
+MOST_WORDS = 2**31 - 1
+
+
 def fits(chunk: Column, max_tokens: int) -> Column:
-    """The chunk has at most `max_tokens`. A short one cannot have more, so it is not counted."""
+    """The chunk has at most `max_tokens`. A short one cannot have more; of others no more words are read than the limit has."""
     most_words = (F.length(chunk) + 1) / 2
-    return (tokens_of_words(most_words) <= max_tokens) | (tokens(chunk) <= max_tokens)
+    too_many = (10 * max_tokens + 9) // fv.TOKENS_PER_10_WORDS + 1
+    return (tokens_of_words(most_words) <= max_tokens) | ~at_least_words(chunk, min(max(too_many, 0), MOST_WORDS))
 
 
 def heading_blocks(h: Column) -> Column:
@@ -254,10 +295,10 @@ def heading_blocks(h: Column) -> Column:
     none = F.array().cast("array<string>")
     lead = F.regexp_replace(h["lead"], r"\n\z", "")
     blocks = F.concat(
-        F.when(strip(lead) != "", blocks_of(lead)).otherwise(none),
+        F.when(~is_blank(lead), blocks_of(lead)).otherwise(none),
         F.when(h["content"] != "", blocks_of(h["content"])).otherwise(none),
     )
-    return F.when((strip(h["lead"]) == "") & (strip(h["content"]) == ""), none).otherwise(blocks)
+    return F.when(is_blank(h["lead"]) & is_blank(h["content"]), none).otherwise(blocks)
 
 
 def split_oversized(chunk: Column, options: ChunkOptions = ChunkOptions()) -> Column:
@@ -271,9 +312,9 @@ def split_oversized(chunk: Column, options: ChunkOptions = ChunkOptions()) -> Co
             F.lit(options.max_tokens) - tokens(h["title"]) - options.heading_reserve, F.lit(1)
         )
         bodies = let(limit, lambda bound: pack_blocks(heading_blocks(h), bound))
-        return F.when(
-            (strip(h["lead"]) == "") & (strip(h["content"]) == ""), F.array(whole)
-        ).otherwise(part_markers(bodies, h["heading"]))
+        return F.when(is_blank(h["lead"]) & is_blank(h["content"]), F.array(whole)).otherwise(
+            part_markers(bodies, h["heading"])
+        )
 
     return let(
         chunk,
