@@ -1,6 +1,7 @@
 """Stages and queries over the smallest given tables, held against brute force."""
 
 import os
+import random
 
 import pytest
 
@@ -67,6 +68,21 @@ def test_near_dedup_stage_against_brute_force_at_0_8(spark, texts):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in brute.near_duplicates(texts, percent=80) if r[3])
 
 
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_quality_rules_stage_counts_all_trusted_documents(spark, docs, tmp_path, kind):
+    """Labels whose ids are of another type than those of the documents make documents trusted like any others."""
+    rng = random.Random(5)
+    common = words(40).split()
+    rows = [(k, words(30, f"v{k}x") if k % 50 == 49 else " ".join(rng.choices(common, k=30))) for k in range(200)]
+    labels = [(k, 1, 0) for k in range(200) if k % 50 < 40]
+    typed = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").selectExpr(f"cast(doc_id as {kind}) doc_id", "quality", "toxic")
+    typed.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = dict(corpus_pipeline.STAGES)["quality_rules"](spark, docs(rows), str(tmp_path))
+    want = sorted(r[0] for r in brute_judged(rows, labels, RuleOptions()) if r[-1])
+    assert want and not {49, 99, 149, 199} & set(want)
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert rows and all(r.cu_seqlens[-1] == r.n_tokens for r in rows)
@@ -83,6 +99,10 @@ def test_queries_against_brute_force(spark, texts):
 @pytest.mark.parametrize("key", sorted(set(LLM_QUERIES) - set(LLM_ORACLES)))
 def test_queries_give_every_document(spark, texts, key):
     found = LLM_QUERIES[key](spark, SF_DIR)
+    if key == "op11_html_extraction":  # every page, as it reads `pages`
+        pages = table(spark, SF_DIR, "pages").select("page_id").collect()
+        assert sorted(found.select("page_id").collect()) == sorted(pages)
+        return
     if key == "op4_packing":
         ids = {d for r in found.select("doc_ids").collect() for d in r.doc_ids}
     else:
